@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .lookups import AWARDED_CODE, CPV_DIVISIONS, PROC_TYPE_MAP, RESULT_STATUSES, SME_VALUES
+from .lookups import (AWARDED_CODE, BIDDER_BRACKETS, CPV_DIVISIONS, PROC_TYPE_MAP, RESULT_STATUSES,
+                      SIZE_TIER_EDGES, SIZE_TIER_LABELS_LEFT, SIZE_TIER_LABELS_RIGHT, SME_VALUES)
 
 
 def col(c: str | Column) -> Column:
@@ -114,14 +115,27 @@ def money_label(c: str | Column) -> Column:
 
 
 def size_tier(c: str | Column, closed: str = "right") -> Column:
-    """Contract size tier.
+    """Contract size tier on edges 50k / 500k / 5M.
 
-    ``closed="right"``: (0,50k] Micro, (50k,500k] Small, (500k,5M] Medium,
-    (5M,inf) Large; 0 or below -> NULL.  ``closed="left"``: [0,50k) ... .
+    ``closed="right"``: (0,50k], (50k,500k], (500k,5M], (5M,inf); 0, negatives
+    and NULL get no tier.  ``closed="left"``: (-inf,50k), [50k,500k), [500k,5M),
+    [5M,inf) with the opportunity study's labels; NULL gets no tier.
     """
     v = col(c)
+    e1, e2, e3 = SIZE_TIER_EDGES
     if closed == "right":
-        return (F.when(v <= 0, None).when(v <= 50_000, "Micro (<50K)").when(v <= 500_000, "Small (50K-500K)")
-                .when(v <= 5_000_000, "Medium (500K-5M)").when(v.isNotNull(), "Large (>5M)"))
-    return (F.when(v < 0, None).when(v < 50_000, "Micro (<50K)").when(v < 500_000, "Small (50K-500K)")
-            .when(v < 5_000_000, "Medium (500K-5M)").when(v.isNotNull(), "Large (>5M)"))
+        l1, l2, l3, l4 = SIZE_TIER_LABELS_RIGHT
+        return (F.when(v.isNull() | (v <= 0), None).when(v <= e1, l1).when(v <= e2, l2).when(v <= e3, l3)
+                .otherwise(l4))
+    l1, l2, l3, l4 = SIZE_TIER_LABELS_LEFT
+    return F.when(v.isNull(), None).when(v < e1, l1).when(v < e2, l2).when(v < e3, l3).otherwise(l4)
+
+
+def bidder_bracket(c: str | Column) -> Column:
+    """Bidder bracket of a notice-average bidder count, left-closed [lo, hi);
+    values below 1 (and NULL) get none."""
+    v = col(c)
+    out = F.lit(None).cast("string")
+    for label, lo, hi in reversed(BIDDER_BRACKETS):
+        out = F.when((v >= lo) & (v < hi), label).otherwise(out)
+    return out

@@ -159,3 +159,19 @@ def cpv_values_sql() -> str:
     """The CPV table as a SQL VALUES list (for the DuckDB oracle)."""
     rows = ", ".join(f"('{k}', '{v}')" for k, v in CPV_DIVISIONS.items())
     return f"SELECT * FROM (VALUES {rows}) AS t(division, division_name)"
+
+# --- FIXED VALUES: contract size tiers (edges 50k / 500k / 5M) ---------------
+# Right-closed lot-grain labels of the value study, (0, 50k] ... (5M, inf):
+SIZE_TIER_LABELS_RIGHT: tuple[str, ...] = ("Micro (<€50K)", "Small (€50K–500K)", "Mid (€500K–5M)", "Large (>€5M)")
+# Left-closed notice-grain labels of the opportunity study, [.., 50k) ... [5M, inf):
+SIZE_TIER_LABELS_LEFT: tuple[str, ...] = ("Micro (<50K)", "Small (50K-500K)", "Mid (500K-5M)", "Large (>5M)")
+SIZE_TIER_EDGES: tuple[float, ...] = (50_000.0, 500_000.0, 5_000_000.0)
+
+# --- FIXED VALUES: bidder brackets, left-closed [lo, hi) ---------------------
+BIDDER_BRACKETS: tuple[tuple[str, float, float], ...] = (
+    ("1 bidder (no competition)", 1.0, 1.5),
+    ("2-3 bidders (low)", 1.5, 3.5),
+    ("4-5 bidders (medium)", 3.5, 5.5),
+    ("6-10 bidders (high)", 5.5, 10.5),
+    (">10 bidders (very high)", 10.5, float("inf")),
+)
