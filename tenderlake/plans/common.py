@@ -49,6 +49,14 @@ def top_k(df: DataFrame, k: int, *order: Column, partition: list[str] | None = N
     return top.withColumn(rank_col, F.row_number().over(W.orderBy(*order)))
 
 
+def cap_value(c: str, cap: float = VALUE_CAP) -> Column:
+    """Clip at ``cap`` keeping NULL (``least`` would turn NULL into the cap)."""
+    return F.when(F.col(c) > cap, F.lit(cap)).otherwise(F.col(c))
+
+
+CV_CLEAN_SQL = "CASE WHEN contract_value > 5000000000.0 THEN 5000000000.0 ELSE contract_value END"
+
+
 def notice_awards(lake, cap: float = VALUE_CAP) -> DataFrame:
     """Lot-grain awards collapsed to notices (value capped per lot).
 
@@ -59,7 +67,7 @@ def notice_awards(lake, cap: float = VALUE_CAP) -> DataFrame:
     def build():
         aw = lake.gold("gold_awards")
         keys = ["notice_id", "buyer_country", "proc_type", "cpv_division", "cpv_division_name"]
-        cv = F.least(F.col("contract_value"), F.lit(cap))
+        cv = cap_value("contract_value", cap)
         return (aw.where(F.col("buyer_country").isNotNull() & F.col("proc_type").isNotNull()
                          & F.col("cpv_division").isNotNull() & F.col("cpv_division_name").isNotNull())
                 .groupBy(*keys)
@@ -80,8 +88,9 @@ def notice_awards_clean(lake, exclude_country: str | None = None) -> DataFrame:
 
 NA_SQL = """
 SELECT notice_id, buyer_country, proc_type, cpv_division, cpv_division_name,
-  COALESCE(sum(least(contract_value, 5000000000.0)), 0.0) AS awarded_eur_total, count(notice_id) AS lot_count,
-  max(least(contract_value, 5000000000.0)) AS awarded_eur_max, avg(tenders_count) AS tenders_count_avg,
+  COALESCE(sum(CASE WHEN contract_value > 5000000000.0 THEN 5000000000.0 ELSE contract_value END), 0.0)
+    AS awarded_eur_total, count(notice_id) AS lot_count,
+  max(CASE WHEN contract_value > 5000000000.0 THEN 5000000000.0 ELSE contract_value END) AS awarded_eur_max, avg(tenders_count) AS tenders_count_avg,
   max(tenders_count) AS tenders_count_max
 FROM gold_awards
 WHERE buyer_country IS NOT NULL AND proc_type IS NOT NULL AND cpv_division IS NOT NULL
@@ -127,3 +136,40 @@ def tier_order(c: str | Column, closed: str = "right") -> Column:
 from .oracle_base import add_ctes  # noqa: E402
 
 add_ctes([("notice_awards", NA_SQL)])
+
+
+def checkpointed(spark, df: DataFrame) -> DataFrame:
+    """Reliable checkpoint into the cluster's checkpoint folder (lineage cut;
+    survives executor loss without recomputing the sort)."""
+    from ..context import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    return df.checkpoint(eager=True)
+
+
+def global_rank(spark, df: DataFrame, order: list[Column], value: str | None = None,
+                rank_col: str = "rank", running_col: str = "running") -> DataFrame:
+    """Exact global ``row_number`` over ``order`` (and running sum of ``value``)
+    without a single-partition window.
+
+    1. ``orderBy`` range-partitions and sorts in parallel (callers include a
+       unique tie-break column, so equal values spread over partitions).
+    2. ``monotonically_increasing_id`` encodes (partition, position); the
+       sorted frame is checkpointed so the ids stay stable.
+    3. Per-partition row counts / value sums (one row per partition, bounded by
+       the shuffle partition count, hence safe to broadcast) give offsets.
+    4. rank = offset + position + 1; running = offset sum + in-partition
+       running sum (a window per partition, each ~N/P rows).
+    """
+    s = checkpointed(spark, df.orderBy(*order).withColumn("_mid", F.monotonically_increasing_id()))
+    s = s.withColumns({"_pid": F.shiftright("_mid", 33), "_pos": F.col("_mid").bitwiseAND((1 << 33) - 1)})
+    aggs = [F.count(F.lit(1)).alias("_cnt")] + ([F.sum(value).alias("_vs")] if value else [])
+    stats = s.groupBy("_pid").agg(*aggs)
+    before = W.orderBy("_pid").rowsBetween(W.unboundedPreceding, -1)
+    offs = stats.select("_pid", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_roff"),
+                        *([F.coalesce(F.sum("_vs").over(before), F.lit(0.0)).alias("_voff")] if value else []))
+    j = s.join(F.broadcast(offs), "_pid")
+    out = j.withColumn(rank_col, F.col("_roff") + F.col("_pos") + 1)
+    if value:
+        w = W.partitionBy("_pid").orderBy("_pos").rowsBetween(W.unboundedPreceding, 0)
+        out = out.withColumn(running_col, F.col("_voff") + F.sum(value).over(w))
+    return out.drop("_mid", "_pid", "_pos", "_roff", "_voff")
