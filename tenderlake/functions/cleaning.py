@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .lookups import (AWARDED_CODE, BIDDER_BRACKETS, CPV_DIVISIONS, PROC_TYPE_MAP, RESULT_STATUSES,
-                      SIZE_TIER_EDGES, SIZE_TIER_LABELS_LEFT, SIZE_TIER_LABELS_RIGHT, SME_VALUES)
+                      SIZE_TIER_EDGES, SIZE_TIER_LABELS_EURO, SME_VALUES)
 
 
 def col(c: str | Column) -> Column:
@@ -114,23 +114,35 @@ def money_label(c: str | Column) -> Column:
     )
 
 
-def size_tier(c: str | Column, closed: str = "right") -> Column:
+def size_tier(c: str | Column, closed: str = "right", labels: tuple[str, ...] = SIZE_TIER_LABELS_EURO) -> Column:
     """Contract size tier on edges 50k / 500k / 5M.
 
     ``closed="right"``: (0,50k], (50k,500k], (500k,5M], (5M,inf); 0, negatives
     and NULL get no tier.  ``closed="left"``: (-inf,50k), [50k,500k), [500k,5M),
-    [5M,inf) with the opportunity study's labels; NULL gets no tier.
+    [5M,inf); NULL gets no tier.
     """
     v = col(c)
     e1, e2, e3 = SIZE_TIER_EDGES
+    l1, l2, l3, l4 = labels
     if closed == "right":
-        l1, l2, l3, l4 = SIZE_TIER_LABELS_RIGHT
         return (F.when(v.isNull() | (v <= 0), None).when(v <= e1, l1).when(v <= e2, l2).when(v <= e3, l3)
                 .otherwise(l4))
-    l1, l2, l3, l4 = SIZE_TIER_LABELS_LEFT
     return F.when(v.isNull(), None).when(v < e1, l1).when(v < e2, l2).when(v < e3, l3).otherwise(l4)
 
 
+def interval_label(c: str | Column, bins: tuple[tuple[str, float, float], ...], closed: str = "right") -> Column:
+    """Label of the (lo, hi] (or [lo, hi)) interval holding the value; NULL if none."""
+    v = col(c)
+    out = F.lit(None).cast("string")
+    for label, lo, hi in reversed(bins):
+        if closed == "right":
+            cond = (v > lo) & (v <= hi) if hi != float("inf") else (v > lo)
+        else:
+            cond = (v >= lo) & (v < hi) if hi != float("inf") else (v >= lo)
+        out = F.when(cond, label).otherwise(out)
+    return out
+
+
 def bidder_bracket(c: str | Column) -> Column:
     """Bidder bracket of a notice-average bidder count, left-closed [lo, hi);
     values below 1 (and NULL) get none."""

@@ -161,10 +161,10 @@ def cpv_values_sql() -> str:
     return f"SELECT * FROM (VALUES {rows}) AS t(division, division_name)"
 
 # --- FIXED VALUES: contract size tiers (edges 50k / 500k / 5M) ---------------
-# Right-closed lot-grain labels of the value study, (0, 50k] ... (5M, inf):
-SIZE_TIER_LABELS_RIGHT: tuple[str, ...] = ("Micro (<€50K)", "Small (€50K–500K)", "Mid (€500K–5M)", "Large (>€5M)")
-# Left-closed notice-grain labels of the opportunity study, [.., 50k) ... [5M, inf):
-SIZE_TIER_LABELS_LEFT: tuple[str, ...] = ("Micro (<50K)", "Small (50K-500K)", "Mid (500K-5M)", "Large (>5M)")
+# Labels of the value study:
+SIZE_TIER_LABELS_EURO: tuple[str, ...] = ("Micro (<€50K)", "Small (€50K–500K)", "Mid (€500K–5M)", "Large (>€5M)")
+# Plain labels of the competition / opportunity studies (same edges):
+SIZE_TIER_LABELS_PLAIN: tuple[str, ...] = ("Micro (<50K)", "Small (50K-500K)", "Mid (500K-5M)", "Large (>5M)")
 SIZE_TIER_EDGES: tuple[float, ...] = (50_000.0, 500_000.0, 5_000_000.0)
 
 # --- FIXED VALUES: bidder brackets, left-closed [lo, hi) ---------------------
@@ -175,3 +175,19 @@ BIDDER_BRACKETS: tuple[tuple[str, float, float], ...] = (
     ("6-10 bidders (high)", 5.5, 10.5),
     (">10 bidders (very high)", 10.5, float("inf")),
 )
+
+# --- FIXED VALUES: savings-by-competition brackets, right-closed (lo, hi] ----
+SAVINGS_BRACKETS: tuple[tuple[str, float, float], ...] = (
+    ("1 bidder", 0.0, 1.5),
+    ("2-3", 1.5, 3.5),
+    ("4-5", 3.5, 5.5),
+    ("6-10", 5.5, 10.5),
+    (">10", 10.5, float("inf")),
+)
+
+# --- FIXED VALUES: market competition tiers on median bidders, (lo, hi] ------
+MARKET_TIERS: tuple[tuple[str, float, float], ...] = (
+    ("Low competition", 0.0, 2.0),
+    ("Medium competition", 2.0, 4.0),
+    ("High competition", 4.0, float("inf")),
+)

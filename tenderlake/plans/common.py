@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ..functions import cleaning as C
-from ..functions.lookups import (BIDDER_BRACKETS, EXCLUDED_COUNTRY, SIZE_TIER_EDGES, SIZE_TIER_LABELS_LEFT,
-                                 SIZE_TIER_LABELS_RIGHT, VALUE_CAP)
+from ..functions.lookups import (BIDDER_BRACKETS, EXCLUDED_COUNTRY, SIZE_TIER_EDGES, SIZE_TIER_LABELS_EURO,
+                                 SIZE_TIER_LABELS_PLAIN, VALUE_CAP)
 
 # Analysis window of the volume study (the surveyed notebooks study one month).
 PERIOD_START = "1998-01-01"
@@ -111,20 +111,29 @@ def bracket_sql(c: str) -> str:
     return f"CASE {' '.join(parts)} END"
 
 
-def tier_sql(c: str, closed: str = "right") -> str:
+def interval_sql(c: str, bins, closed: str = "right") -> str:
+    parts = []
+    for label, lo, hi in bins:
+        if closed == "right":
+            cond = f"{c} > {lo}" + (f" AND {c} <= {hi}" if hi != float("inf") else "")
+        else:
+            cond = f"{c} >= {lo}" + (f" AND {c} < {hi}" if hi != float("inf") else "")
+        parts.append(f"WHEN {cond} THEN '{label}'")
+    return f"CASE {' '.join(parts)} END"
+
+
+def tier_sql(c: str, closed: str = "right", labels=SIZE_TIER_LABELS_EURO) -> str:
     e1, e2, e3 = (int(x) for x in SIZE_TIER_EDGES)
+    l1, l2, l3, l4 = labels
     if closed == "right":
-        l1, l2, l3, l4 = SIZE_TIER_LABELS_RIGHT
         return (f"CASE WHEN {c} IS NULL OR {c} <= 0 THEN NULL WHEN {c} <= {e1} THEN '{l1}' "
                 f"WHEN {c} <= {e2} THEN '{l2}' WHEN {c} <= {e3} THEN '{l3}' ELSE '{l4}' END")
-    l1, l2, l3, l4 = SIZE_TIER_LABELS_LEFT
     return (f"CASE WHEN {c} IS NULL THEN NULL WHEN {c} < {e1} THEN '{l1}' WHEN {c} < {e2} THEN '{l2}' "
             f"WHEN {c} < {e3} THEN '{l3}' ELSE '{l4}' END")
 
 
-def tier_order(c: str | Column, closed: str = "right") -> Column:
+def tier_order(c: str | Column, labels=SIZE_TIER_LABELS_EURO) -> Column:
     """Ordinal (1..4) of a tier label, for ordered output."""
-    labels = SIZE_TIER_LABELS_RIGHT if closed == "right" else SIZE_TIER_LABELS_LEFT
     v = C.col(c)
     out = F.lit(None).cast("int")
     for i, label in reversed(list(enumerate(labels, 1))):

@@ -477,7 +477,7 @@ def size_tiers(lake):
                                       F.avg("cv").alias("avg_value"), F.median("cv").alias("median_value"))
     return (g.select("*", K.pct(F.col("lot_count"), K.total(a)).alias("pct_lots"),
                      K.pct(F.col("total_spend"), K.total(a, F.sum("cv"))).alias("pct_spend"))
-            .orderBy(K.tier_order("size_segment", "right")))
+            .orderBy(K.tier_order("size_segment")))
 
 
 @query("size_tiers_by_type", sql=f"""
