@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import cleaning as C
 from ..operators import gold as G
 from ..registry import query
+from .oracle_base import add_ctes
 
 
 @query("gold_notices", sql="SELECT * FROM gold_notices")
@@ -47,7 +48,7 @@ _KPI_MEASURES = """
   avg(avg_tenders_count) AS avg_tenders_count"""
 
 
-@query("gold_country_kpis", sql=f"""
+COUNTRY_KPIS_SQL = f"""
 WITH k AS (SELECT COALESCE(buyer_country, 'Unknown') AS buyer_country, count(DISTINCT notice_id) AS notice_count,
     count(*) FILTER (WHERE notice_type = 'CN') AS contract_notice_count,
     count(*) FILTER (WHERE notice_type = 'CAN') AS award_notice_count, {_KPI_MEASURES}
@@ -55,13 +56,18 @@ WITH k AS (SELECT COALESCE(buyer_country, 'Unknown') AS buyer_country, count(DIS
 a AS (SELECT COALESCE(buyer_country, 'Unknown') AS buyer_country, count(lot_result_id) AS award_rows,
     count(DISTINCT winner_org_id) AS winner_count FROM gold_awards GROUP BY 1)
 SELECT k.*, COALESCE(a.award_rows, 0) AS award_rows, COALESCE(a.winner_count, 0) AS winner_count
-FROM k LEFT JOIN a ON a.buyer_country = k.buyer_country""")
+FROM k LEFT JOIN a ON a.buyer_country = k.buyer_country"""
+
+add_ctes([("gold_country_kpis", COUNTRY_KPIS_SQL)])
+
+
+@query("gold_country_kpis", sql="SELECT * FROM gold_country_kpis")
 def gold_country_kpis(lake):
     """Country KPIs over notices and award rows."""
     return lake.gold("gold_country_kpis")
 
 
-@query("gold_cpv_kpis", sql=f"""
+CPV_KPIS_SQL = f"""
 WITH k AS (SELECT COALESCE(cpv_division, 'Unknown') AS cpv_division,
     COALESCE(cpv_division_name, 'Unknown') AS cpv_division_name, count(DISTINCT notice_id) AS notice_count,
     count(DISTINCT buyer_country) AS buyer_country_count, {_KPI_MEASURES}
@@ -70,7 +76,12 @@ a AS (SELECT COALESCE(cpv_division, 'Unknown') AS cpv_division,
     COALESCE(cpv_division_name, 'Unknown') AS cpv_division_name, count(lot_result_id) AS award_rows,
     count(DISTINCT winner_org_id) AS winner_count FROM gold_awards GROUP BY 1, 2)
 SELECT k.*, COALESCE(a.award_rows, 0) AS award_rows, COALESCE(a.winner_count, 0) AS winner_count
-FROM k LEFT JOIN a ON a.cpv_division = k.cpv_division AND a.cpv_division_name = k.cpv_division_name""")
+FROM k LEFT JOIN a ON a.cpv_division = k.cpv_division AND a.cpv_division_name = k.cpv_division_name"""
+
+add_ctes([("gold_cpv_kpis", CPV_KPIS_SQL)])
+
+
+@query("gold_cpv_kpis", sql="SELECT * FROM gold_cpv_kpis")
 def gold_cpv_kpis(lake):
     """CPV-division KPIs over notices and award rows."""
     return lake.gold("gold_cpv_kpis")

@@ -316,3 +316,11 @@ def add_ctes(extra: list[tuple[str, str]]) -> None:
     for name, sql in extra:
         if name not in names:
             BASE_CTES.append((name, sql))
+
+
+SILVER_COLUMNS = {
+    "notices": _NOTICE_COLS, "lots": _LOT_COLS, "organisations": _ORG_COLS, "cpv_codes": _CPV_COLS,
+    "lot_results": _LR_COLS, "contracts": _CONTRACT_COLS,
+    "tendering_parties": ["notice_id", "party_id", "tender_ids", "num_tenders", "tenderer_id"],
+    "tenders": _TENDER_COLS,
+}
