@@ -182,3 +182,32 @@ def global_rank(spark, df: DataFrame, order: list[Column], value: str | None = N
         w = W.partitionBy("_pid").orderBy("_pos").rowsBetween(W.unboundedPreceding, 0)
         out = out.withColumn(running_col, F.col("_voff") + F.sum(value).over(w))
     return out.drop("_mid", "_pid", "_pos", "_roff", "_voff")
+
+
+def running_by_group(spark, df: DataFrame, group: list[str], order: list[Column], value: str | None = None,
+                     rank_col: str = "group_rank", running_col: str = "group_running") -> DataFrame:
+    """Exact per-group ``row_number`` (and running sum of ``value``) in the
+    order ``order`` that stays balanced when one group holds a large share of
+    the rows.
+
+    A global ``orderBy(group, order)`` range-partitions the data, so a hot group
+    is spread over many partitions instead of landing in one window task.
+    Per (partition, group) counts/sums give each group's offset in every
+    partition (that table has at most partitions + groups rows); inside a
+    partition the window only spans that partition's share of the group.
+    ``order`` must make rows unique within a group.
+    """
+    s = checkpointed(spark, df.orderBy(*[F.col(g) for g in group], *order)
+                     .withColumn("_mid", F.monotonically_increasing_id()))
+    s = s.withColumns({"_pid": F.shiftright("_mid", 33), "_pos": F.col("_mid").bitwiseAND((1 << 33) - 1)})
+    aggs = [F.count(F.lit(1)).alias("_cnt")] + ([F.sum(value).alias("_vs")] if value else [])
+    stats = s.groupBy("_pid", *group).agg(*aggs)
+    before = W.partitionBy(*group).orderBy("_pid").rowsBetween(W.unboundedPreceding, -1)
+    offs = stats.select("_pid", *group, F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_roff"),
+                        *([F.coalesce(F.sum("_vs").over(before), F.lit(0)).alias("_voff")] if value else []))
+    j = s.join(offs, ["_pid", *group])
+    w = W.partitionBy("_pid", *group).orderBy("_pos")
+    out = j.withColumn(rank_col, F.col("_roff") + F.row_number().over(w))
+    if value:
+        out = out.withColumn(running_col, F.col("_voff") + F.sum(value).over(w.rowsBetween(W.unboundedPreceding, 0)))
+    return out.drop("_mid", "_pid", "_pos", "_roff", "_voff")
