@@ -121,8 +121,12 @@ def main(argv):
     bad = 0
     for n in (names or list(qs)):
         if n not in sqls:
-            df = qs[n](spark, sf_dir)
-            print(f"ROWS  {n}: {df.count()} rows (no oracle)", flush=True)
+            try:
+                df = qs[n](spark, sf_dir)
+                print(f"ROWS  {n}: {df.count()} rows (no oracle)", flush=True)
+            except Exception as e:  # noqa: BLE001
+                bad += 1
+                print(f"FAIL {n}: error: {type(e).__name__}: {str(e)[:600]}", flush=True)
             continue
         try:
             probs, nrows, ts, td = compare(n, spark, sf_dir, con, qs[n], sqls[n])
