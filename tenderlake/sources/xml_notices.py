@@ -54,10 +54,14 @@ NOTICE_SCHEMA = (
     f"PostalAddress: STRUCT<Country: STRUCT<IdentificationCode: STRING>, CountrySubentityCode: STRING>, "
     f"CompanySizeCode: STRING>>>>, "
     f"NoticeResult: STRUCT<TotalAmount: STRING, LotResult: ARRAY<{_RESULT}>, LotTender: ARRAY<{_LOT_TENDER}>, "
-    f"SettledContract: ARRAY<{_CONTRACT}>>>>>>"
+    f"SettledContract: ARRAY<{_CONTRACT}>>>>>>, "
+    f"_corrupt_record STRING"
 )
 
 
+XML_OPTIONS = {"ignoreNamespace": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
+
+
 def txt(c: Column) -> Column:
     """Element text, stripped; empty -> NULL."""
     return F.nullif(F.trim(c.cast("string")), F.lit(""))
@@ -69,8 +73,8 @@ def txt(c: Column) -> Column:
 
 def read_xml_files(spark, path: str) -> DataFrame:
     """Every ``*.xml`` file under ``path`` (recursively) as (file_name, xml)."""
-    return (spark.read.option("wholetext", True).option("recursiveFileLookup", True)
-            .option("pathGlobFilter", "*.xml").text(path)
+    return (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.xml")
+            .text(path, wholetext=True)
             .select(F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("xml")))
 
 
@@ -82,9 +86,8 @@ def parse_notices(docs: DataFrame) -> DataFrame:
                             r"<(?:[A-Za-z_][\w.-]*:)?([A-Za-z_][\w.-]*)[\s>/]", 1)
     mapping = F.create_map(*[F.lit(x) for kv in ROOT_TYPES.items() for x in kv])
     parsed = docs.select("file_name", root.alias("root_tag"),
-                         F.from_xml("xml", NOTICE_SCHEMA, {"ignoreNamespace": "true", "mode": "PERMISSIVE"})
-                         .alias("n"))
-    ok = parsed.where(F.col("n").isNotNull() & (F.col("root_tag") != ""))
+                         F.from_xml("xml", NOTICE_SCHEMA, XML_OPTIONS).alias("n"))
+    ok = parsed.where(F.col("n").isNotNull() & F.col("n._corrupt_record").isNull() & (F.col("root_tag") != ""))
     stem = F.regexp_extract("file_name", r"^(.*)\.xml$", 1)
     return ok.select("file_name",
                      F.coalesce(txt(F.col("n.ID")), F.nullif(stem, F.lit(""))).alias("notice_id"),
@@ -94,10 +97,8 @@ def parse_notices(docs: DataFrame) -> DataFrame:
 
 def quarantine(docs: DataFrame) -> DataFrame:
     """Documents that did not parse (PERMISSIVE mode gave no struct)."""
-    p = docs.select("file_name", F.from_xml("xml", NOTICE_SCHEMA, {"ignoreNamespace": "true", "mode": "PERMISSIVE"})
-                    .alias("n"))
-    return p.where(F.col("n").isNull() | F.col("n.ID").isNull() & F.col("n.IssueDate").isNull()
-                   & F.col("n.ProcurementProject").isNull()).select("file_name")
+    p = docs.select("file_name", F.from_xml("xml", NOTICE_SCHEMA, XML_OPTIONS).alias("n"))
+    return p.where(F.col("n").isNull() | F.col("n._corrupt_record").isNotNull()).select("file_name")
 
 
 def _eforms(c: str) -> Column:
