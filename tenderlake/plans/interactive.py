@@ -295,3 +295,39 @@ def fmt_eur(lake):
     """Awarded value of every award notice with its compact money label."""
     return lake.gold("gold_notice_awards").select("notice_id", "awarded_eur",
                                                   money_label("awarded_eur").alias("awarded_label"))
+
+
+# ---------------------------------------------------------------- catalog / SQL surface
+
+@query("table_catalog")
+def table_catalog(lake):
+    """Schema summary of every silver table and gold mart: rows, columns, column list."""
+    from ..sources.catalog import GOLD, SILVER
+    parts = []
+    for name, df in [(f"silver_{t}", lake.silver(t)) for t in SILVER] + [(g, lake.gold(g)) for g in GOLD]:
+        cols = ", ".join(f"{f.name}:{f.dataType.simpleString()}" for f in df.schema.fields)
+        parts.append(df.agg(F.count(F.lit(1)).alias("n_rows")).select(
+            F.lit(name).alias("table_name"), "n_rows", F.lit(len(df.columns)).alias("n_columns"),
+            F.lit(cols).alias("columns")))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+@query("newest_file")
+def newest_file(lake):
+    """The most recently modified candidate input file (by file metadata), with its row count."""
+    from ..sources.catalog import newest
+    n = newest(lake.spark, lake.sf_dir)
+    return n.withColumn("n_rows", lake.spark.read.parquet(n.first().path).select(F.count(F.lit(1))).scalar())
+
+
+SQL_SURFACE_EXAMPLE = """
+SELECT buyer_country, count(*) AS n, sum(awarded_eur) AS total_awarded
+FROM gold_notice_awards WHERE buyer_country IS NOT NULL GROUP BY buyer_country"""
+
+
+@query("sql_over_views", sql=SQL_SURFACE_EXAMPLE)
+def sql_over_views(lake, statement: str = SQL_SURFACE_EXAMPLE):
+    """Free-form question over the registered layers with spark.sql (the assistant's tool, without eval)."""
+    from ..sources.catalog import register_views
+    register_views(lake)
+    return lake.spark.sql(statement)
