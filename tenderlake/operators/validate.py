@@ -45,6 +45,67 @@ def union_all(dfs: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), dfs)
 
 
+def _below(c: str, minimum: float) -> Column:
+    v = F.col(c).try_cast("double")
+    return F.count_if((F.col(c).isNotNull() & v.isNull()) | (v < minimum))
+
+
+def _bad_rx(c: str, rx: str) -> Column:
+    return F.count_if(F.col(c).isNotNull() & ~F.col(c).cast("string").rlike(rx))
+
+
+def _counter_specs() -> dict[str, list[tuple[str, Column]]]:
+    """Every per-row counter of every silver table, so each table is scanned by
+    exactly one aggregate; the checks below select their rows from it."""
+    expected_status = F.coalesce(C.result_status("result_code"), F.lit("Unknown"))
+    codes, labels = list(RESULT_STATUSES), list(RESULT_STATUSES.values())
+    n_ids = F.size(F.filter(F.split("tender_ids", ","), lambda x: F.trim(x) != ""))
+    exp = F.col("num_tenders").try_cast("double")
+    specs: dict[str, list[tuple[str, Column]]] = {
+        t: [(f"null:{c}", F.count_if(F.col(c).isNull())) for c in cols] for t, cols in CRITICAL_COLUMNS.items()}
+    specs["notices"] += [
+        ("pub_date_parsed", F.count_if(F.try_to_date("pub_date").isNull())),
+        ("fmt:cpv_main", _bad_rx("cpv_main", r"^\d{8}$")),
+        ("derived:cpv_division", F.count_if(F.col("cpv_main").isNotNull() & F.col("cpv_division").isNotNull()
+                                            & (F.substring("cpv_main", 1, 2) != F.col("cpv_division"))))]
+    specs["cpv_codes"] += [("fmt:cpv_code", _bad_rx("cpv_code", r"^\d{8}$"))]
+    specs["organisations"] += [("fmt:org_country", _bad_rx("org_country", r"^[A-Z]{3}$"))]
+    specs["lot_results"] += [
+        ("derived:is_awarded", F.count_if(~F.col("is_awarded").eqNullSafe(
+            F.coalesce(F.lower("result_code") == AWARDED_CODE, F.lit(False))))),
+        ("derived:result_status", F.count_if(~F.coalesce(F.col("result_status"), F.lit("None"))
+                                             .eqNullSafe(expected_status))),
+        ("domain:result_code", F.count_if(F.col("result_code").isNotNull() & ~F.lower("result_code").isin(*codes))),
+        ("domain:result_status", F.count_if(F.col("result_status").isNotNull()
+                                            & ~F.col("result_status").isin(*labels)))]
+    specs["contracts"] += [("floor:contract_value", _below("contract_value", 0))]
+    specs["tendering_parties"] += [
+        ("floor:num_tenders", _below("num_tenders", 0)),
+        ("list_count", F.count_if(F.col("tender_ids").isNotNull() & exp.isNotNull() & (n_ids != exp)))]
+    specs["tenders"] += [("floor:tender_value", _below("tender_value", 0)), ("floor:rank", _below("rank", 1))]
+    return specs
+
+
+def table_counters(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """One single-pass aggregate per table holding all its counters (row count in ``_n``)."""
+    out = {}
+    for t, spec in _counter_specs().items():
+        out[t] = tables[t].agg(F.count(F.lit(1)).alias("_n"), *[e.alias(name) for name, e in spec])
+    return out
+
+
+def _from_counters(counters: dict[str, DataFrame], rows: list[tuple[str, str, str, str]]) -> DataFrame:
+    """rows: (table, counter, check name, mode 'fail' | 'warn')."""
+    by_table: dict[str, list] = {}
+    for t, cname, check, mode in rows:
+        by_table.setdefault(t, []).append((cname, check, mode))
+    parts = []
+    for t, specs in by_table.items():
+        agg = counters[t].select(*[F.col(f"`{c}`").alias(f"c{i}") for i, (c, _, _) in enumerate(specs)])
+        parts.append(_rows(agg, t, [(f"c{i}", check, mode) for i, (_, check, mode) in enumerate(specs)]))
+    return union_all(parts)
+
+
 def check_primary_key(tables: dict[str, DataFrame]) -> DataFrame:
     out = []
     for t, keys in NATURAL_KEYS.items():
@@ -61,18 +122,16 @@ def check_primary_key(tables: dict[str, DataFrame]) -> DataFrame:
 
 def check_completeness(tables: dict[str, DataFrame]) -> DataFrame:
     """Critical columns: 0 nulls PASS, < 1 % WARN, else FAIL; plus pub_date parsed."""
+    counters = table_counters(tables)
     out = []
     for t, cols in CRITICAL_COLUMNS.items():
-        df = tables[t]
-        agg = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
+        agg = counters[t].select("_n", *[F.col(f"`null:{c}`").alias(c) for c in cols])
         long = agg.unpivot("_n", cols, "col", "bad")
         out.append(long.select(
             status(F.col("bad"), F.try_divide(F.col("bad"), F.col("_n")) < 0.01).alias("status"),
             F.lit(t).alias("table_name"), F.concat(F.lit("critical completeness: "), F.col("col")).alias("check_name"),
             F.col("bad").cast("bigint").alias("bad_rows")))
-    n = tables["notices"]
-    out.append(_rows(n.agg(F.count_if(F.try_to_date("pub_date").isNull()).alias("b")), "notices",
-                     [("b", "pub_date parsed", "fail")]))
+    out.append(_from_counters(counters, [("notices", "pub_date_parsed", "pub_date parsed", "fail")]))
     return union_all(out)
 
 
@@ -139,64 +198,36 @@ def check_list_ref(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def check_format(tables: dict[str, DataFrame]) -> DataFrame:
-    def bad_rx(c, rx):
-        return F.count_if(F.col(c).isNotNull() & ~F.col(c).cast("string").rlike(rx))
-    return union_all([
-        _rows(tables["notices"].agg(bad_rx("cpv_main", r"^\d{8}$").alias("b")), "notices",
-              [("b", "cpv_main format", "fail")]),
-        _rows(tables["cpv_codes"].agg(bad_rx("cpv_code", r"^\d{8}$").alias("b")), "cpv_codes",
-              [("b", "cpv_code format", "fail")]),
-        _rows(tables["organisations"].agg(bad_rx("org_country", r"^[A-Z]{3}$").alias("b")), "organisations",
-              [("b", "org_country format", "warn")]),
-    ])
+    return _from_counters(table_counters(tables), [
+        ("notices", "fmt:cpv_main", "cpv_main format", "fail"),
+        ("cpv_codes", "fmt:cpv_code", "cpv_code format", "fail"),
+        ("organisations", "fmt:org_country", "org_country format", "warn")])
 
 
 def check_derived(tables: dict[str, DataFrame]) -> DataFrame:
-    n, lr = tables["notices"], tables["lot_results"]
-    expected_status = F.coalesce(C.result_status("result_code"), F.lit("Unknown"))
-    return union_all([
-        _rows(n.agg(F.count_if(F.col("cpv_main").isNotNull() & F.col("cpv_division").isNotNull()
-                               & (F.substring("cpv_main", 1, 2) != F.col("cpv_division"))).alias("b")),
-              "notices", [("b", "cpv_division derivation", "fail")]),
-        _rows(lr.agg(F.count_if(~F.col("is_awarded").eqNullSafe(
-                  F.coalesce(F.lower("result_code") == AWARDED_CODE, F.lit(False)))).alias("a"),
-                     F.count_if(~F.coalesce(F.col("result_status"), F.lit("None")).eqNullSafe(expected_status))
-                     .alias("s")),
-              "lot_results", [("a", "is_awarded mapping", "fail"), ("s", "result_status mapping", "fail")]),
-    ])
+    return _from_counters(table_counters(tables), [
+        ("notices", "derived:cpv_division", "cpv_division derivation", "fail"),
+        ("lot_results", "derived:is_awarded", "is_awarded mapping", "fail"),
+        ("lot_results", "derived:result_status", "result_status mapping", "fail")])
 
 
 def check_domain(tables: dict[str, DataFrame]) -> DataFrame:
-    lr = tables["lot_results"]
-    codes, labels = list(RESULT_STATUSES), list(RESULT_STATUSES.values())
-    return _rows(lr.agg(
-        F.count_if(F.col("result_code").isNotNull() & ~F.lower("result_code").isin(*codes)).alias("c"),
-        F.count_if(F.col("result_status").isNotNull() & ~F.col("result_status").isin(*labels)).alias("s")),
-        "lot_results", [("c", "result_code domain", "warn"), ("s", "result_status domain", "warn")])
-
-
-def _below(c: str, minimum: float) -> Column:
-    v = F.col(c).try_cast("double")
-    return F.count_if((F.col(c).isNotNull() & v.isNull()) | (v < minimum))
+    return _from_counters(table_counters(tables), [
+        ("lot_results", "domain:result_code", "result_code domain", "warn"),
+        ("lot_results", "domain:result_status", "result_status domain", "warn")])
 
 
 def check_floor(tables: dict[str, DataFrame]) -> DataFrame:
-    return union_all([
-        _rows(tables["contracts"].agg(_below("contract_value", 0).alias("b")), "contracts",
-              [("b", "contract_value non-negative", "fail")]),
-        _rows(tables["tendering_parties"].agg(_below("num_tenders", 0).alias("b")), "tendering_parties",
-              [("b", "num_tenders non-negative", "fail")]),
-        _rows(tables["tenders"].agg(_below("tender_value", 0).alias("v"), _below("rank", 1).alias("r")), "tenders",
-              [("v", "tender_value non-negative", "warn"), ("r", "rank domain", "warn")]),
-    ])
+    return _from_counters(table_counters(tables), [
+        ("contracts", "floor:contract_value", "contract_value non-negative", "fail"),
+        ("tendering_parties", "floor:num_tenders", "num_tenders non-negative", "fail"),
+        ("tenders", "floor:tender_value", "tender_value non-negative", "warn"),
+        ("tenders", "floor:rank", "rank domain", "warn")])
 
 
 def check_list_count(tables: dict[str, DataFrame]) -> DataFrame:
-    p = tables["tendering_parties"].where(F.col("tender_ids").isNotNull())
-    n_ids = F.size(F.filter(F.split("tender_ids", ","), lambda x: F.trim(x) != ""))
-    exp = F.col("num_tenders").try_cast("double")
-    return _rows(p.agg(F.count_if(exp.isNotNull() & (n_ids != exp)).alias("b")), "tendering_parties",
-                 [("b", "tender_ids count", "fail")])
+    return _from_counters(table_counters(tables), [
+        ("tendering_parties", "list_count", "tender_ids count", "fail")])
 
 
 def all_checks(tables: dict[str, DataFrame]) -> DataFrame:

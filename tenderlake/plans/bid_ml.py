@@ -85,7 +85,7 @@ def bid_features_df(lake) -> DataFrame:
             "ac_quality": (ac == "quality").cast("double"),
         }).withColumn("cheap_x_price", F.col("is_cheapest") * F.col("ac_price")).drop("_rank_min")
         return f
-    return lake.derived("bid_features", build)
+    return lake.derived("bid_features", build, persist=True)
 
 
 def lot_split_df(lake, q: float = 0.8) -> DataFrame:
@@ -99,7 +99,7 @@ def lot_split_df(lake, q: float = 0.8) -> DataFrame:
         lo = f.join(ranked.select("notice_id", "lot_id", (F.col("_r") - 1).alias("lot_order")), ["notice_id", "lot_id"])
         cutoff = lo.select(F.percentile("lot_order", q)).scalar()
         return lo.withColumn("is_train", F.col("lot_order") <= cutoff)
-    return lake.derived("lot_split", build)
+    return lake.derived("lot_split", build, persist=True)
 
 
 BIDS_SQL = f"""

@@ -148,11 +148,11 @@ add_ctes([("notice_awards", NA_SQL)])
 
 
 def checkpointed(spark, df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the cluster's checkpoint folder (lineage cut;
-    survives executor loss without recomputing the sort)."""
-    from ..context import ensure_checkpoint_dir
-    ensure_checkpoint_dir(spark)
-    return df.checkpoint(eager=True)
+    """Snapshot ``df`` as a written Parquet table in the cluster's checkpoint
+    folder (lineage cut; survives executor loss without recomputing the sort;
+    computed once)."""
+    from ..context import write_table
+    return write_table(spark, df, "snapshot")
 
 
 def global_rank(spark, df: DataFrame, order: list[Column], value: str | None = None,
@@ -163,7 +163,7 @@ def global_rank(spark, df: DataFrame, order: list[Column], value: str | None = N
     1. ``orderBy`` range-partitions and sorts in parallel (callers include a
        unique tie-break column, so equal values spread over partitions).
     2. ``monotonically_increasing_id`` encodes (partition, position); the
-       sorted frame is checkpointed so the ids stay stable.
+       sorted frame is written once so the ids stay stable.
     3. Per-partition row counts / value sums (one row per partition, bounded by
        the shuffle partition count, hence safe to broadcast) give offsets.
     4. rank = offset + position + 1; running = offset sum + in-partition
