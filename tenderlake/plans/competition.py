@@ -234,12 +234,13 @@ def savings_by_bracket(lake):
 
 @query("savings_bracket_type", sql=f"""WITH {COMP_SAV_SQL}
 SELECT * FROM (SELECT {K.interval_sql(TC, SAVINGS_BRACKETS)} AS comp_bracket, proc_type,
-  round_even(median(savings_pct), 1) AS median_savings FROM cs GROUP BY 1, 2) WHERE comp_bracket IS NOT NULL""")
+  CAST(round_even(CAST(median(savings_pct) AS DECIMAL(38,14)), 1) AS DOUBLE) AS median_savings FROM cs GROUP BY 1, 2)
+WHERE comp_bracket IS NOT NULL""")
 def savings_bracket_type(lake):
     """Median savings by competition bracket x procurement type (long form of the pivot)."""
     cs = competition_savings(lake).withColumn("comp_bracket", C.interval_label(TC, SAVINGS_BRACKETS))
     return (cs.where(F.col("comp_bracket").isNotNull()).groupBy("comp_bracket", "proc_type")
-            .agg(F.bround(F.median("savings_pct"), 1).alias("median_savings")))
+            .agg(F.bround(F.median("savings_pct").cast("decimal(38,14)"), 1).cast("double").alias("median_savings")))
 
 
 @query("competition_by_size", sql=f"""

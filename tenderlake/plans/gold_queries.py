@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import cleaning as C
 from ..operators import gold as G
 from ..registry import query
-from .oracle_base import add_ctes
+from .oracle_base import add_ctes, mean_rounded_sql
 
 
 @query("gold_notices", sql="SELECT * FROM gold_notices")
@@ -100,8 +100,9 @@ def gold_notice_awards(lake):
 
 
 _MS_MEASURES = """count(notice_id) AS notice_count, COALESCE(sum(estimated), 0) AS total_estimated,
-  COALESCE(sum(awarded_eur), 0) AS total_awarded, round_even(avg(savings_pct), 1) AS avg_savings_pct,
-  round_even(avg(avg_tenders_per_lot), 1) AS avg_tenders, count(*) FILTER (WHERE sme_winner) AS sme_winner_count"""
+  COALESCE(sum(awarded_eur), 0) AS total_awarded, """ + mean_rounded_sql("savings_pct") + """ AS avg_savings_pct,
+  """ + mean_rounded_sql("avg_tenders_per_lot") + """ AS avg_tenders,
+  count(*) FILTER (WHERE sme_winner) AS sme_winner_count"""
 
 
 @query("gold_market_summary", sql=f"""
@@ -117,10 +118,10 @@ def gold_market_summary(lake):
     return lake.gold("gold_market_summary")
 
 
-@query("gold_cpv_analysis", sql="""
+@query("gold_cpv_analysis", sql=f"""
 WITH aw AS (SELECT cpv_division, cpv_division_name, count(notice_id) AS awards_count,
-    COALESCE(sum(awarded_eur), 0) AS total_awarded, round_even(avg(savings_pct), 1) AS avg_savings,
-    round_even(avg(avg_tenders_per_lot), 1) AS avg_competition, count(*) FILTER (WHERE sme_winner) AS sme_wins
+    COALESCE(sum(awarded_eur), 0) AS total_awarded, {mean_rounded_sql("savings_pct")} AS avg_savings,
+    {mean_rounded_sql("avg_tenders_per_lot")} AS avg_competition, count(*) FILTER (WHERE sme_winner) AS sme_wins
   FROM gold_notice_awards WHERE cpv_division IS NOT NULL AND cpv_division_name IS NOT NULL GROUP BY 1, 2),
 op AS (SELECT cpv_division, cpv_division_name, count(notice_id) AS open_notices,
     COALESCE(sum(estimated), 0) AS total_open_est

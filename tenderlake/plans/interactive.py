@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from ..registry import query
 from . import common as K
+from ..operators.gold import mean_rounded, round_half_even
 from .gold_queries import award_view_df
+from .oracle_base import mean_rounded_sql, round_sql
 
 AV_SQL = """av AS (SELECT notice_id, lot_id, lot_result_id, buyer_country, proc_type, cpv_division, cpv_division_name,
   estimated, awarded_amount AS awarded_eur, contract_date AS award_date, tenders_count AS avg_tenders_per_lot,
@@ -223,15 +225,16 @@ def qq3_sme_share(lake):
 
 
 @query("qq4_bids_per_lot", sql="""
-SELECT cpv_division_name, round_even(avg(avg_tenders_per_lot), 1) AS avg_bids FROM gold_notice_awards
+SELECT cpv_division_name, """ + mean_rounded_sql("avg_tenders_per_lot") + """ AS avg_bids FROM gold_notice_awards
 WHERE cpv_division_name IS NOT NULL GROUP BY 1 HAVING avg(avg_tenders_per_lot) IS NOT NULL
 ORDER BY avg(avg_tenders_per_lot) DESC, cpv_division_name LIMIT 6""")
 def qq4_bids_per_lot(lake):
     """Most contested CPV divisions by mean bids per lot, top 6."""
     g = (lake.gold("gold_notice_awards").where(F.col("cpv_division_name").isNotNull()).groupBy("cpv_division_name")
-         .agg(F.avg("avg_tenders_per_lot").alias("_m")).where(F.col("_m").isNotNull()))
+         .agg(F.avg("avg_tenders_per_lot").alias("_m"), mean_rounded("avg_tenders_per_lot").alias("avg_bids"))
+         .where(F.col("_m").isNotNull()))
     return (g.orderBy(F.col("_m").desc(), "cpv_division_name").limit(6)
-            .select("cpv_division_name", F.bround("_m", 1).alias("avg_bids")))
+            .select("cpv_division_name", "avg_bids"))
 
 
 @query("qq5_open_value", sql="""
@@ -245,13 +248,14 @@ def qq5_open_value(lake):
 
 
 @query("qq6_savings_by_type", sql="""
-SELECT proc_type, round_even(median(savings_pct), 1) AS median_savings, round_even(avg(savings_pct), 1) AS mean_savings,
+SELECT proc_type, """ + round_sql("median(savings_pct)") + """ AS median_savings,
+  """ + mean_rounded_sql("savings_pct") + """ AS mean_savings,
   count(*) AS n_contracts FROM gold_notice_awards WHERE proc_type IS NOT NULL GROUP BY 1""")
 def qq6_savings_by_type(lake):
     """Savings by procurement type: median, mean, count."""
     return (lake.gold("gold_notice_awards").where(F.col("proc_type").isNotNull()).groupBy("proc_type")
-            .agg(F.bround(F.median("savings_pct"), 1).alias("median_savings"),
-                 F.bround(F.avg("savings_pct"), 1).alias("mean_savings"), F.count(F.lit(1)).alias("n_contracts")))
+            .agg(round_half_even(F.median("savings_pct")).alias("median_savings"),
+                 mean_rounded("savings_pct").alias("mean_savings"), F.count(F.lit(1)).alias("n_contracts")))
 
 
 @query("qq7_largest_mean_tender", sql="""

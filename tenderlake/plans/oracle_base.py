@@ -10,6 +10,14 @@ from __future__ import annotations
 from ..functions.lookups import CPV_DIVISIONS, DEDUPE_DATE_COLUMNS, QUALITY_VALUE_COLUMNS, SME_VALUES
 
 
+def mean_rounded_sql(x: str, scale: int = 1) -> str:
+    return f"CAST(round_even(CAST(avg(CAST({x} AS DECIMAL(38,10))) AS DECIMAL(38,14)), {scale}) AS DOUBLE)"
+
+
+def round_sql(x: str, scale: int = 1) -> str:
+    return f"CAST(round_even(CAST({x} AS DECIMAL(38,14)), {scale}) AS DOUBLE)"
+
+
 def _nn(x: str) -> str:
     return f"CASE WHEN {x} >= 0 THEN {x} END"
 
