@@ -117,50 +117,50 @@ SELECT * FROM (
 WHERE n_bids >= 2 AND n_win = 1"""
 
 add_ctes([
-    ("cb", BIDS_SQL),
-    ("sh", """SELECT * EXCLUDE (n_win), (prior_wins + 1.0) / (prior_bids + 5.0) AS supplier_winrate
-FROM (SELECT *, row_number() OVER w - 1 AS prior_bids, sum(is_winner) OVER w - is_winner AS prior_wins FROM cb
+    ("bid_cb", BIDS_SQL),
+    ("bid_sh", """SELECT * EXCLUDE (n_win), (prior_wins + 1.0) / (prior_bids + 5.0) AS supplier_winrate
+FROM (SELECT *, row_number() OVER w - 1 AS prior_bids, sum(is_winner) OVER w - is_winner AS prior_wins FROM bid_cb
       WINDOW w AS (PARTITION BY tendering_party_id ORDER BY pub_date NULLS LAST, notice_id, lot_id, tender_id
                    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))"""),
-    ("bf", """SELECT *, is_cheapest * ac_price AS cheap_x_price FROM (
+    ("bid_bf", """SELECT *, is_cheapest * ac_price AS cheap_x_price FROM (
   SELECT *, (rank() OVER (PARTITION BY notice_id, lot_id ORDER BY tender_value) - 1) * 1.0 / (n_bids - 1) AS price_rank_pct,
     CAST(tender_value <= lot_min AS DOUBLE) AS is_cheapest, (tender_value - lot_min) / lot_mean AS gap_to_min,
     CASE WHEN lot_std <> 0 THEN (tender_value - lot_mean) / lot_std ELSE 0.0 END AS value_z,
     ln(1 + tender_value) AS log_value, CAST(COALESCE(subcontracting, '') = 'yes' AS DOUBLE) AS sub_yes,
     CAST(lower(COALESCE(award_criteria, '')) = 'price' AS DOUBLE) AS ac_price,
     CAST(lower(COALESCE(award_criteria, '')) = 'quality' AS DOUBLE) AS ac_quality
-  FROM sh)"""),
-    ("ls_lo", """SELECT notice_id, lot_id, row_number() OVER (ORDER BY first_pub NULLS LAST, notice_id, lot_id) - 1 AS lot_order
-FROM (SELECT notice_id, lot_id, min(pub_date) AS first_pub FROM bf GROUP BY 1, 2)"""),
-    ("ls", """SELECT bf.*, lo.lot_order, lo.lot_order <= (SELECT quantile_cont(l2.lot_order, 0.8) FROM bf b2
-    JOIN ls_lo l2 ON l2.notice_id = b2.notice_id AND l2.lot_id = b2.lot_id) AS is_train
-FROM bf JOIN ls_lo lo ON lo.notice_id = bf.notice_id AND lo.lot_id = bf.lot_id"""),
+  FROM bid_sh)"""),
+    ("bid_ls_lo", """SELECT notice_id, lot_id, row_number() OVER (ORDER BY first_pub NULLS LAST, notice_id, lot_id) - 1 AS lot_order
+FROM (SELECT notice_id, lot_id, min(pub_date) AS first_pub FROM bid_bf GROUP BY 1, 2)"""),
+    ("bid_ls", """SELECT bid_bf.*, lo.lot_order, lo.lot_order <= (SELECT quantile_cont(l2.lot_order, 0.8) FROM bid_bf b2
+    JOIN bid_ls_lo l2 ON l2.notice_id = b2.notice_id AND l2.lot_id = b2.lot_id) AS is_train
+FROM bid_bf JOIN bid_ls_lo lo ON lo.notice_id = bid_bf.notice_id AND lo.lot_id = bid_bf.lot_id"""),
 ])
 
 BID_COLS = ["notice_id", "lot_id", "tender_id", "tendering_party_id", "tender_value", "is_winner", "n_bids"]
 
 
-@query("competitive_bids", sql="SELECT " + ", ".join(BID_COLS) + ", lot_min, lot_mean, lot_std FROM cb")
+@query("competitive_bids", sql="SELECT " + ", ".join(BID_COLS) + ", lot_min, lot_mean, lot_std FROM bid_cb")
 def competitive_bids_q(lake):
     """Bids of competitive lots (>= 2 positive bids, exactly one winner) with lot price stats."""
     return competitive_bids(lake).select(*BID_COLS, "lot_min", "lot_mean", "lot_std")
 
 
 @query("supplier_history", sql="SELECT notice_id, lot_id, tender_id, tendering_party_id, is_winner, prior_bids, "
-       "prior_wins, supplier_winrate FROM sh")
+       "prior_wins, supplier_winrate FROM bid_sh")
 def supplier_history(lake):
     """Leakage-safe supplier track record: prior bids, prior wins, (w + 1) / (b + 5)."""
     return supplier_history_df(lake).select("notice_id", "lot_id", "tender_id", "tendering_party_id", "is_winner",
                                             "prior_bids", "prior_wins", "supplier_winrate")
 
 
-@query("bid_features", sql="SELECT notice_id, lot_id, tender_id, is_winner, " + ", ".join(FEATS) + " FROM bf")
+@query("bid_features", sql="SELECT notice_id, lot_id, tender_id, is_winner, " + ", ".join(FEATS) + " FROM bid_bf")
 def bid_features(lake):
     """Bid-relative features: price rank, cheapest flag, gap, z-score, log value, criteria flags."""
     return bid_features_df(lake).select("notice_id", "lot_id", "tender_id", "is_winner", *FEATS)
 
 
-@query("lot_split", sql="SELECT notice_id, lot_id, tender_id, lot_order, is_train FROM ls")
+@query("lot_split", sql="SELECT notice_id, lot_id, tender_id, lot_order, is_train FROM bid_ls")
 def lot_split(lake):
     """Time-ordered split by lot (0.8 quantile of the lot order over bids)."""
     return lot_split_df(lake).select("notice_id", "lot_id", "tender_id", "lot_order", "is_train")
@@ -193,7 +193,7 @@ def binary_metrics_df(spark, scored: DataFrame) -> DataFrame:
 
 
 @query("binary_metrics", sql="""
-WITH t AS (SELECT notice_id, lot_id, tender_id, is_winner, supplier_winrate AS score FROM ls WHERE NOT is_train),
+WITH t AS (SELECT notice_id, lot_id, tender_id, is_winner, supplier_winrate AS score FROM bid_ls WHERE NOT is_train),
 ar AS (SELECT *, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2.0 AS r FROM t),
 ap AS (SELECT *, sum(is_winner) OVER w AS tp, row_number() OVER w AS k FROM t
        WINDOW w AS (ORDER BY score DESC, notice_id, lot_id, tender_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
@@ -224,7 +224,7 @@ def ranking_metrics_df(scored: DataFrame) -> DataFrame:
 
 
 @query("ranking_metrics", sql="""
-WITH t AS (SELECT notice_id, lot_id, tender_id, tender_value, is_winner, supplier_winrate AS score FROM ls
+WITH t AS (SELECT notice_id, lot_id, tender_id, tender_value, is_winner, supplier_winrate AS score FROM bid_ls
            WHERE NOT is_train),
 r AS (SELECT *, row_number() OVER (PARTITION BY notice_id, lot_id ORDER BY score DESC, tender_id) AS rk,
         row_number() OVER (PARTITION BY notice_id, lot_id ORDER BY tender_value, tender_id) AS pk FROM t)
