@@ -185,7 +185,8 @@ def global_rank(spark, df: DataFrame, order: list[Column], value: str | None = N
 
 
 def running_by_group(spark, df: DataFrame, group: list[str], order: list[Column], value: str | None = None,
-                     rank_col: str = "group_rank", running_col: str = "group_running") -> DataFrame:
+                     rank_col: str = "group_rank", running_col: str = "group_running",
+                     size_col: str | None = None) -> DataFrame:
     """Exact per-group ``row_number`` (and running sum of ``value``) in the
     order ``order`` that stays balanced when one group holds a large share of
     the rows.
@@ -204,10 +205,31 @@ def running_by_group(spark, df: DataFrame, group: list[str], order: list[Column]
     stats = s.groupBy("_pid", *group).agg(*aggs)
     before = W.partitionBy(*group).orderBy("_pid").rowsBetween(W.unboundedPreceding, -1)
     offs = stats.select("_pid", *group, F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_roff"),
-                        *([F.coalesce(F.sum("_vs").over(before), F.lit(0)).alias("_voff")] if value else []))
+                        *([F.coalesce(F.sum("_vs").over(before), F.lit(0)).alias("_voff")] if value else []),
+                        *([F.sum("_cnt").over(W.partitionBy(*group)).alias(size_col)] if size_col else []))
     j = s.join(offs, ["_pid", *group])
     w = W.partitionBy("_pid", *group).orderBy("_pos")
     out = j.withColumn(rank_col, F.col("_roff") + F.row_number().over(w))
     if value:
         out = out.withColumn(running_col, F.col("_voff") + F.sum(value).over(w.rowsBetween(W.unboundedPreceding, 0)))
     return out.drop("_mid", "_pid", "_pos", "_roff", "_voff")
+
+
+def grouped_median(spark, df: DataFrame, group: list[str], value: str, out: str = "median") -> DataFrame:
+    """Exact median of ``value`` per group (average of the two middle values),
+    robust to a group holding a large share of the rows.
+
+    ``F.median`` keeps a map of the group's distinct values and merges it for
+    the whole group in one task; here the rows are range-partitioned by
+    (group, value), each row learns its rank and its group size from the
+    bounded per-partition statistics, and only the one or two middle rows per
+    group reach the final (tiny) aggregate.
+    """
+    keys = list(group) or ["_all"]
+    d = df.where(F.col(value).isNotNull())
+    d = (d.select(*group, value) if group else d.select(F.lit(1).alias("_all"), value))
+    r = running_by_group(spark, d, keys, [F.col(value)], rank_col="_rk", size_col="_gn")
+    lo, hi = F.floor((F.col("_gn") + 1) / 2), F.ceil((F.col("_gn") + 1) / 2)
+    mid = r.where((F.col("_rk") == lo) | (F.col("_rk") == hi))
+    res = mid.groupBy(*keys).agg(F.avg(value).alias(out))
+    return res if group else res.drop("_all")

@@ -135,12 +135,13 @@ def _top_by_sum(df: DataFrame, keys: list[str], value: str, measure: str, out: s
 def top_buyers(lake, k: int = 100) -> DataFrame:
     e = exhun(lake).where(F.col("buyer_name").isNotNull())
     g = e.groupBy("buyer_name", "buyer_country").agg(
-        F.sum("awarded_eur_total").alias("total_spend_eur"), F.count_distinct("notice_id").alias("notice_count"),
-        F.median("awarded_eur_total").alias("median_cv"))
+        F.sum("awarded_eur_total").alias("total_spend_eur"), F.count_distinct("notice_id").alias("notice_count"))
     top = K.top_k(g, k, F.col("total_spend_eur").desc(), F.col("buyer_name"), F.col("buyer_country"))
-    dom = _mode_by(e.join(top.select("buyer_name", "buyer_country"), ["buyer_name", "buyer_country"], "left_semi"),
-                   ["buyer_name", "buyer_country"], "cpv_division_name", "dominant_cpv")
-    return top.join(dom, ["buyer_name", "buyer_country"], "left")
+    keys = ["buyer_name", "buyer_country"]
+    mine = e.join(top.select(*keys), keys, "left_semi")     # only the top buyers' notices
+    dom = _mode_by(mine, keys, "cpv_division_name", "dominant_cpv")
+    med = K.grouped_median(lake.spark, mine, keys, "awarded_eur_total", "median_cv")
+    return top.join(med, keys, "left").join(dom, keys, "left")
 
 
 TOP_BUYERS_SQL = f"""bp AS (SELECT * FROM (
@@ -391,7 +392,7 @@ def country_master(lake):
                                         F.count_distinct("notice_id").alias("notice_count"))
     cc = (comp(lake).where(F.col(TC).isNotNull()).groupBy("buyer_country")
           .agg(F.median(TC).alias("median_bidders"), solo().alias("solo_rate_pct")))
-    sv = notice_savings(lake).groupBy("buyer_country").agg(F.median("savings_pct").alias("median_savings_pct"))
+    sv = K.grouped_median(lake.spark, notice_savings(lake), ["buyer_country"], "savings_pct", "median_savings_pct")
     dc = _mode_by(e, ["buyer_country"], "cpv_division_name", "dominant_cpv")
     tb = _top_by_sum(e, ["buyer_country"], "buyer_name", "awarded_eur_total", "top_buyer")
     j = sp

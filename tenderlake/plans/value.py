@@ -182,10 +182,13 @@ SELECT scope, buyer_country, avg(awarded_eur_total) AS mean_eur, median(awarded_
 FROM scoped GROUP BY 1, 2 HAVING count(notice_id) >= 20""")
 def contract_size_country(lake):
     """Notice contract size by country (n >= 20): mean, median, std, max, skew flag."""
-    g = _scoped(lake).groupBy("scope", "buyer_country").agg(
-        F.avg("awarded_eur_total").alias("mean_eur"), F.median("awarded_eur_total").alias("median_eur"),
+    s = _scoped(lake)
+    g = s.groupBy("scope", "buyer_country").agg(
+        F.avg("awarded_eur_total").alias("mean_eur"),
         F.stddev_samp("awarded_eur_total").alias("std_eur"), F.count("notice_id").alias("n_notices"),
         F.max("awarded_eur_total").alias("max_eur"))
+    g = g.join(K.grouped_median(lake.spark, s, ["scope", "buyer_country"], "awarded_eur_total", "median_eur"),
+               ["scope", "buyer_country"], "left")
     return (g.where(F.col("n_notices") >= 20)
             .withColumn("high_skew", F.col("mean_eur") > 5 * F.col("median_eur")))
 
@@ -195,9 +198,9 @@ SELECT scope, median(awarded_eur_total) AS median_eur, avg(awarded_eur_total) AS
 FROM scoped GROUP BY scope""")
 def contract_size_overall(lake):
     """Overall notice contract size (full and ex-country)."""
-    return _scoped(lake).groupBy("scope").agg(F.median("awarded_eur_total").alias("median_eur"),
-                                              F.avg("awarded_eur_total").alias("mean_eur"),
-                                              F.count(F.lit(1)).alias("n_notices"))
+    s = _scoped(lake)
+    return (s.groupBy("scope").agg(F.avg("awarded_eur_total").alias("mean_eur"), F.count(F.lit(1)).alias("n_notices"))
+            .join(K.grouped_median(lake.spark, s, ["scope"], "awarded_eur_total", "median_eur"), "scope", "left"))
 
 
 def savings_lots(lake, trim: float = 200.0) -> DataFrame:
@@ -241,7 +244,8 @@ SELECT count(*) AS n_contracts, median(savings_pct) AS median_savings_pct, avg(s
 def savings_summary(lake):
     """Savings distribution: n, median, mean, share over / under budget."""
     s = savings_lots(lake)
-    return s.agg(F.count(F.lit(1)).alias("n_contracts"), F.median("savings_pct").alias("median_savings_pct"),
+    med = K.grouped_median(lake.spark, s, [], "savings_pct", "m").select("m").scalar()
+    return s.agg(F.count(F.lit(1)).alias("n_contracts"), med.alias("median_savings_pct"),
                  F.avg("savings_pct").alias("mean_savings_pct"),
                  F.count_if(F.col("savings_pct") < 0).alias("n_over"),
                  F.count_if(F.col("savings_pct") > 0).alias("n_under"),
@@ -255,9 +259,12 @@ SELECT buyer_country, avg(savings_pct) AS mean_savings_pct, median(savings_pct)
 FROM sv GROUP BY buyer_country HAVING count(notice_id) >= 5""")
 def savings_by_country(lake):
     """Savings by country (>= 5 notices) with an overrun flag."""
-    g = savings_lots(lake).groupBy("buyer_country").agg(
-        F.avg("savings_pct").alias("mean_savings_pct"), F.median("savings_pct").alias("median_savings_pct"),
+    sl = savings_lots(lake)
+    g = sl.groupBy("buyer_country").agg(
+        F.avg("savings_pct").alias("mean_savings_pct"),
         F.count("notice_id").alias("n_contracts"), F.sum("savings_eur").alias("total_savings_eur"))
+    g = g.join(K.grouped_median(lake.spark, sl, ["buyer_country"], "savings_pct", "median_savings_pct"),
+               "buyer_country", "left")
     return (g.where(F.col("n_contracts") >= 5).withColumn("overrun", F.col("median_savings_pct") < 0)
             .orderBy(F.col("median_savings_pct").desc(), "buyer_country"))
 
@@ -267,9 +274,11 @@ SELECT proc_type, avg(savings_pct) AS mean_savings_pct, median(savings_pct) AS m
   count(*) AS n_contracts FROM sv GROUP BY proc_type HAVING count(*) >= 5""")
 def savings_by_type(lake):
     """Savings by procurement type (>= 5 notices)."""
-    g = savings_lots(lake).groupBy("proc_type").agg(
-        F.avg("savings_pct").alias("mean_savings_pct"), F.median("savings_pct").alias("median_savings_pct"),
-        F.count(F.lit(1)).alias("n_contracts"))
+    sl = savings_lots(lake)
+    g = sl.groupBy("proc_type").agg(F.avg("savings_pct").alias("mean_savings_pct"),
+                                    F.count(F.lit(1)).alias("n_contracts"))
+    g = g.join(K.grouped_median(lake.spark, sl, ["proc_type"], "savings_pct", "median_savings_pct"), "proc_type",
+               "left")
     return g.where(F.col("n_contracts") >= 5)
 
 
@@ -354,10 +363,10 @@ FROM s LEFT JOIN c ON c.proc_type = s.proc_type""")
 def spend_by_type(lake):
     """Spend by type with share, joined to open-notice counts (EUR per open notice)."""
     c = K.notice_awards_clean(lake)
-    s = c.groupBy("proc_type").agg(F.sum("awarded_eur_total").alias("total_eur"),
-                                   F.avg("awarded_eur_total").alias("mean_eur"),
-                                   F.median("awarded_eur_total").alias("median_eur"),
-                                   F.count("notice_id").alias("n_contracts"))
+    s = (c.groupBy("proc_type").agg(F.sum("awarded_eur_total").alias("total_eur"),
+                                    F.avg("awarded_eur_total").alias("mean_eur"),
+                                    F.count("notice_id").alias("n_contracts"))
+         .join(K.grouped_median(lake.spark, c, ["proc_type"], "awarded_eur_total", "median_eur"), "proc_type", "left"))
     cn = K.value_counts(lake.gold("gold_opportunities"), "proc_type", "cn_count")
     return (s.join(cn, "proc_type", "left")
             .withColumns({"pct_of_spend": K.pct(F.col("total_eur"), K.total(c, F.sum("awarded_eur_total"))),
@@ -372,10 +381,12 @@ SELECT *, cpv_division IN ({", ".join(f"'{d}'" for d in SELECTED_DIVISIONS)}) AS
 {_pareto_sql('g', 'cpv_division, cpv_division_name', 'total_eur')})""")
 def spend_by_cpv(lake):
     """Spend by CPV division: sum, mean, median, n, share, running share, 80 % set."""
-    g = (K.notice_awards_clean(lake).withColumn("scope", F.lit("all"))
-         .groupBy("scope", "cpv_division", "cpv_division_name")
+    c = K.notice_awards_clean(lake).withColumn("scope", F.lit("all"))
+    keys = ["scope", "cpv_division", "cpv_division_name"]
+    g = (c.groupBy(*keys)
          .agg(F.sum("awarded_eur_total").alias("total_eur"), F.avg("awarded_eur_total").alias("mean_eur"),
-              F.median("awarded_eur_total").alias("median_eur"), F.count("notice_id").alias("n_contracts")))
+              F.count("notice_id").alias("n_contracts"))
+         .join(K.grouped_median(lake.spark, c, keys, "awarded_eur_total", "median_eur"), keys, "left"))
     return (_pareto(g, ["cpv_division", "cpv_division_name"], "total_eur", "n_contracts")
             .withColumn("is_selected", F.col("cpv_division").isin(*SELECTED_DIVISIONS)))
 
@@ -473,8 +484,9 @@ def size_tiers(lake):
     a = (lake.gold("gold_awards").where(F.col("contract_value").isNotNull())
          .select(K.cap_value("contract_value").alias("cv"))
          .withColumn("size_segment", K.C.size_tier("cv", "right")).where(F.col("size_segment").isNotNull()))
-    g = a.groupBy("size_segment").agg(F.count(F.lit(1)).alias("lot_count"), F.sum("cv").alias("total_spend"),
-                                      F.avg("cv").alias("avg_value"), F.median("cv").alias("median_value"))
+    g = (a.groupBy("size_segment").agg(F.count(F.lit(1)).alias("lot_count"), F.sum("cv").alias("total_spend"),
+                                       F.avg("cv").alias("avg_value"))
+         .join(K.grouped_median(lake.spark, a, ["size_segment"], "cv", "median_value"), "size_segment", "left"))
     return (g.select("*", K.pct(F.col("lot_count"), K.total(a)).alias("pct_lots"),
                      K.pct(F.col("total_spend"), K.total(a, F.sum("cv"))).alias("pct_spend"))
             .orderBy(K.tier_order("size_segment")))

@@ -121,3 +121,18 @@ def test_average_rank_ties(spark):
 def test_empty_input(spark):
     empty = spark.createDataFrame([], "notice_id string, pub_date string, estimated double")
     assert S.dedupe_quality(empty, ["notice_id"]).count() == 0
+
+
+def test_grouped_median_matches_pandas_with_hot_group(spark):
+    import statistics
+    rnd = random.Random(11)
+    data = [("HOT" if i % 3 == 0 else f"g{rnd.randint(0, 9)}", float(rnd.randint(0, 500)) / 7) for i in range(1200)]
+    df = spark.createDataFrame(data, "g string, v double").repartition(6)
+    got = {r.g: r.median for r in K.grouped_median(spark, df, ["g"], "v").collect()}
+    groups = {}
+    for g, v in data:
+        groups.setdefault(g, []).append(v)
+    for g, vals in groups.items():
+        assert abs(got[g] - statistics.median(vals)) < 1e-9
+    overall = K.grouped_median(spark, df, [], "v").first().median
+    assert abs(overall - statistics.median([v for _, v in data])) < 1e-9
