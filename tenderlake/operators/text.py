@@ -164,4 +164,4 @@ def similar_to(vectors: DataFrame, query_id, k: int = 5, id_col: str = "doc_id")
     order = [F.col("score").desc(), F.col(id_col).desc()]
     top = scores.unionByName(zeros).orderBy(*order).limit(k)
     return top.select(F.lit(query_id).alias("query_id"), id_col, "score",
-                      F.row_number().over(W.orderBy(*order)).alias("rank"))
+                      F.row_number().over(W.orderBy(*order)).cast("bigint").alias("rank"))

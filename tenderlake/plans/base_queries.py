@@ -104,7 +104,7 @@ def dedupe_quality(lake):
 
 
 @query("dedupe_stats", sql="""
-SELECT sum(CASE WHEN n > 1 THEN n ELSE 0 END) AS duplicate_rows, sum(n - 1) AS removed_rows
+SELECT CAST(sum(CASE WHEN n > 1 THEN n ELSE 0 END) AS BIGINT) AS duplicate_rows, CAST(sum(n - 1) AS BIGINT) AS removed_rows
 FROM (SELECT count(*) AS n FROM t_lots GROUP BY notice_id, lot_id)""")
 def dedupe_stats(lake):
     """Rows sharing a natural key (keep=False count) and rows the dedupe removes."""

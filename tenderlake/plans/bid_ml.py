@@ -119,7 +119,8 @@ WHERE n_bids >= 2 AND n_win = 1"""
 add_ctes([
     ("bid_cb", BIDS_SQL),
     ("bid_sh", """SELECT * EXCLUDE (n_win), (prior_wins + 1.0) / (prior_bids + 5.0) AS supplier_winrate
-FROM (SELECT *, row_number() OVER w - 1 AS prior_bids, sum(is_winner) OVER w - is_winner AS prior_wins FROM bid_cb
+FROM (SELECT *, row_number() OVER w - 1 AS prior_bids, CAST(sum(is_winner) OVER w - is_winner AS BIGINT) AS prior_wins
+      FROM bid_cb
       WINDOW w AS (PARTITION BY tendering_party_id ORDER BY pub_date NULLS LAST, notice_id, lot_id, tender_id
                    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))"""),
     ("bid_bf", """SELECT *, is_cheapest * ac_price AS cheap_x_price FROM (
@@ -366,8 +367,8 @@ def mart_features_df(lake) -> DataFrame:
     return a.select(
         "notice_id", F.log1p(F.coalesce("estimated", F.lit(0.0))).alias("log_estimated"),
         F.log1p(F.coalesce("awarded_eur", F.lit(0.0))).alias("log_awarded"),
-        F.col("cpv_division").try_cast("int").alias("cpv_div_int"), F.month(d).alias("pub_month"),
-        F.weekday(d).alias("pub_weekday"), framework.isNotNull().cast("int").alias("is_framework"),
+        F.col("cpv_division").try_cast("int").alias("cpv_div_int"), F.month(d).cast("bigint").alias("pub_month"),
+        F.weekday(d).cast("bigint").alias("pub_weekday"), framework.isNotNull().cast("int").alias("is_framework"),
         F.coalesce(F.col("num_lots").cast("double"), F.lit(1.0)).alias("num_lots"),
         F.coalesce(F.col("sme_winner"), F.lit(False)).cast("int").alias("sme_winner_int"),
         "avg_tenders_per_lot", "awarded_eur", "proc_type", "buyer_country", "cpv_division")

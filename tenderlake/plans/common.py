@@ -44,9 +44,9 @@ def top_k(df: DataFrame, k: int, *order: Column, partition: list[str] | None = N
     """
     if partition:
         w = W.partitionBy(*partition).orderBy(*order)
-        return df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= k)
+        return df.withColumn(rank_col, F.row_number().over(w).cast("bigint")).where(F.col(rank_col) <= k)
     top = df.orderBy(*order).limit(k)
-    return top.withColumn(rank_col, F.row_number().over(W.orderBy(*order)))
+    return top.withColumn(rank_col, F.row_number().over(W.orderBy(*order)).cast("bigint"))
 
 
 def cap_value(c: str, cap: float = VALUE_CAP) -> Column:

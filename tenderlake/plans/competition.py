@@ -151,7 +151,7 @@ def competition_by_cpv(lake):
     g = _intensity(_with_bidders(lake), ["cpv_division", "cpv_division_name"]).where(F.col("n_notices") >= 20)
     # One row per CPV division: a bounded dimension, so a global window is cheap here.
     w = W.orderBy(F.col("median_bidders").desc(), "cpv_division")
-    r = g.withColumn("rank", F.row_number().over(w))
+    r = g.withColumn("rank", F.row_number().over(w).cast("bigint"))
     n = K.total(g)
     return r.withColumns({"is_top15": F.col("rank") <= 15, "is_bottom15": F.col("rank") > n - 15})
 

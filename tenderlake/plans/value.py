@@ -129,7 +129,7 @@ def _pareto(df: DataFrame, keys: list[str], total_col: str, count_col: str, part
     w_run = W.partitionBy(*part).orderBy(F.col(total_col).desc(), *keys).rowsBetween(W.unboundedPreceding, 0)
     out = df.withColumns({
         "pct_of_total": F.col(total_col) * 100.0 / F.sum(total_col).over(w_all),
-        "rank": F.row_number().over(W.partitionBy(*part).orderBy(F.col(total_col).desc(), *keys)),
+        "rank": F.row_number().over(W.partitionBy(*part).orderBy(F.col(total_col).desc(), *keys)).cast("bigint"),
     }).withColumn("cumulative_pct", F.sum("pct_of_total").over(w_run))
     n80 = F.count_if(F.col("cumulative_pct") <= 80).over(w_all) + 1
     return out.withColumn("in_top_80", F.col("rank") <= n80)

@@ -179,7 +179,8 @@ def dow_counts(lake):
                                       F.date_format(F.date_add(F.lit("2024-01-01").cast("date"),
                                                                F.col("id").cast("int")), "EEEE").alias("day_of_week"))
     return (days.join(c, "dow", "left")
-            .select((F.col("dow") + 1).alias("day_index"), "day_of_week", F.coalesce("n", F.lit(0)).alias("n")))
+            .select((F.col("dow") + 1).cast("bigint").alias("day_index"), "day_of_week",
+                    F.coalesce("n", F.lit(0)).alias("n")))
 
 
 @query("week_counts", sql=f"""
@@ -188,7 +189,7 @@ WHERE TRY_CAST(pub_date AS DATE) BETWEEN DATE '{P0}' AND DATE '{P1}' GROUP BY 1"
 def week_counts(lake):
     """ISO-week counts inside the window."""
     d = _notices_dated(lake).where(_in_period("pub_day"))
-    return d.groupBy(F.weekofyear("pub_day").alias("iso_week")).agg(F.count(F.lit(1)).alias("n"))
+    return d.groupBy(F.weekofyear("pub_day").cast("bigint").alias("iso_week")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("can_cn_ratio", sql="""

@@ -248,7 +248,7 @@ def tendering_parties(p: DataFrame) -> DataFrame:
                                               .alias("tid")))).alias("_t"))
     return g.select("notice_id", F.col("tendering_party_id").alias("party_id"),
                     F.array_join(F.transform("_t", lambda x: x["tid"]), ", ").alias("tender_ids"),
-                    F.size("_t").alias("num_tenders"))
+                    F.size("_t").cast("bigint").alias("num_tenders"))
 
 
 BRONZE = {
