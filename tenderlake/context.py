@@ -61,7 +61,9 @@ class Lake:
     @classmethod
     def get(cls, spark: SparkSession, sf_dir: str, materialize: bool | None = None) -> "Lake":
         if materialize is None:
-            materialize = spark.conf.get("tenderlake.materialize", "false").lower() == "true"
+            # Layers are written tables by default (the medallion edges); set
+            # tenderlake.materialize=false to keep every query one lazy plan.
+            materialize = spark.conf.get("tenderlake.materialize", "true").lower() == "true"
         key = (id(spark), sf_dir.rstrip("/"), materialize)
         with _LOCK:
             if key not in _LAKES:

@@ -101,19 +101,6 @@ def blank_to_null(c: str | Column) -> Column:
     return F.when(~s.isin("", "None", "nan", "NaT", "<NA>"), s)
 
 
-def money_label(c: str | Column) -> Column:
-    """Compact money label: EUR 1.2B / 3.4M / 5K / 12."""
-    v = col(c)
-    a = F.abs(v)
-    return (
-        F.when(v.isNull(), F.lit(None))
-        .when(a >= 1e9, F.concat(F.lit("€"), F.format_number(v / 1e9, 1), F.lit("B")))
-        .when(a >= 1e6, F.concat(F.lit("€"), F.format_number(v / 1e6, 1), F.lit("M")))
-        .when(a >= 1e3, F.concat(F.lit("€"), F.format_number(v / 1e3, 0), F.lit("K")))
-        .otherwise(F.concat(F.lit("€"), F.format_number(v, 0)))
-    )
-
-
 def size_tier(c: str | Column, closed: str = "right", labels: tuple[str, ...] = SIZE_TIER_LABELS_EURO) -> Column:
     """Contract size tier on edges 50k / 500k / 5M.
 

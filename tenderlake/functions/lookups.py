@@ -155,11 +155,6 @@ VALUE_CAP = 5_000_000_000.0
 EXCLUDED_COUNTRY = "HUN"
 
 
-def cpv_values_sql() -> str:
-    """The CPV table as a SQL VALUES list (for the DuckDB oracle)."""
-    rows = ", ".join(f"('{k}', '{v}')" for k, v in CPV_DIVISIONS.items())
-    return f"SELECT * FROM (VALUES {rows}) AS t(division, division_name)"
-
 # --- FIXED VALUES: contract size tiers (edges 50k / 500k / 5M) ---------------
 # Labels of the value study:
 SIZE_TIER_LABELS_EURO: tuple[str, ...] = ("Micro (<€50K)", "Small (€50K–500K)", "Mid (€500K–5M)", "Large (>€5M)")

@@ -161,7 +161,9 @@ def similar_to(vectors: DataFrame, query_id, k: int = 5, id_col: str = "doc_id")
     zeros = (vectors.select(id_col).distinct().where(F.col(id_col) != query_id)
              .join(scores.select(id_col), id_col, "left_anti")
              .orderBy(F.col(id_col).desc()).limit(k).withColumn("score", F.lit(0.0)))
-    order = [F.col("score").desc(), F.col(id_col).desc()]
+    # cosine of identical texts is 1 +- a few ulps: rank on 10 decimals so exact
+    # duplicates tie and fall to the document-id tie-break
+    order = [F.round("score", 10).desc(), F.col(id_col).desc()]
     top = scores.unionByName(zeros).orderBy(*order).limit(k)
     return top.select(F.lit(query_id).alias("query_id"), id_col, "score",
                       F.row_number().over(W.orderBy(*order)).cast("bigint").alias("rank"))

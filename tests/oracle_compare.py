@@ -3,7 +3,7 @@
 Usage: python tests/oracle_compare.py [sf_dir] [name ...]
 
 Row count, column names and order-insensitive values are compared; doubles
-are compared after rounding to 6 significant digits, NULL == NaN.
+match within a relative tolerance of 1e-6, NULL == NaN.
 """
 
 from __future__ import annotations
