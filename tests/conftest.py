@@ -16,6 +16,7 @@ def spark():
     from pyspark.sql import SparkSession
     s = (SparkSession.builder.master("local[*]").appName("tenderlake-tests")
          .config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false")
+         .config("spark.driver.memory", "4g")
          .config("spark.ui.showConsoleProgress", "false").getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     if not s.sparkContext.getCheckpointDir():

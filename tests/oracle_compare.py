@@ -114,6 +114,7 @@ def main(argv):
     from pyspark.sql import SparkSession
     import __spark_entry__ as E
     spark = (SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
+             .config("spark.driver.memory", "8g")
              .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     qs, sqls = E.queries(), E.oracle_sql()
