@@ -25,7 +25,8 @@ HEADLINE = [
     "competition_savings_corr", "dominant_buyer", "buyer_profile", "opportunity_quadrant", "size_tiers",
     "value_brackets", "can_cn_ratio", "daily_counts", "check_summary", "gold_smoke", "award_kpis",
     "qq1_top_award_countries", "tokenize", "vocabulary_idf", "nb_predict", "nb_metrics", "similar_topk",
-    "supplier_history", "bid_features", "ranking_metrics", "events_daily",
+    "supplier_history", "bid_features", "ranking_metrics", "events_daily", "daily_counts_stream",
+    "bronze_notices", "lot_winner",
 ]
 
 
