@@ -349,9 +349,9 @@ def category_top_notices(lake):
 it AS (SELECT * FROM cat WHERE notices_comp >= 10),
 m AS (SELECT median(spend_bn) AS sm FROM it)
 SELECT it.*, CASE
-  WHEN spend_bn IS NOT NULL AND spend_bn >= m.sm AND median_bidders IS NOT NULL AND median_bidders >= {OPEN_MARKET_BIDDERS}
-    THEN '{IT_CLASSES[0]}'
-  WHEN spend_bn IS NOT NULL AND spend_bn >= m.sm THEN '{IT_CLASSES[1]}'
+  WHEN spend_bn IS NOT NULL AND round(spend_bn, 12) >= round(m.sm, 12) AND median_bidders IS NOT NULL
+    AND median_bidders >= {OPEN_MARKET_BIDDERS} THEN '{IT_CLASSES[0]}'
+  WHEN spend_bn IS NOT NULL AND round(spend_bn, 12) >= round(m.sm, 12) THEN '{IT_CLASSES[1]}'
   WHEN median_bidders IS NOT NULL AND median_bidders >= {OPEN_MARKET_BIDDERS} THEN '{IT_CLASSES[2]}'
   ELSE '{IT_CLASSES[3]}' END AS market_type
 FROM it, m""")
@@ -359,7 +359,8 @@ def market_class(lake):
     """Open / closed market classes for the focus category: spend >= median, bidders >= 2."""
     it = category_by_country(lake).where(F.col("notices_comp") >= 10)
     sm = it.select(F.median("spend_bn")).scalar()
-    hs = F.col("spend_bn").isNotNull() & (F.col("spend_bn") >= sm)
+    # the median is one of the countries' own sums, recomputed: compare at 12 decimals
+    hs = F.col("spend_bn").isNotNull() & (F.round("spend_bn", 12) >= F.round(sm, 12))
     hc = F.col("median_bidders").isNotNull() & (F.col("median_bidders") >= OPEN_MARKET_BIDDERS)
     c1, c2, c3, c4 = IT_CLASSES
     return it.withColumn("market_type", F.when(hs & hc, c1).when(hs, c2).when(hc, c3).otherwise(c4))
