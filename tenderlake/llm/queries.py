@@ -7,13 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, url_filter
+from . import bpe, chat, exact_dedup, packing, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def tokenizer_file(name: str) -> str:
+    """Where a public tokenizer's file is, by the package that holds them."""
+    import public_tokenizers
+    return str(public_tokenizers.path(name))
+
+
+def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encoded_digests(_table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+
+
 def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = r"\### Assistant: </turn> ok"
     more = spark.range(2).select(
@@ -23,6 +33,10 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_digests(turns.unionByName(more))
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+
+
 def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(_table(spark, sf_dir, "pages"))
 
@@ -57,7 +71,7 @@ FROM t JOIN g ON t.norm = g.norm
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_chat_formatting, op5_url_filters, op7_exact_dedup)}
+    return {f.__name__: f for f in (op1_bpe, op2_chat_formatting, op3_packing, op5_url_filters, op7_exact_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 #: The six ASCII white-space characters that the contracts name, as a Java / Python class body.
@@ -47,9 +48,7 @@ def text_or_empty(name: str = "text") -> Column:
 def map_columns(df: DataFrame, schema: StructType | str, make: Callable[[], Callable[[pa.RecordBatch], dict]]) -> DataFrame:
     """``mapInArrow`` where ``make()`` runs once in each task and returns a
     function from a record batch to a dict of column name to values."""
-    spark = df.sparkSession
     kind = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
-    from pyspark.sql.pandas.types import to_arrow_schema
     arrow = to_arrow_schema(kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -60,10 +59,22 @@ def map_columns(df: DataFrame, schema: StructType | str, make: Callable[[], Call
                 yield pa.RecordBatch.from_arrays(
                     [x if isinstance(x := got[c.name], pa.Array) else pa.array(x, c.type) for c in arrow], schema=arrow)
 
-    del spark
     return df.mapInArrow(run, kind)
 
 
+def blocks(texts: list[str], chars: int = 4_000_000) -> Iterator[list[str]]:
+    """Runs of texts with about so many characters in all, so that what is made of a run stays small."""
+    run, size = [], 0
+    for t in texts:
+        run.append(t)
+        size += len(t)
+        if size >= chars:
+            yield run
+            run, size = [], 0
+    if run:
+        yield run
+
+
 class BoundedCache(dict):
     """A dict that forgets everything at ``limit`` entries, so that a task's memory stays bounded."""
 
