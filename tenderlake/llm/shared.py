@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,10 +34,29 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Gives the executors' Python this package, once for each application, so that
+    functions of it run there however the application was started."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent.parent
+    path = Path(tempfile.mkdtemp(prefix="llm-code-")) / f"{package.name}-{uuid.uuid4().hex}.zip"
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    sc.addPyFile(str(path))
+    _SHIPPED.add(sc.applicationId)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet into the shared folder and read back: computed
     once, and no lost executor makes anything above it run again."""
     spark = df.sparkSession
+    ship(spark)
     path = f"{shared_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -48,6 +69,7 @@ def text_or_empty(name: str = "text") -> Column:
 def map_columns(df: DataFrame, schema: StructType | str, make: Callable[[], Callable[[pa.RecordBatch], dict]]) -> DataFrame:
     """``mapInArrow`` where ``make()`` runs once in each task and returns a
     function from a record batch to a dict of column name to values."""
+    ship(df.sparkSession)
     kind = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
     arrow = to_arrow_schema(kind)
 
