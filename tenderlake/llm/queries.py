@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, exact_dedup, packing, quality, substrings, url_filter
+from . import bpe, chat, exact_dedup, near_dedup, packing, quality, substrings, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,6 +53,10 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_components(_table(spark, sf_dir, "documents"))
+
+
 SQL_OP2 = r"""
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -79,7 +83,7 @@ FROM t JOIN g ON t.norm = g.norm
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe, op2_chat_formatting, op3_packing, op4_substring_dedup, op5_url_filters, op6_quality, op7_exact_dedup)}
+    return {f.__name__: f for f in (op1_bpe, op2_chat_formatting, op3_packing, op4_substring_dedup, op5_url_filters, op6_quality, op7_exact_dedup, op8_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
