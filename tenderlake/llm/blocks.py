@@ -25,27 +25,29 @@ from .shared import map_columns
 
 BLOCK_CHARS = 8_000_000
 RANGE_HASHES = 2_000_000
-PACKED = "block bigint, ids binary, sizes binary, texts binary"
+PACKED = "block bigint, ids binary, sizes binary, texts binary, known boolean"
 
 
 def total_chars(docs: DataFrame) -> int:
     return docs.agg(F.sum(F.length("text").cast("bigint"))).first()[0] or 0
 
 
-def packed(docs: DataFrame, n_blocks: int) -> DataFrame:
-    """(block, ids, sizes, texts): compressed runs of documents, null texts as empty, rows with a null doc_id left out."""
+def packed(docs: DataFrame, n_blocks: int, null_ids: bool = False) -> DataFrame:
+    """Compressed runs of documents, null texts as empty.  Rows with a null doc_id are
+    left out, or dealt by their texts and marked as not known."""
     def make():
         zip_ = zstandard.ZstdCompressor(level=1).compress
 
         def f(batch):
-            out = {"block": [], "ids": [], "sizes": [], "texts": []}
-            ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-            block = batch.column("block").to_numpy(zero_copy_only=False)
-            texts = batch.column("text").to_pylist()
-            order = np.argsort(block, kind="stable")
-            for part in np.split(order, np.flatnonzero(np.diff(block[order])) + 1):
+            out = {"block": [], "ids": [], "sizes": [], "texts": [], "known": []}
+            ids, block = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "block"))
+            known, texts = batch.column("known").to_numpy(zero_copy_only=False), batch.column("text").to_pylist()
+            order = np.lexsort((known, block))
+            changes = (np.diff(block[order]) != 0) | (known[order][1:] != known[order][:-1])
+            for part in np.split(order, np.flatnonzero(changes) + 1):
                 raw = [texts[i].encode() for i in part.tolist()]
                 out["block"].append(int(block[part[0]]))
+                out["known"].append(bool(known[part[0]]))
                 out["ids"].append(ids[part].astype("<i8").tobytes())
                 out["sizes"].append(np.array([len(r) for r in raw], "<i8").tobytes())
                 out["texts"].append(zip_(b"".join(raw)))
@@ -53,25 +55,27 @@ def packed(docs: DataFrame, n_blocks: int) -> DataFrame:
 
         return f
 
-    rows = (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-            .filter(F.col("doc_id").isNotNull())
-            .withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(n_blocks))))
-    return map_columns(rows, PACKED, make)
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    known = F.col("doc_id").isNotNull()
+    rows = rows.select(F.coalesce("doc_id", F.lit(0).cast("bigint")).alias("doc_id"), "text", known.alias("known"),
+                       F.pmod(F.when(known, F.xxhash64("doc_id")).otherwise(F.xxhash64("text")), F.lit(n_blocks)).alias("block"))
+    return map_columns(rows if null_ids else rows.filter("known"), PACKED, make)
 
 
-def unpacked(table: pa.Table) -> tuple[np.ndarray, list[bytes]]:
-    """Ids in ascending order and texts (UTF-8) of a block."""
-    ids, texts = [], []
-    for row in zip(*(table.column(c).to_pylist() for c in ("ids", "sizes", "texts"))):
+def unpacked(table: pa.Table) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+    """Ids in ascending order, texts (UTF-8) and whether the id is known, of a block."""
+    ids, texts, known = [], [], []
+    for row in zip(*(table.column(c).to_pylist() for c in ("ids", "sizes", "texts", "known"))):
         ids.append(np.frombuffer(row[0], "<i8"))
+        known += [row[3]] * len(ids[-1])
         whole, at = zstandard.ZstdDecompressor().decompress(row[2]) if row[2] else b"", 0
         for n in np.frombuffer(row[1], "<i8").tolist():
             texts.append(whole[at:at + n])
             at += n
     every = np.concatenate(ids) if ids else np.zeros(0, "i8")
     # Equal ids are ordered by their texts, so that a block is the same each time it is put together.
-    order = sorted(range(len(every)), key=lambda i: (every[i], texts[i]))
-    return every[order], [texts[i] for i in order]
+    order = sorted(range(len(every)), key=lambda i: (every[i], known[i], texts[i]))
+    return every[order], [texts[i] for i in order], np.array(known, bool)[order]
 
 
 class WordHashes(dict):
@@ -147,3 +151,13 @@ def by_range(hashes: np.ndarray, n_ranges: int) -> Iterator[tuple[int, slice]]:
     cuts = [0, *(np.flatnonzero(np.diff(which)) + 1).tolist(), len(hashes)]
     for a, b in zip(cuts, cuts[1:]):
         yield int(which[a]), slice(a, b)
+
+
+_KINDS = {"bigint": pa.int64(), "binary": pa.binary(), "string": pa.string(), "boolean": pa.bool_(), "double": pa.float64()}
+
+
+def arrow_table(rows: list[tuple], schema: str) -> pa.Table:
+    """Rows as an Arrow table with the columns of a schema like "a bigint, b binary"."""
+    fields = [c.split() for c in schema.split(", ")]
+    columns = list(zip(*rows)) if rows else [()] * len(fields)
+    return pa.table({n: pa.array(list(c), _KINDS[k]) for (n, k), c in zip(fields, columns)})

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, exact_dedup, fingerprints, near_dedup, packing, quality, substrings, url_filter
+from . import bpe, chat, exact_dedup, fingerprints, language_model, near_dedup, packing, quality, substrings, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,6 +61,10 @@ def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.with_edits(_table(spark, sf_dir, "documents"))
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score_texts(_table(spark, sf_dir, "documents"))
+
+
 SQL_OP2 = r"""
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -87,7 +91,7 @@ FROM t JOIN g ON t.norm = g.norm
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe, op2_chat_formatting, op3_packing, op4_substring_dedup, op5_url_filters, op6_quality, op7_exact_dedup, op8_near_dedup, op9_fingerprints)}
+    return {f.__name__: f for f in (op1_bpe, op2_chat_formatting, op3_packing, op4_substring_dedup, op5_url_filters, op6_quality, op7_exact_dedup, op8_near_dedup, op9_fingerprints, op10_lm_scoring)}
 
 
 def oracle_sql() -> dict[str, str]:

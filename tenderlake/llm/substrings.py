@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import (BLOCK_CHARS, RANGE_HASHES, WORD_HASHES, by_range, packed, total_chars, unpacked, unzipped,
+from .blocks import (BLOCK_CHARS, RANGE_HASHES, WORD_HASHES, arrow_table, by_range, packed, total_chars, unpacked, unzipped,
                      window_hashes, zipped)
 from .shared import SPACE, written
 
@@ -45,7 +45,7 @@ class Words:
     """The words of a block's documents in one row of hashes."""
 
     def __init__(self, table: pa.Table):
-        self.ids, self.texts = unpacked(table)
+        self.ids, self.texts, _ = unpacked(table)
         self.words = [t.split() for t in self.texts]  # bytes.split: the six ASCII white-space characters
         self.counts = np.array([len(w) for w in self.words], np.int64)
         self.ends = np.cumsum(self.counts)
@@ -82,7 +82,7 @@ def _ask_anchors(n_ranges: int):
         np.minimum.at(low, group, own)
         np.maximum.at(high, group, own)
         rows = [(r, block, zipped(hashes[s]), zipped((low[s] < high[s]).astype(np.uint8))) for r, s in by_range(hashes, n_ranges)]
-        return _table(rows, ASK)
+        return arrow_table(rows, ASK)
 
     return f
 
@@ -96,7 +96,7 @@ def _answer_anchors(table: pa.Table) -> pa.Table:
     shared = times > 1
     shared[group[np.concatenate(several) > 0]] = True
     answers = np.split(shared[group].astype(np.uint8), np.cumsum([len(a) for a in asked])[:-1])
-    return _table([(r[0], r[1], b"", zipped(np.packbits(a))) for r, a in zip(rows, answers)], ASK)
+    return arrow_table([(r[0], r[1], b"", zipped(np.packbits(a))) for r, a in zip(rows, answers)], ASK)
 
 
 def _shared_anchors(words: Words, answers: pa.Table, n_ranges: int) -> np.ndarray:
@@ -112,7 +112,7 @@ def _shared_anchors(words: Words, answers: pa.Table, n_ranges: int) -> np.ndarra
 def _ask_windows(n_ranges: int):
     def f(table: pa.Table, answers: pa.Table) -> pa.Table:
         if not table.num_rows:
-            return _table([], ASK2)
+            return arrow_table([], ASK2)
         block, words = table.column("block")[0].as_py(), Words(table)
         shared_at = _shared_anchors(words, answers, n_ranges)
         h, at = words.windows(shared_at)
@@ -120,7 +120,7 @@ def _ask_windows(n_ranges: int):
         smallest = words.ids[words.doc[at[first]]]  # ids ascend, so the first occurrence has the smallest
         marks = np.packbits(np.bincount(shared_at, minlength=len(words.doc)).astype(bool)) if len(shared_at) else np.zeros(0, np.uint8)
         rows = [(r, block, zipped(hashes[s]), zipped(smallest[s]), b"") for r, s in by_range(hashes, n_ranges)]
-        return _table([*rows, (-1, block, b"", b"", zipped(marks))], ASK2)
+        return arrow_table([*rows, (-1, block, b"", b"", zipped(marks))], ASK2)
 
     return f
 
@@ -135,7 +135,7 @@ def _answer_windows(table: pa.Table) -> pa.Table:
     np.minimum.at(least, group, own)
     # Answers are how far the smallest document is before the block's own.
     answers = np.split(own - least[group], np.cumsum([len(a) for a in asked])[:-1])
-    return _table([(r[0], r[1], b"", zipped(a), b"") for r, a in zip(rows, answers)], ASK2)
+    return arrow_table([(r[0], r[1], b"", zipped(a), b"") for r, a in zip(rows, answers)], ASK2)
 
 
 def _removed(words: Words, answers: pa.Table, n_ranges: int) -> np.ndarray:
@@ -169,7 +169,7 @@ def _results(n_ranges: int, with_text: bool):
                 kept = b" ".join([w for w, c in zip(own, cut.tolist()) if not c] if n else own)
                 out.append((int(words.ids[i]), len(own), n, hashlib.sha256(kept).hexdigest(),
                             (kept if n else words.texts[i]).decode() if with_text else None))
-        return _table(out, RESULT)
+        return arrow_table(out, RESULT)
 
     return f
 
@@ -177,15 +177,6 @@ def _results(n_ranges: int, with_text: bool):
 ASK = "range bigint, block bigint, hashes binary, values binary"
 ASK2 = ASK + ", marks binary"
 RESULT = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, kept_text string"
-_KINDS = {"bigint": pa.int64(), "binary": pa.binary(), "string": pa.string()}
-
-
-def _table(rows: list[tuple], schema: str) -> pa.Table:
-    fields = [c.split() for c in schema.split(", ")]
-    columns = list(zip(*rows)) if rows else [()] * len(fields)
-    return pa.table({n: pa.array(list(c), _KINDS[k]) for (n, k), c in zip(fields, columns)})
-
-
 def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
     """Per document: doc_id, n_words, n_removed, kept_sha256 and, if asked for, kept_text: its
     kept words joined by one space, or the text as it is where nothing goes."""
