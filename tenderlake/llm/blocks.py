@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from .shared import map_columns
 
-BLOCK_CHARS = 8_000_000
+BLOCK_CHARS = 4_000_000
 RANGE_HASHES = 2_000_000
 PACKED = "block bigint, ids binary, sizes binary, texts binary, known boolean"
 

@@ -53,11 +53,14 @@ def exact_dedup(docs: DataFrame, content_hash: Callable[[Column], Column] = md5_
 
 
 def keep_first_copies(docs: DataFrame) -> DataFrame:
-    """``docs`` without later copies, with all its columns; of rows that share
-    the smallest id of their group, one stays."""
-    keys = written(exact_groups(docs).select("content_hash", "text_sha256", "keep_id"), "exact")
-    marked = docs.withColumns({"__norm": normalised()}).withColumns(
-        {"__hash": md5_bytes(F.col("__norm")), "__sha": F.sha2("__norm", 256)}).drop("__norm")
-    keys = keys.select(F.col("content_hash").alias("__k1"), F.col("text_sha256").alias("__k2"), F.col("keep_id").alias("__k3"))
-    on = (F.col("__hash") == F.col("__k1")) & (F.col("__sha") == F.col("__k2")) & F.col("doc_id").eqNullSafe(F.col("__k3"))
-    return marked.join(keys, on, "left_semi").dropDuplicates(["__hash", "__sha"]).drop("__hash", "__sha")
+    """``docs`` without later copies, with all its columns; of rows that agree in
+    doc_id and text, one stays."""
+    judged = written(exact_dedup(docs).select("doc_id", "kept", F.col("text_sha256").alias("__sha")), "exact")
+    rows = judged.groupBy("doc_id", "__sha").agg(F.min("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
+    # What goes, and what stands there more than once: short lists beside the documents.
+    special = written(rows.filter("not kept or n > 1").select(F.col("doc_id").alias("__id"), F.col("__sha").alias("__key"), "kept"), "copies")
+    marked = docs.withColumn("__sha", F.sha2(normalised(), 256))
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__sha") == F.col("__key"))
+    single = marked.join(special.drop("kept"), same, "left_anti")
+    repeated = marked.join(special.filter("kept").drop("kept"), same, "left_semi").dropDuplicates(["doc_id", "__sha"])
+    return single.unionByName(repeated).drop("__sha")

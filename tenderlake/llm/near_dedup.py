@@ -35,7 +35,7 @@ from .blocks import WORD_HASHES, mixed, window_hashes
 from .components import components
 from .shared import map_columns, written
 
-WIDTH, THRESHOLD = 2, 80  # words in a shingle; percent
+WIDTH, THRESHOLD = 5, 80  # words in a shingle; percent
 TREES, MIN_DEPTH, DEPTHS, SMALL = 20, 4, (4, 8, 12), 64
 VALUES = TREES * MIN_DEPTH
 LEAST_ESTIMATE = 0.6
@@ -253,3 +253,9 @@ def near_components(docs: DataFrame, width: int = WIDTH, threshold: int = THRESH
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node", "doc_id")).alias("component_id")
     return out.select("doc_id", "n_shingles", component).select(
         "*", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+
+
+def keep_one_each(docs: DataFrame, width: int = WIDTH, threshold: int = THRESHOLD) -> DataFrame:
+    """``docs`` with one document of each component, with all its columns."""
+    gone = written(near_components(docs, width, threshold).filter("not kept").select(F.col("doc_id").alias("__id")).distinct(), "near")
+    return docs.join(gone, F.col("doc_id") == F.col("__id"), "left_anti")

@@ -23,8 +23,10 @@ result; other columns are not read.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -172,3 +174,15 @@ def classify(docs: DataFrame, labels: DataFrame, folds: int = 5, threshold: floa
     weights = train(training_sample(docs, labels, folds, sample_rows))
     return score(docs, weights).select(
         "doc_id", held_out(folds).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, folds: int = 5, threshold: float = THRESHOLD) -> DataFrame:
+    """``docs`` without the documents that the classifier rejects, with all its columns."""
+    weights = docs.sparkSession.sparkContext.broadcast(train(training_sample(docs, labels, folds)))
+
+    def scores(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        w, grams = weights.value, NGrams()
+        for part in texts:
+            yield pd.Series([score_text(grams.indices(t or ""), w) for t in part], dtype="float64")
+
+    return docs.filter(F.pandas_udf(scores, "double")(F.col("text")) >= threshold)

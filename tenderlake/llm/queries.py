@@ -54,7 +54,7 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup.near_components(_table(spark, sf_dir, "documents"))
+    return near_dedup.near_components(_table(spark, sf_dir, "documents"), width=2)
 
 
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

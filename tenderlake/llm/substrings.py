@@ -164,11 +164,14 @@ def _results(n_ranges: int, with_text: bool):
             words = Words(table)
             removed = _removed(words, answers, n_ranges)
             for i, own in enumerate(words.words):
+                if with_text and i and words.ids[i] == words.ids[i - 1] and words.texts[i] == words.texts[i - 1]:
+                    continue
                 cut = removed[words.ends[i] - len(own):words.ends[i]]
                 n = int(cut.sum())
                 kept = b" ".join([w for w, c in zip(own, cut.tolist()) if not c] if n else own)
                 out.append((int(words.ids[i]), len(own), n, hashlib.sha256(kept).hexdigest(),
-                            (kept if n else words.texts[i]).decode() if with_text else None))
+                            (kept if n else words.texts[i]).decode() if with_text else None,
+                            hashlib.md5(words.texts[i]).hexdigest() if with_text else None))
         return arrow_table(out, RESULT)
 
     return f
@@ -176,10 +179,9 @@ def _results(n_ranges: int, with_text: bool):
 
 ASK = "range bigint, block bigint, hashes binary, values binary"
 ASK2 = ASK + ", marks binary"
-RESULT = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, kept_text string"
-def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
-    """Per document: doc_id, n_words, n_removed, kept_sha256 and, if asked for, kept_text: its
-    kept words joined by one space, or the text as it is where nothing goes."""
+RESULT = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, kept_text string, text_md5 string"
+def _known(docs: DataFrame, with_text: bool) -> DataFrame:
+    """Results for rows with a doc_id; with texts, one for each (doc_id, text)."""
     chars = total_chars(docs)
     n_blocks, n_ranges = chars // BLOCK_CHARS + 1, chars // (6 * RANGE_HASHES) + 1
     blocks = written(packed(docs, n_blocks), "blocks")
@@ -188,11 +190,27 @@ def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
     asked = written(blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_ask_windows(n_ranges), ASK2), "windows")
     answers = (asked.filter("range >= 0").groupBy("range").applyInArrow(_answer_windows, ASK2)
                .unionByName(asked.filter("range < 0")))
-    known = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_results(n_ranges, with_text), RESULT)
-    text = F.coalesce(F.col("text"), F.lit(""))
-    words = F.filter(F.split(text, f"[{SPACE}]+"), lambda w: w != "")
+    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_results(n_ranges, with_text), RESULT)
+
+
+def remove_repeats(docs: DataFrame) -> DataFrame:
+    """Per document: doc_id, n_words, n_removed, kept_sha256."""
+    words = F.filter(F.split(F.coalesce(F.col("text"), F.lit("")), f"[{SPACE}]+"), lambda w: w != "")
     no_id = docs.filter(F.col("doc_id").isNull()).select(
-        F.lit(None).cast("bigint").alias("doc_id"), F.size(words).cast("bigint").alias("n_words"), F.lit(0).cast("bigint").alias("n_removed"),
-        F.sha2(F.array_join(words, " "), 256).alias("kept_sha256"), F.col("text").alias("kept_text"))
-    out = known.unionByName(no_id)
-    return out if with_text else out.drop("kept_text")
+        F.lit(None).cast("bigint").alias("doc_id"), F.size(words).cast("bigint").alias("n_words"),
+        F.lit(0).cast("bigint").alias("n_removed"), F.sha2(F.array_join(words, " "), 256).alias("kept_sha256"))
+    return _known(docs, False).select(*no_id.columns).unionByName(no_id)
+
+
+def without_repeats(docs: DataFrame) -> DataFrame:
+    """``docs`` with all its columns, repeated words taken out of its texts (kept words joined by one space; texts
+    that lose nothing stay as they are); documents that lose all their words go.  n_chars, if there, follows the text."""
+    known = _known(docs, True).select(F.col("doc_id").alias("__id"), F.col("text_md5").alias("__md5"), F.col("kept_text").alias("__kept"),
+                                      (F.col("n_removed") == F.col("n_words")).alias("__all"), F.col("n_words").alias("__n"))
+    rows = docs.filter(F.col("doc_id").isNotNull()).withColumns(
+        {"__own": F.md5(F.coalesce("text", F.lit(""))), "__null": F.col("text").isNull()}).drop("text")
+    out = (rows.join(known, (F.col("doc_id") == F.col("__id")) & (F.col("__own") == F.col("__md5")))
+           .filter("not __all or __n = 0").withColumn("text", F.when(~F.col("__null"), F.col("__kept"))))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(F.col("__null"), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
+    return out.select(*docs.columns).unionByName(docs.filter(F.col("doc_id").isNull()))
