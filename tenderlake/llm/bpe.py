@@ -10,8 +10,8 @@ its last token from the nodes above it, so a prefix that many words share is
 encoded once.  Following the last tokens back gives a word's ids.
 
 Documents stay in their partitions: nothing is shuffled, collected or broadcast.
-A task keeps the encodings of the white-space separated pieces it has met, up to
-``CACHE_LIMIT`` of them, and starts afresh beyond that, so its memory is
+A Python worker keeps the encodings of the words and the white-space separated pieces it
+has met lately, ``CACHE_LIMIT`` of them in each of two generations, so its memory is
 bounded for any vocabulary.
 
 The vocabulary is a tokenizers JSON file (byte-level BPE with an end-of-word
@@ -35,15 +35,13 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import BoundedCache, blocks, map_columns
+from .shared import Learned, blocks, map_columns
 
 #: What the file's `\s` means: Unicode white space.  Fixed values.
 WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Characters that str.split() takes for white space and the file does not.
 NOT_WHITE = re.compile("[\x1c-\x1f]")
-CACHE_LIMIT = 400_000
-#: Longer pieces are encoded when met and not kept.
-CACHED_CHARS = 64
+CACHE_LIMIT = 300_000
 
 
 def byte_alphabet() -> list[str]:
@@ -102,6 +100,15 @@ class Vocabulary:
         return True
 
 
+class State:
+    """The longest end of a path that begins a token, with the steps taken from it so far."""
+
+    __slots__ = ("text", "inner", "final")
+
+    def __init__(self, text: str):
+        self.text, self.inner, self.final = text, {}, {}
+
+
 class Trie:
     """Encodes sets of words, given in the byte alphabet.
 
@@ -113,18 +120,29 @@ class Trie:
     def __init__(self, vocabulary: Vocabulary, pair_limit: int = 1_000_000):
         self.v = vocabulary
         self.prefixes = {t[:k] for t in vocabulary.ids for k in range(1, len(t.removesuffix(vocabulary.suffix)) + 1)}
-        self.pairs = BoundedCache(pair_limit)
-        self.steps = BoundedCache(pair_limit)
+        self.pair_limit = pair_limit
         self._is_whole: dict[int, bool] = {}
-
-    def _step(self, state: str, symbol: str) -> tuple[str, tuple[tuple[int, int], ...]]:
-        """From the longest end of a path that begins a token, over a symbol, to
-        the next such end, and the tokens that end there (token, symbols), longest first."""
-        text, ids, cut = state + symbol, self.v.ids, len(self.v.suffix) if len(symbol) > 1 else 0
-        ends = tuple((ids[text[k:]], len(text) - k - cut) for k in range(len(state) + 1)
-                     if text[k:] in ids and self._whole(ids[text[k:]]))
-        after = next((text[k:] for k in range(len(text)) if text[k:] in self.prefixes), "")
-        return after, ends
+        self._forget()
+
+    def _forget(self) -> None:
+        self.states = {"": State("")}
+        self.after: dict[int, dict[int, bool]] = {}  # token -> token before it -> whether they are compatible
+        self.known = 0
+
+    def _step(self, state: State, char: str, final: bool) -> tuple:
+        """Over a symbol: the next state, and the tokens that end there, longest first, as
+        (token, symbols, what is known of tokens before it)."""
+        text, ids, cut = state.text + char + (self.v.suffix if final else ""), self.v.ids, len(self.v.suffix) if final else 0
+        ends = tuple((t, len(text) - k - cut, self.after.setdefault(t, {})) for k in range(len(state.text) + 1)
+                     if (t := ids.get(text[k:])) is not None and self._whole(t))
+        then = None
+        if not final:
+            key = next((text[k:] for k in range(len(text)) if text[k:] in self.prefixes), "")
+            then = self.states.setdefault(key, None) or State(key)
+            self.states[key] = then
+        (state.final if final else state.inner)[char] = step = (then, ends)
+        self.known += 1
+        return step
 
     def _whole(self, token: int) -> bool:
         """Whether the token's own string is encoded as this one token."""
@@ -140,53 +158,56 @@ class Trie:
 
     def encode(self, words: set[str]) -> dict[str, list[int]]:
         """ids of each non-empty word."""
+        if self.known > self.pair_limit:
+            self._forget()
         out: dict[str, list[int]] = {}
-        pairs, steps, suffix, compatible = self.pairs, self.steps, self.v.suffix, self.v.compatible
-        lasts, width, states = [-1], [0], [""]  # of the prefixes of the path, by length
+        lasts, width, states = [-1], [0], [self.states[""]]  # of the prefixes of the path, by length
         path = ""
         for word in sorted(words):
             n = len(word) - 1
             fork, most = 0, min(len(path), n)
             while fork < most and path[fork] == word[fork]:
                 fork += 1
-            del lasts[fork + 1:], width[fork + 1:], states[fork + 1:]
+            if fork < len(path):
+                del lasts[fork + 1:], width[fork + 1:], states[fork + 1:]
+            state = states[fork]
             for depth in range(fork, n + 1):
-                symbol = word[depth] if depth < n else word[n] + suffix
-                key = states[depth], symbol
-                step = steps.get(key)
-                if step is None:
-                    steps.room_for(1)
-                    step = steps[key] = self._step(*key)
-                for token, symbols in step[1]:
+                char = word[depth]
+                if depth < n:
+                    step = state.inner.get(char) or self._step(state, char, False)
+                else:
+                    step = state.final.get(char) or self._step(state, char, True)
+                for token, symbols, known in step[1]:
                     before = depth + 1 - symbols
                     if not before:
                         break
                     last = lasts[before]
-                    pair = last << 32 | token
-                    good = pairs.get(pair)
+                    good = known.get(last)
                     if good is None:
-                        pairs.room_for(1)
-                        good = pairs[pair] = compatible(last, token)
+                        good = known[last] = self.v.compatible(last, token)
+                        self.known += 1
                     if good:
                         break
                 else:
                     raise AssertionError("every byte is a token")
                 if depth < n:
+                    state = step[0]
                     lasts.append(token)
                     width.append(symbols)
-                    states.append(step[0])
+                    states.append(state)
                 else:
-                    ids, at = [token], depth + 1 - symbols
+                    ids, at = [token], before
                     while at:
                         ids.append(lasts[at])
                         at -= width[at]
-                    out[word] = ids[::-1]
+                    ids.reverse()
+                    out[word] = ids
             path = word[:n]
         return out
 
 
 class Encoder:
-    """Texts to ids and decoded text; one in each task."""
+    """Texts to ids and decoded text; one in each Python worker."""
 
     def __init__(self, path: str, cache_limit: int = CACHE_LIMIT):
         import regex
@@ -196,8 +217,8 @@ class Encoder:
         self.special = re.compile("|".join(f"({re.escape(s)})" for s in self.v.special)) if self.v.special else None
         self.white = re.compile(f"[{WHITE}]+")
         self.shown = dict(enumerate(byte_alphabet()))
-        self.words: BoundedCache = BoundedCache(cache_limit)  # word -> (number of ids, ids' bytes, decoded)
-        self.pieces: BoundedCache = BoundedCache(cache_limit)  # the same for white-space separated pieces
+        self.words = Learned(cache_limit)  # word -> (ids' bytes, decoded)
+        self.pieces = Learned(cache_limit)  # the same for white-space separated pieces
 
     def split(self, text: str) -> list[str]:
         if NOT_WHITE.search(text):
@@ -216,62 +237,61 @@ class Encoder:
             return self.word.findall(text.lower())
         return self.word.findall(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())  # each character by itself
 
-    def _learn_words(self, words: set[str]) -> dict[str, tuple[int, bytes, str]]:
-        strings = self.v.strings
-        shown = {w: w.encode().decode("latin-1").translate(self.shown) for w in words if w not in self.v.special}
+    def _learn_words(self, words: set[str]) -> dict[str, tuple[bytes, str]]:
+        strings, special = self.v.strings, self.v.special
+        shown = {w: w if w.isascii() and w.isprintable() else w.encode().decode("latin-1").translate(self.shown)
+                 for w in words if w not in special}
         ids = self.trie.encode(set(shown.values()))
         out = {}
         for w in words:
-            got = ids[shown[w]] if w in shown else [self.v.special[w]]
-            out[w] = len(got), array("I", got).tobytes(), " ".join([strings[i] for i in got])
+            got = ids[shown[w]] if w in shown else [special[w]]
+            out[w] = array("I", got).tobytes(), " ".join([strings[i] for i in got])
         return out
 
-    def learn(self, pieces: set[str]) -> dict[str, tuple[int, bytes, str]]:
+    def _learn(self, pieces: set[str]) -> dict[str, tuple[bytes, str]]:
         """Encodings of pieces that are not known yet; the distinct words in them go through one trie."""
         split = {p: self._words(p) for p in pieces}
-        new = set().union(*split.values()).difference(self.words)
-        if len(new) + len(self.words) > self.words.limit:
-            self.words.clear()
-            new = set().union(*split.values())
-        found = self._learn_words(new)
-        self.words.update((w, x) for w, x in found.items() if len(w) <= CACHED_CHARS)
-        known, out = self.words, {}
+        known = self.words.provide(set().union(*split.values()), self._learn_words)
+        out = {}
         for p, ws in split.items():
             if len(ws) == 1:
-                out[p] = known.get(ws[0]) or found[ws[0]]
+                out[p] = known[ws[0]]
             else:
-                got = [known.get(w) or found[w] for w in ws]
-                out[p] = sum([g[0] for g in got]), b"".join([g[1] for g in got]), " ".join([g[2] for g in got])
+                got = [known[w] for w in ws]
+                out[p] = b"".join([g[0] for g in got]), " ".join([g[1] for g in got])
         return out
 
-    def encode(self, texts: list[str]) -> list[tuple[int, bytes, str]]:
-        """(number of ids, ids as little-endian 32-bit integers, decoded text) of each text."""
+    def encode(self, texts: list[str]) -> list[tuple[bytes, str]]:
+        """ids as little-endian 32-bit integers and the decoded text of each text."""
         split = [self.split(t) for t in texts]
-        cache = self.pieces
-        new = set().union(*split).difference(cache)
-        if len(new) + len(cache) > cache.limit:
-            cache.clear()
-            new = set().union(*split)
-        found = self.learn(new)
-        cache.update((k, v) for k, v in found.items() if len(k) <= CACHED_CHARS)
+        known = self.pieces.provide(set().union(*split), self._learn).__getitem__
         out = []
         for pieces in split:
-            got = [cache.get(p) or found[p] for p in pieces]
-            n = sum(g[0] for g in got)
-            out.append((n, b"".join([g[1] for g in got]), " ".join([g[2] for g in got if g[0]])))
+            got = list(map(known, pieces))
+            out.append((b"".join([g[0] for g in got]), " ".join([g[1] for g in got if g[0]])))
         return out
 
 
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """This Python worker's encoder; what it holds follows from the file and the words alone."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
+
+
 def encode(docs: DataFrame, path: str) -> DataFrame:
     """(doc_id, ids array<int>, decoded string)."""
     def make():
-        enc = Encoder(path)
+        enc = encoder(path)
 
         def f(batch):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             got = [g for run in blocks(texts) for g in enc.encode(run)]
-            return {"doc_id": batch.column("doc_id"), "ids": [np.frombuffer(g[1], "<u4").astype("i4") for g in got],
-                    "decoded": [g[2] for g in got]}
+            return {"doc_id": batch.column("doc_id"), "ids": [np.frombuffer(g[0], "<u4").astype("i4") for g in got],
+                    "decoded": [g[1] for g in got]}
 
         return f
 
@@ -292,13 +312,13 @@ def encoded_digests(docs: DataFrame, path: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256): ``encode`` with its columns
     reduced to digests before they leave the task."""
     def make():
-        enc = Encoder(path)
+        enc = encoder(path)
 
         def f(batch):
             n, ids, decoded = [], [], []
             for run in blocks([t or "" for t in batch.column("text").to_pylist()]):
-                for count, raw, text in enc.encode(run):
-                    n.append(count)
+                for raw, text in enc.encode(run):
+                    n.append(len(raw) // 4)
                     ids.append(hashlib.sha256(raw).hexdigest())
                     decoded.append(hashlib.sha256(text.encode()).hexdigest())
             return {"doc_id": batch.column("doc_id"), "n_tokens": n, "ids_sha256": ids, "decoded_sha256": decoded}

@@ -30,12 +30,11 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import BoundedCache, blocks, map_columns, written
+from .shared import Learned, blocks, map_columns, written
 
 CAPACITY = 1024
 END_ID = 0
 CACHE_LIMIT = 400_000
-CACHED_CHARS = 64
 
 
 class PieceTokenizer:
@@ -56,7 +55,7 @@ class PieceTokenizer:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.cache: BoundedCache = BoundedCache(cache_limit)
+        self.cores, self.known = Learned(cache_limit), Learned(cache_limit)
 
     def stretches(self, text: str) -> list[str]:
         if self.DOUBTFUL.search(text):
@@ -69,24 +68,47 @@ class PieceTokenizer:
             out = [*out, last] if out or first else [last]
         return [first, *out] if first else out
 
+    def _ask(self, texts: set[str]) -> dict[str, bytes]:
+        """ids from the library.  A space and letters are one word to it, so many such go as one text and
+        are told apart by their words' numbers; all others go one by one."""
+        words = [t for t in texts if t[0] == " " and t[1:].isalpha()]
+        others = [t for t in texts if not (t[0] == " " and t[1:].isalpha())]
+        out = {}
+        for k in range(0, len(words), 20_000):
+            part = words[k:k + 20_000]
+            got = self.tokenizer.encode("".join(part), add_special_tokens=False)
+            ids, ends = np.array(got.ids, "<u4"), np.searchsorted(got.word_ids, np.arange(1, len(part) + 1))
+            raw, ends = ids.tobytes(), (4 * ends).tolist()
+            out.update(zip(part, [raw[a:b] for a, b in zip([0, *ends], ends)]))
+        for k in range(0, len(others), 20_000):
+            part = others[k:k + 20_000]
+            out.update(zip(part, [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]))
+        return out
+
+    def _learn(self, stretches: set[str]) -> dict[str, bytes]:
+        """A mark after a letter is never in the letter's word: both sides are asked for by themselves."""
+        parts = {}
+        for s in stretches:
+            core = s.rstrip(".,;:!?")
+            parts[s] = (core, s[len(core):]) if len(core) < len(s) and core and core[-1].isalpha() else (s,)
+        known = self.cores.provide({p for ps in parts.values() for p in ps}, self._ask)
+        return {s: known[ps[0]] if len(ps) == 1 else known[ps[0]] + known[ps[1]] for s, ps in parts.items()}
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """ids of each text as little-endian 32-bit integers."""
         split = [self.stretches(t) for t in texts]
-        cache = self.cache
-        new = set().union(*split).difference(cache)
-        if len(new) + len(cache) > cache.limit:
-            cache.clear()
-            new = set().union(*split)
-        asked = list(new)
-        found = {}
-        for k in range(0, len(asked), 50_000):
-            part = asked[k:k + 50_000]
-            for s, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                found[s] = array("I", e.ids).tobytes()
-        cache.update((s, x) for s, x in found.items() if len(s) <= CACHED_CHARS)
-        if len(found) == len(new) and all(len(s) <= CACHED_CHARS for s in asked):
-            return [b"".join([cache[s] for s in ss]) for ss in split]
-        return [b"".join([cache[s] if s in cache else found[s] for s in ss]) for ss in split]
+        known = self.known.provide(set().union(*split), self._learn).__getitem__
+        return [b"".join(map(known, ss)) for ss in split]
+
+
+_TOKENIZERS: dict[str, PieceTokenizer] = {}
+
+
+def piece_tokenizer(path: str) -> PieceTokenizer:
+    """This Python worker's tokenizer; what it holds follows from the file and the texts alone."""
+    if path not in _TOKENIZERS:
+        _TOKENIZERS[path] = PieceTokenizer(path)
+    return _TOKENIZERS[path]
 
 
 def tokenised_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
@@ -97,7 +119,7 @@ def tokenised_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_i
 
         from pyspark import TaskContext
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        tokenizer, task = PieceTokenizer(path), TaskContext.get().partitionId()
+        tokenizer, task = piece_tokenizer(path), TaskContext.get().partitionId()
         end = array("I", [end_id]).tobytes()
         seen = np.zeros(capacity + 1, dtype=np.int64)
 

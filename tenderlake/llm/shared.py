@@ -107,3 +107,45 @@ class BoundedCache(dict):
     def room_for(self, n: int) -> None:
         if len(self) + n > self.limit:
             self.clear()
+
+
+class Learned:
+    """What was worked out for keys, in two generations of ``limit`` entries at most.
+
+    ``young`` has everything that was asked for since the generations last changed;
+    what was not asked for during a whole generation is forgotten.
+    """
+
+    def __init__(self, limit: int):
+        self.limit, self.young, self.old = limit, {}, {}
+
+    def provide(self, keys: set, learn: Callable[[set], dict]) -> dict:
+        """A dict that has all of ``keys``."""
+        if len(self.young) >= self.limit:
+            self.old, self.young = self.young, {}
+        young = self.young
+        missing = keys.difference(young)
+        if self.old and missing:
+            old = self.old
+            again = missing.intersection(old)
+            young.update((k, old[k]) for k in again)
+            missing -= again
+        if not missing:
+            return young
+        found = learn(missing)
+        if len(young) + len(found) <= 2 * self.limit and not any(len(k) > KEPT_CHARS for k in found):
+            young.update(found)
+            return young
+        # Too much for keeping: keep the short ones that there is room for, and give out a table of its own.
+        every = {k: young[k] for k in keys - missing}
+        every.update(found)
+        for k, x in found.items():
+            if len(young) >= self.limit:
+                break
+            if len(k) <= KEPT_CHARS:
+                young[k] = x
+        return every
+
+
+#: Longer keys are worked out when met and not kept.
+KEPT_CHARS = 64
