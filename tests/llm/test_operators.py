@@ -88,7 +88,7 @@ def test_bpe_of_random_words_and_every_token():
     back = {c: b for b, c in enumerate(bpe.byte_alphabet())}
     texts += [bytes(back[c] for c in s.removesuffix("</w>")).decode("utf8", "ignore") for s in list(enc.v.ids)[::7]]
     want = [e.ids for e in t.encode_batch(texts, add_special_tokens=False)]
-    assert [np.frombuffer(g[1], "<u4").tolist() for g in enc.encode(texts)] == want
+    assert [np.frombuffer(g[0], "<u4").tolist() for g in enc.encode(texts)] == want
 
 
 def test_bpe_cache_starts_afresh_without_changing_results():
@@ -96,7 +96,7 @@ def test_bpe_cache_starts_afresh_without_changing_results():
     small, large = bpe.Encoder(WORD_FILE, cache_limit=350), bpe.Encoder(WORD_FILE)
     for t in texts:
         assert small.encode([t]) == large.encode([t])
-        assert len(small.pieces) <= 350
+        assert len(small.pieces.young) <= 700
 
 
 # -- 2 ---------------------------------------------------------------------------------------------------------------
