@@ -4,13 +4,18 @@ bronze tables.
 Parsing: ``from_xml`` with ``ignoreNamespace`` (prefixed eForms and unprefixed
 documents read alike) in PERMISSIVE mode, so a malformed document yields a NULL
 struct (quarantined) instead of failing the job.  The root element's local
-name gives the notice type.  Every path the surveyed parser searches with a
-descendant axis is listed in the schema and coalesced in document order.
+name gives the notice type.  Every element of the schema is an array, so a
+repeated element keeps all its occurrences in document order; a value is the first non-empty
+one along its path.  Header paths that may stand on the notice, on a lot or in an extension list these
+places in the order of the notice format (notice, then its lots; extension, then its contracts).
+Award data come from the first extension that has the eForms block, organisations from all.
 
 Rendering: ``notice_documents`` builds one document per order from the driver
 tables with ``to_xml`` (lines become lots, results, tenders and contracts), so
 the parser can be exercised at table scale; per-order arrays are bounded by the
-lines of one order.
+lines of one order.  Rules on the keys add what real notices have: repeated names,
+extensions, criteria and statistics, several tender references, values on lots or contracts
+only, namespace prefixes, and broken files.
 """
 
 from __future__ import annotations
@@ -23,38 +28,43 @@ from .tables import read_table
 # FIXED VALUES: root element local names -> notice type.
 ROOT_TYPES = {"ContractNotice": "CN", "ContractAwardNotice": "CAN", "PriorInformationNotice": "PIN"}
 
-_AMOUNT = "STRUCT<_VALUE: STRING, _currencyID: STRING>"
-_PARTY = ("STRUCT<PartyIdentification: STRUCT<ID: STRING>, PartyName: STRUCT<Name: STRING>, "
-          "PostalAddress: STRUCT<Country: STRUCT<IdentificationCode: STRING>, CountrySubentityCode: STRING>>")
-_PROJECT = (f"STRUCT<Name: STRING, Description: STRING, ProcurementTypeCode: STRING, "
-            f"MainCommodityClassification: STRUCT<ItemClassificationCode: STRING>, "
-            f"AdditionalCommodityClassification: ARRAY<STRUCT<ItemClassificationCode: STRING>>, "
-            f"RequestedTenderTotal: STRUCT<EstimatedOverallContractAmount: {_AMOUNT}>, "
-            f"PlannedPeriod: STRUCT<DurationMeasure: STRUCT<_VALUE: STRING, _unitCode: STRING>>>")
-_LOT_TENDER = (f"STRUCT<ID: STRING, RankCode: STRING, TenderRankedIndicator: STRING, "
-               f"LegalMonetaryTotal: STRUCT<PayableAmount: {_AMOUNT}>, TenderingParty: STRUCT<ID: STRING>, "
-               f"TenderLot: STRUCT<ID: STRING>, SubcontractingTerm: STRUCT<TermCode: STRING>>")
-_RESULT = ("STRUCT<ID: STRING, TenderResultCode: STRING, TenderLot: STRUCT<ID: STRING>, "
-           "ReceivedSubmissionsStatistics: ARRAY<STRUCT<StatisticsCode: STRING, StatisticsNumeric: STRING>>, "
-           "LotTender: ARRAY<STRUCT<ID: STRING>>, SettledContract: ARRAY<STRUCT<ID: STRING>>>")
-_CONTRACT = ("STRUCT<ID: STRING, IssueDate: STRING, ContractFrameworkIndicator: STRING, "
-             "LotTender: STRUCT<ID: STRING>>")
+TEXT = "ARRAY<STRING>"
+
+
+def _many(**fields: str) -> str:
+    """An element that may repeat, with these child elements."""
+    return f"ARRAY<STRUCT<{', '.join(f'{k}: {v}' for k, v in fields.items())}>>"
+
+
+_ID = _many(ID=TEXT)
+_AMOUNT = _many(_VALUE="STRING", _currencyID="STRING")
+_ADDRESS = _many(Country=_many(IdentificationCode=TEXT), CountrySubentityCode=TEXT)
+_PARTY = _many(PartyIdentification=_ID, PartyName=_many(Name=TEXT), PostalAddress=_ADDRESS)
+_CPV = _many(ItemClassificationCode=TEXT)
+_PROJECT = _many(
+    Name=TEXT, Description=TEXT, ProcurementTypeCode=TEXT, MainCommodityClassification=_CPV,
+    AdditionalCommodityClassification=_CPV, RequestedTenderTotal=_many(EstimatedOverallContractAmount=_AMOUNT),
+    PlannedPeriod=_many(DurationMeasure=_many(_VALUE="STRING", _unitCode="STRING")))
+_LOT = _many(ID=TEXT, ProcurementProject=_PROJECT, TenderingTerms=_many(AwardingTerms=_many(AwardingCriterion=_many(
+    SubordinateAwardingCriterion=_many(AwardingCriterionTypeCode=TEXT)))),
+    TenderingProcess=_many(ProcedureCode=TEXT, TenderSubmissionDeadlinePeriod=_many(EndDate=TEXT)))
+_LOT_TENDER = _many(
+    ID=TEXT, RankCode=TEXT, TenderRankedIndicator=TEXT, LegalMonetaryTotal=_many(PayableAmount=_AMOUNT),
+    TenderingParty=_ID, TenderLot=_ID, SubcontractingTerm=_many(TermCode=TEXT))
+_RESULT = _many(
+    ID=TEXT, TenderResultCode=TEXT, TenderLot=_ID, LotTender=_ID, SettledContract=_ID,
+    ReceivedSubmissionsStatistics=_many(StatisticsCode=TEXT, StatisticsNumeric=TEXT))
+_CONTRACT = _many(ID=TEXT, IssueDate=TEXT, ContractFrameworkIndicator=TEXT, LotTender=_ID)
+_EFORMS = _many(
+    ContractFrameworkIndicator=TEXT,
+    Organizations=_many(Organization=_many(Company=_many(
+        PartyIdentification=_ID, PartyName=_many(Name=TEXT), PostalAddress=_ADDRESS, CompanySizeCode=TEXT))),
+    NoticeResult=_many(TotalAmount=TEXT, LotResult=_RESULT, LotTender=_LOT_TENDER, SettledContract=_CONTRACT))
 NOTICE_SCHEMA = (
-    f"ID STRING, IssueDate STRING, "
-    f"ContractingParty STRUCT<Party: {_PARTY}>, "
-    f"ProcurementProject {_PROJECT}, "
-    f"TenderingProcess STRUCT<ProcedureCode: STRING, TenderSubmissionDeadlinePeriod: STRUCT<EndDate: STRING>>, "
-    f"ProcurementProjectLot ARRAY<STRUCT<ID: STRING, ProcurementProject: {_PROJECT}, "
-    f"TenderingTerms: STRUCT<AwardingTerms: STRUCT<AwardingCriterion: STRUCT<SubordinateAwardingCriterion: "
-    f"STRUCT<AwardingCriterionTypeCode: STRING>>>>>>, "
-    f"UBLExtensions STRUCT<UBLExtension: STRUCT<ExtensionContent: STRUCT<EformsExtension: STRUCT<"
-    f"ContractFrameworkIndicator: STRING, "
-    f"Organizations: STRUCT<Organization: ARRAY<STRUCT<Company: STRUCT<"
-    f"PartyIdentification: STRUCT<ID: STRING>, PartyName: STRUCT<Name: STRING>, "
-    f"PostalAddress: STRUCT<Country: STRUCT<IdentificationCode: STRING>, CountrySubentityCode: STRING>, "
-    f"CompanySizeCode: STRING>>>>, "
-    f"NoticeResult: STRUCT<TotalAmount: STRING, LotResult: ARRAY<{_RESULT}>, LotTender: ARRAY<{_LOT_TENDER}>, "
-    f"SettledContract: ARRAY<{_CONTRACT}>>>>>>, "
+    f"ID {TEXT}, IssueDate {TEXT}, ContractingParty {_many(Party=_PARTY)}, ProcurementProject {_PROJECT}, "
+    f"TenderingProcess {_many(ProcedureCode=TEXT, TenderSubmissionDeadlinePeriod=_many(EndDate=TEXT))}, "
+    f"ProcurementProjectLot {_LOT}, "
+    f"UBLExtensions {_many(UBLExtension=_many(ExtensionContent=_many(EformsExtension=_EFORMS)))}, "
     f"_corrupt_record STRING"
 )
 
@@ -67,6 +77,32 @@ def txt(c: Column) -> Column:
     return F.nullif(F.trim(c.cast("string")), F.lit(""))
 
 
+def nodes(at: Column, *path: str) -> Column:
+    """All elements at ``path`` below the elements ``at``, in document order."""
+    def child(name: str):
+        return lambda x: F.coalesce(x[name], F.array())
+
+    for name in path:
+        at = F.flatten(F.transform(F.coalesce(at, F.array()), child(name)))
+    return at
+
+
+def below(x: Column, *path: str) -> Column:
+    """All elements at ``path`` below one element."""
+    return nodes(F.coalesce(x[path[0]], F.array()), *path[1:])
+
+
+def first(*found: Column) -> Column:
+    """The first non-empty text of the elements found, place after place."""
+    return F.coalesce(*[F.try_element_at(F.filter(F.transform(f, txt), lambda t: t.isNotNull()), F.lit(1)) for f in found])
+
+
+def first_with(attribute: str, *found: Column) -> tuple[Column, Column]:
+    """(text, attribute) of the first element found that has a text."""
+    hit = F.coalesce(*[F.try_element_at(F.filter(f, lambda x: txt(x["_VALUE"]).isNotNull()), F.lit(1)) for f in found])
+    return txt(hit["_VALUE"]), txt(hit[attribute])
+
+
 # --------------------------------------------------------------------------- #
 # Reading and parsing
 # --------------------------------------------------------------------------- #
@@ -78,93 +114,122 @@ def read_xml_files(spark, path: str) -> DataFrame:
             .select(F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("xml")))
 
 
-def parse_notices(docs: DataFrame) -> DataFrame:
-    """(file_name, xml) -> one parsed row per well-formed document:
-    (file_name, notice_id, notice_type, n: struct).  Malformed -> dropped here,
-    see :func:`quarantine`."""
+def parse_all(docs: DataFrame) -> DataFrame:
+    """(file_name, root_tag, n): every document parsed once; n is null or has a
+    ``_corrupt_record`` where that failed.  The generator keeps the planner from
+    evaluating ``from_xml`` again for each use of ``n`` above it."""
     root = F.regexp_extract(F.regexp_replace(F.col("xml"), r"(?s)<\?.*?\?>|<!--.*?-->", ""),
                             r"<(?:[A-Za-z_][\w.-]*:)?([A-Za-z_][\w.-]*)[\s>/]", 1)
+    return docs.select("file_name", root.alias("root_tag"),
+                       F.explode(F.array(F.from_xml("xml", NOTICE_SCHEMA, XML_OPTIONS))).alias("n"))
+
+
+def _well_formed() -> Column:
+    return F.col("n").isNotNull() & F.col("n._corrupt_record").isNull() & (F.col("root_tag") != "")
+
+
+def well_formed(parsed: DataFrame) -> DataFrame:
+    """(file_name, notice_id, notice_type, n) of the documents that parsed; the
+    file's stem stands in for a missing notice id."""
     mapping = F.create_map(*[F.lit(x) for kv in ROOT_TYPES.items() for x in kv])
-    parsed = docs.select("file_name", root.alias("root_tag"),
-                         F.from_xml("xml", NOTICE_SCHEMA, XML_OPTIONS).alias("n"))
-    ok = parsed.where(F.col("n").isNotNull() & F.col("n._corrupt_record").isNull() & (F.col("root_tag") != ""))
     stem = F.regexp_extract("file_name", r"^(.*)\.xml$", 1)
-    return ok.select("file_name",
-                     F.coalesce(txt(F.col("n.ID")), F.nullif(stem, F.lit(""))).alias("notice_id"),
-                     F.coalesce(F.try_element_at(mapping, F.col("root_tag")), F.col("root_tag")).alias("notice_type"),
-                     "n")
+    return parsed.where(_well_formed()).select(
+        "file_name", F.coalesce(first(F.col("n.ID")), F.nullif(stem, F.lit(""))).alias("notice_id"),
+        F.coalesce(F.try_element_at(mapping, F.col("root_tag")), F.col("root_tag")).alias("notice_type"), "n")
+
+
+def malformed(parsed: DataFrame) -> DataFrame:
+    """Files of the documents that did not parse."""
+    return parsed.where(~F.coalesce(_well_formed(), F.lit(False))).select("file_name")
+
+
+def parse_notices(docs: DataFrame) -> DataFrame:
+    """(file_name, xml) -> one parsed row per well-formed document."""
+    return well_formed(parse_all(docs))
 
 
 def quarantine(docs: DataFrame) -> DataFrame:
-    """Documents that did not parse (PERMISSIVE mode gave no struct)."""
-    p = docs.select("file_name", F.from_xml("xml", NOTICE_SCHEMA, XML_OPTIONS).alias("n"))
-    return p.where(F.col("n").isNull() | F.col("n._corrupt_record").isNotNull()).select("file_name")
+    """(file_name, xml) -> file_name of the documents that did not parse."""
+    return malformed(parse_all(docs))
 
 
-def _eforms(c: str) -> Column:
-    return F.col(f"n.UBLExtensions.UBLExtension.ExtensionContent.EformsExtension.{c}")
+def _extensions() -> Column:
+    return nodes(F.col("n.UBLExtensions"), "UBLExtension", "ExtensionContent", "EformsExtension")
 
 
-def _first_lot_project(field: str) -> Column:
-    return F.try_element_at(F.col("n.ProcurementProjectLot"), F.lit(1))["ProcurementProject"][field]
+def _results_block(*path: str) -> Column:
+    """Elements below the notice results of the first eForms block."""
+    return nodes(F.slice(_extensions(), 1, 1), "NoticeResult", *path)
 
 
 def bronze_notices(p: DataFrame) -> DataFrame:
-    est = F.coalesce(F.col("n.ProcurementProject.RequestedTenderTotal.EstimatedOverallContractAmount"),
-                     _first_lot_project("RequestedTenderTotal")["EstimatedOverallContractAmount"])
-    party = F.col("n.ContractingParty.Party")
+    party = nodes(F.col("n.ContractingParty"), "Party")
+
+    def project(*path: str) -> tuple[Column, Column]:
+        """On the notice's project, then on its lots' projects."""
+        return nodes(F.col("n.ProcurementProject"), *path), nodes(F.col("n.ProcurementProjectLot"), "ProcurementProject", *path)
+
+    def process(*path: str) -> tuple[Column, Column]:
+        return nodes(F.col("n.TenderingProcess"), *path), nodes(F.col("n.ProcurementProjectLot"), "TenderingProcess", *path)
+
+    amount, currency = first_with("_currencyID", *project("RequestedTenderTotal", "EstimatedOverallContractAmount"))
+    blocks = _extensions()
     return p.select(
-        "notice_id", "notice_type", txt(F.col("n.IssueDate")).alias("publication_date"),
-        txt(party["PartyIdentification"]["ID"]).alias("buyer_org_id"),
-        txt(party["PartyName"]["Name"]).alias("buyer_name"),
-        txt(party["PostalAddress"]["Country"]["IdentificationCode"]).alias("buyer_country"),
-        txt(F.coalesce(F.col("n.ProcurementProject.Name"), _first_lot_project("Name"))).alias("project_title"),
-        txt(F.col("n.ProcurementProject.ProcurementTypeCode")).alias("proc_type"),
-        txt(F.col("n.TenderingProcess.ProcedureCode")).alias("procedure_type"),
-        txt(F.col("n.ProcurementProject.MainCommodityClassification.ItemClassificationCode")).alias("cpv_main"),
-        txt(est["_VALUE"]).alias("est_amount"), txt(est["_currencyID"]).alias("est_currency"),
-        txt(_eforms("NoticeResult.TotalAmount")).alias("total_awarded"),
-        txt(F.col("n.TenderingProcess.TenderSubmissionDeadlinePeriod.EndDate")).alias("submission_deadline"),
-        txt(_eforms("ContractFrameworkIndicator")).alias("framework"),
+        "notice_id", "notice_type", first(F.col("n.IssueDate")).alias("publication_date"),
+        first(nodes(party, "PartyIdentification", "ID")).alias("buyer_org_id"),
+        first(nodes(party, "PartyName", "Name")).alias("buyer_name"),
+        first(nodes(party, "PostalAddress", "Country", "IdentificationCode")).alias("buyer_country"),
+        first(*project("Name")).alias("project_title"),
+        first(*project("ProcurementTypeCode")).alias("proc_type"),
+        first(*process("ProcedureCode")).alias("procedure_type"),
+        first(*project("MainCommodityClassification", "ItemClassificationCode")).alias("cpv_main"),
+        amount.alias("est_amount"), currency.alias("est_currency"),
+        first(nodes(F.slice(nodes(blocks, "NoticeResult"), 1, 1), "TotalAmount")).alias("total_awarded"),
+        first(*process("TenderSubmissionDeadlinePeriod", "EndDate")).alias("submission_deadline"),
+        first(nodes(blocks, "ContractFrameworkIndicator"),
+              nodes(blocks, "NoticeResult", "SettledContract", "ContractFrameworkIndicator")).alias("framework"),
         F.col("file_name").alias("source_file"))
 
 
 def bronze_cpv_codes(p: DataFrame) -> DataFrame:
-    return (p.select("notice_id", F.explode("n.ProcurementProject.AdditionalCommodityClassification").alias("c"))
-            .select("notice_id", txt(F.col("c.ItemClassificationCode")).alias("cpv_code")))
+    """Additional codes of the notice and of its lots."""
+    path = "AdditionalCommodityClassification", "ItemClassificationCode"
+    codes = F.concat(nodes(F.col("n.ProcurementProject"), *path), nodes(F.col("n.ProcurementProjectLot"), "ProcurementProject", *path))
+    return p.select("notice_id", F.explode(codes).alias("c")).select("notice_id", txt(F.col("c")).alias("cpv_code"))
 
 
 def bronze_lots(p: DataFrame) -> DataFrame:
     lot = F.col("l")
-    amt = lot["ProcurementProject"]["RequestedTenderTotal"]["EstimatedOverallContractAmount"]
-    dur = lot["ProcurementProject"]["PlannedPeriod"]["DurationMeasure"]
-    return p.select("notice_id", F.posexplode("n.ProcurementProjectLot").alias("lot_pos", "l")).select(
-        "notice_id", txt(lot["ID"]).alias("lot_id"), txt(lot["ProcurementProject"]["Name"]).alias("lot_title"),
-        txt(lot["ProcurementProject"]["Description"]).alias("lot_desc"), txt(amt["_VALUE"]).alias("lot_est"),
-        txt(amt["_currencyID"]).alias("lot_currency"), txt(dur["_VALUE"]).alias("duration_val"),
-        txt(dur["_unitCode"]).alias("duration_unit"),
-        txt(lot["TenderingTerms"]["AwardingTerms"]["AwardingCriterion"]["SubordinateAwardingCriterion"]
-            ["AwardingCriterionTypeCode"]).alias("award_criteria"))
+    amount, currency = first_with("_currencyID", below(lot, "ProcurementProject", "RequestedTenderTotal", "EstimatedOverallContractAmount"))
+    duration, unit = first_with("_unitCode", below(lot, "ProcurementProject", "PlannedPeriod", "DurationMeasure"))
+    return p.select("notice_id", F.explode("n.ProcurementProjectLot").alias("l")).select(
+        "notice_id", first(lot["ID"]).alias("lot_id"), first(below(lot, "ProcurementProject", "Name")).alias("lot_title"),
+        first(below(lot, "ProcurementProject", "Description")).alias("lot_desc"), amount.alias("lot_est"),
+        currency.alias("lot_currency"), duration.alias("duration_val"), unit.alias("duration_unit"),
+        first(below(lot, "TenderingTerms", "AwardingTerms", "AwardingCriterion", "SubordinateAwardingCriterion",
+                    "AwardingCriterionTypeCode")).alias("award_criteria"))
 
 
 def bronze_organisations(p: DataFrame) -> DataFrame:
-    c = F.col("o.Company")
-    return p.select("notice_id", F.explode(_eforms("Organizations.Organization")).alias("o")).select(
-        "notice_id", txt(c["PartyIdentification"]["ID"]).alias("org_id"), txt(c["PartyName"]["Name"]).alias("org_name"),
-        txt(c["PostalAddress"]["Country"]["IdentificationCode"]).alias("org_country"),
-        txt(c["CompanySizeCode"]).alias("sme"), txt(c["PostalAddress"]["CountrySubentityCode"]).alias("nuts_code"))
+    o = F.col("o")
+    return p.select("notice_id", F.explode(nodes(_extensions(), "Organizations", "Organization")).alias("o")).select(
+        "notice_id", first(below(o, "Company", "PartyIdentification", "ID")).alias("org_id"),
+        first(below(o, "Company", "PartyName", "Name")).alias("org_name"),
+        first(below(o, "Company", "PostalAddress", "Country", "IdentificationCode")).alias("org_country"),
+        first(below(o, "Company", "CompanySizeCode")).alias("sme"),
+        first(below(o, "Company", "PostalAddress", "CountrySubentityCode")).alias("nuts_code"))
 
 
 def _tenders_raw(p: DataFrame) -> DataFrame:
     """Every LotTender with its position in the document."""
     t = F.col("t")
-    return p.select("notice_id", F.posexplode(_eforms("NoticeResult.LotTender")).alias("pos", "t")).select(
-        "notice_id", "pos", txt(t["ID"]).alias("tender_id"), txt(t["TenderLot"]["ID"]).alias("lot_id"),
-        txt(t["TenderingParty"]["ID"]).alias("tendering_party_id"),
-        txt(t["LegalMonetaryTotal"]["PayableAmount"]["_VALUE"]).alias("tender_value"),
-        txt(t["LegalMonetaryTotal"]["PayableAmount"]["_currencyID"]).alias("tender_currency"),
-        txt(t["RankCode"]).alias("rank"), txt(t["TenderRankedIndicator"]).alias("is_ranked"),
-        txt(t["SubcontractingTerm"]["TermCode"]).alias("subcontracting"))
+    value, currency = first_with("_currencyID", below(t, "LegalMonetaryTotal", "PayableAmount"))
+    return p.select("notice_id", F.posexplode(_results_block("LotTender")).alias("pos", "t")).select(
+        "notice_id", "pos", first(t["ID"]).alias("tender_id"), first(below(t, "TenderLot", "ID")).alias("lot_id"),
+        first(below(t, "TenderingParty", "ID")).alias("tendering_party_id"),
+        value.alias("tender_value"), currency.alias("tender_currency"),
+        first(t["RankCode"]).alias("rank"), first(t["TenderRankedIndicator"]).alias("is_ranked"),
+        first(below(t, "SubcontractingTerm", "TermCode")).alias("subcontracting"))
 
 
 def bronze_tenders(p: DataFrame) -> DataFrame:
@@ -182,28 +247,26 @@ def _tender_lookup(p: DataFrame) -> DataFrame:
 
 def _results(p: DataFrame) -> DataFrame:
     r = F.col("r")
-    return p.select("notice_id", F.posexplode(_eforms("NoticeResult.LotResult")).alias("rpos", "r")).select(
-        "notice_id", "rpos", txt(r["ID"]).alias("lot_result_id"), txt(r["TenderLot"]["ID"]).alias("lot_id"),
-        txt(r["TenderResultCode"]).alias("result_code"), r["ReceivedSubmissionsStatistics"].alias("stats"),
+    return p.select("notice_id", F.posexplode(_results_block("LotResult")).alias("rpos", "r")).select(
+        "notice_id", "rpos", first(r["ID"]).alias("lot_result_id"), first(below(r, "TenderLot", "ID")).alias("lot_id"),
+        first(r["TenderResultCode"]).alias("result_code"), r["ReceivedSubmissionsStatistics"].alias("stats"),
         r["LotTender"].alias("refs"), r["SettledContract"].alias("contract_refs"))
 
 
 def lot_result_stats(p: DataFrame) -> DataFrame:
     """Statistics array pivoted: the last 'tenders' / 't-sme' entry wins."""
     def last_of(code: str) -> Column:
-        hits = F.filter("stats", lambda s: txt(s["StatisticsCode"]) == code)
-        return txt(F.try_element_at(hits, F.lit(-1))["StatisticsNumeric"])
-    res = _results(p)
-    return res.select("notice_id", "rpos", "lot_result_id",
-                      F.when(F.size("stats") > 0, last_of("tenders")).alias("tenders_count"),
-                      F.when(F.size("stats") > 0, last_of("t-sme")).alias("sme_tenders"))
+        hits = F.filter(F.coalesce("stats", F.array()), lambda s: first(s["StatisticsCode"]) == code)
+        return first(F.try_element_at(hits, F.lit(-1))["StatisticsNumeric"])
+    return _results(p).select("notice_id", "rpos", "lot_result_id", last_of("tenders").alias("tenders_count"),
+                              last_of("t-sme").alias("sme_tenders"))
 
 
 def lot_winner(p: DataFrame) -> DataFrame:
     """Winner per result: follow its tender refs in order; the first whose tender
     has rank '1' or a true ranked indicator wins; take its value, currency, party."""
     refs = (_results(p).select("notice_id", "rpos", F.posexplode("refs").alias("ref_pos", "ref"))
-            .select("notice_id", "rpos", "ref_pos", txt(F.col("ref.ID")).alias("tender_id")))
+            .select("notice_id", "rpos", "ref_pos", first(F.col("ref.ID")).alias("tender_id")))
     cand = refs.join(_tender_lookup(p), ["notice_id", "tender_id"]).where(
         (F.col("rank") == "1") | (F.lower(F.col("is_ranked")) == "true"))
     return (cand.groupBy("notice_id", "rpos")
@@ -226,10 +289,10 @@ def bronze_contracts(p: DataFrame) -> DataFrame:
     """Result -> settled-contract ref -> contract detail (last with that id) ->
     linked tender (last with that id) -> value and currency."""
     refs = (_results(p).select("notice_id", "lot_result_id", F.explode("contract_refs").alias("c"))
-            .select("notice_id", "lot_result_id", txt(F.col("c.ID")).alias("contract_id")))
-    sc = (p.select("notice_id", F.posexplode(_eforms("NoticeResult.SettledContract")).alias("pos", "s"))
-          .select("notice_id", "pos", txt(F.col("s.ID")).alias("contract_id"),
-                  txt(F.col("s.IssueDate")).alias("contract_date"), txt(F.col("s.LotTender.ID")).alias("tender_id"))
+            .select("notice_id", "lot_result_id", first(F.col("c.ID")).alias("contract_id")))
+    sc = (p.select("notice_id", F.posexplode(_results_block("SettledContract")).alias("pos", "s"))
+          .select("notice_id", "pos", first(F.col("s.ID")).alias("contract_id"),
+                  first(F.col("s.IssueDate")).alias("contract_date"), first(below(F.col("s"), "LotTender", "ID")).alias("tender_id"))
           .where(F.col("contract_id").isNotNull())
           .groupBy("notice_id", "contract_id")
           .agg(F.max_by(F.struct("contract_date", "tender_id"), F.col("pos")).alias("d"))
@@ -281,8 +344,14 @@ def notice_documents(spark, sf_dir: str) -> DataFrame:
         sn, F.col("s_nationkey") == F.col("s_nat"))
     tid = F.concat(F.lit("TEN-"), F.col("l_suppkey").cast("string"), F.lit("-"), F.col("l_partkey").cast("string"))
     won = F.col("l_returnflag") == "R"
+
+    def statistic(code: str, modulus: int) -> Column:
+        return F.struct(F.lit(code).alias("StatisticsCode"),
+                        (F.col("l_quantity").cast("int") % modulus).cast("string").alias("StatisticsNumeric"))
+
     line = F.struct(
         F.col("l_linenumber").alias("ln"), F.col("l_partkey").alias("pk"), F.col("l_suppkey").alias("sk"),
+        tid.alias("tid"),
         F.struct(F.concat(F.lit("LOT-"), F.col("l_linenumber").cast("string")).alias("ID"),
                  F.struct(_amount(F.col("l_extendedprice")).alias("EstimatedOverallContractAmount"))
                  .alias("RequestedTenderTotal"),
@@ -295,9 +364,9 @@ def notice_documents(spark, sf_dir: str) -> DataFrame:
                  F.when(won, "selec-w").when(F.col("l_returnflag") == "A", "clos-nw").otherwise("open-nw")
                  .alias("TenderResultCode"),
                  F.struct(F.concat(F.lit("LOT-"), F.col("l_linenumber").cast("string")).alias("ID")).alias("TenderLot"),
-                 F.when(F.col("l_partkey") % 9 != 0, F.array(F.struct(
-                     F.lit("tenders").alias("StatisticsCode"),
-                     (F.col("l_quantity").cast("int") % 12).cast("string").alias("StatisticsNumeric"))))
+                 F.when(F.col("l_partkey") % 9 == 3, F.array(
+                     statistic("tenders", 12), statistic("t-sme", 5), statistic("tenders", 7)))
+                 .when(F.col("l_partkey") % 9 != 0, F.array(statistic("tenders", 12)))
                  .alias("ReceivedSubmissionsStatistics"),
                  F.array(F.struct(tid.alias("ID"))).alias("LotTender"),
                  F.when(F.col("l_linestatus") == "F", F.array(F.struct(
@@ -313,6 +382,7 @@ def notice_documents(spark, sf_dir: str) -> DataFrame:
         F.when(F.col("l_linestatus") == "F", F.struct(
             F.concat(F.lit("CON-"), F.col("l_partkey").cast("string")).alias("ID"),
             F.concat(F.col("l_shipdate").cast("date").cast("string"), F.lit("Z")).alias("IssueDate"),
+            (F.col("l_partkey") % 4 == 0).cast("string").alias("ContractFrameworkIndicator"),
             F.struct(tid.alias("ID")).alias("LotTender"))).alias("contract"),
         F.struct(F.struct(F.struct(F.col("l_suppkey").cast("string").alias("ID")).alias("PartyIdentification"),
                           F.struct(F.col("s_name").alias("Name")).alias("PartyName"),
@@ -332,41 +402,66 @@ def notice_documents(spark, sf_dir: str) -> DataFrame:
         F.when(F.col("c_acctbal") < 0, "micro").when(F.col("c_acctbal") < 3000, "small")
         .when(F.col("c_acctbal") < 6000, "Medium").otherwise("large").alias("CompanySizeCode")).alias("Company"))
     orgs = F.concat(F.array(buyer_org), F.array_distinct(F.transform(F.coalesce("L", F.array()), lambda x: x["org"])))
+    on_lots = k % 6 == 1  # kind and codes stand on the lots only
+    kind = (F.when(F.col("c_mktsegment") == "BUILDING", "works").when(F.col("c_mktsegment") == "MACHINERY", "supply")
+            .when(F.col("c_mktsegment") == "AUTOMOBILE", "SUPPLIES").when(F.col("c_mktsegment") == "HOUSEHOLD", "services")
+            .otherwise("combined"))
+    cpv_main = F.struct(F.concat((F.lit(30) + F.col("c_custkey") % 50).cast("string"), F.lit("000000")).alias("ItemClassificationCode"))
+
+    def result_of(x: Column, i: Column) -> Column:
+        """Some results name the next line's tender before their own."""
+        following = F.try_element_at("L", (i + F.lit(2)).cast("int"))["tid"]
+        own = F.array(F.struct(x["tid"].alias("ID")))
+        return x["result"].withField("LotTender", F.when(
+            (x["pk"] % 4 == 1) & following.isNotNull(), F.concat(F.array(F.struct(following.alias("ID"))), own)).otherwise(own))
+
+    block = F.struct(F.struct(F.struct(
+        F.struct(orgs.alias("Organization")).alias("Organizations"),
+        F.struct(F.transform("L", result_of).alias("LotResult"),
+                 F.transform("L", lambda x: x["tender"]).alias("LotTender"),
+                 F.filter(F.transform("L", lambda x: x["contract"]), lambda x: x.isNotNull())
+                 .alias("SettledContract")).alias("NoticeResult")).alias("EformsExtension")).alias("ExtensionContent"))
     doc = F.struct(
         k.cast("string").alias("ID"),
         F.concat(F.col("o_orderdate").cast("date").cast("string"),
                  F.when(k % 3 == 0, "Z").otherwise("+01:00")).alias("IssueDate"),
         F.struct(F.struct(
             F.struct(F.col("c_custkey").cast("string").alias("ID")).alias("PartyIdentification"),
-            F.struct(F.when(F.col("c_custkey") % 5 != 0, F.col("c_name")).alias("Name")).alias("PartyName"),
+            F.concat(
+                F.array(F.struct(F.when(F.col("c_custkey") % 5 != 0, F.col("c_name")).alias("Name"))),
+                F.when(F.col("c_custkey") % 3 == 0, F.array(F.struct(F.concat(F.lit("trading "), F.col("c_name")).alias("Name"))))
+                .otherwise(F.array())).alias("PartyName"),
             F.struct(F.struct(F.when(F.col("c_custkey") % 7 != 0, F.col("n_name")).alias("IdentificationCode"))
                      .alias("Country")).alias("PostalAddress")).alias("Party")).alias("ContractingParty"),
-        F.struct(F.concat(F.lit("contract "), k.cast("string")).alias("Name"),
-                 F.when(F.col("c_mktsegment") == "BUILDING", "works").when(F.col("c_mktsegment") == "MACHINERY",
-                                                                          "supply")
-                 .when(F.col("c_mktsegment") == "AUTOMOBILE", "SUPPLIES")
-                 .when(F.col("c_mktsegment") == "HOUSEHOLD", "services").otherwise("combined")
-                 .alias("ProcurementTypeCode"),
-                 F.struct(F.concat((F.lit(30) + F.col("c_custkey") % 50).cast("string"), F.lit("000000"))
-                          .alias("ItemClassificationCode")).alias("MainCommodityClassification"),
-                 F.transform("L", lambda x: F.struct(x["cpv"].alias("ItemClassificationCode")))
+        F.struct(F.concat(F.lit("contract "), k.cast("string")).alias("Name"), F.when(~on_lots, kind).alias("ProcurementTypeCode"),
+                 F.when(~on_lots, cpv_main).alias("MainCommodityClassification"),
+                 F.when(~on_lots, F.transform("L", lambda x: F.struct(x["cpv"].alias("ItemClassificationCode"))))
                  .alias("AdditionalCommodityClassification"),
                  F.struct(_amount(F.when(k % 4 != 0, F.col("o_totalprice"))).alias("EstimatedOverallContractAmount"))
                  .alias("RequestedTenderTotal")).alias("ProcurementProject"),
         F.struct(F.col("o_orderpriority").alias("ProcedureCode")).alias("TenderingProcess"),
         F.transform("L", lambda x: F.struct(x["lot"]["ID"].alias("ID"), F.struct(
+            F.when(on_lots, kind).alias("ProcurementTypeCode"), F.when(on_lots, cpv_main).alias("MainCommodityClassification"),
+            F.when(on_lots, F.struct(x["cpv"].alias("ItemClassificationCode"))).alias("AdditionalCommodityClassification"),
             x["lot"]["RequestedTenderTotal"].alias("RequestedTenderTotal"),
-            x["lot"]["PlannedPeriod"].alias("PlannedPeriod")).alias("ProcurementProject")))
+            x["lot"]["PlannedPeriod"].alias("PlannedPeriod")).alias("ProcurementProject"),
+            F.struct(F.struct(F.transform(
+                F.when(x["pk"] % 3 == 0, F.array(F.lit("price"), F.lit("quality"))).otherwise(F.array(F.lit("quality"))),
+                lambda c: F.struct(F.struct(c.alias("AwardingCriterionTypeCode")).alias("SubordinateAwardingCriterion")))
+                .alias("AwardingCriterion")).alias("AwardingTerms")).alias("TenderingTerms")))
         .alias("ProcurementProjectLot"),
-        F.struct(F.struct(F.struct(F.struct(
-            F.struct(orgs.alias("Organization")).alias("Organizations"),
-            F.struct(F.transform("L", lambda x: x["result"]).alias("LotResult"),
-                     F.transform("L", lambda x: x["tender"]).alias("LotTender"),
-                     F.filter(F.transform("L", lambda x: x["contract"]), lambda x: x.isNotNull())
-                     .alias("SettledContract")).alias("NoticeResult")).alias("EformsExtension"))
-                           .alias("ExtensionContent")).alias("UBLExtension")).alias("UBLExtensions"))
+        F.struct(F.concat(
+            F.when(k % 2 == 0, F.array(F.struct(F.when(F.lit(False), block["ExtensionContent"]).alias("ExtensionContent"))))
+            .otherwise(F.array()), F.array(block)).alias("UBLExtension")).alias("UBLExtensions"))
     root = (F.when(F.col("o_orderstatus") == "F", "ContractAwardNotice")
             .when(F.col("o_orderstatus") == "O", "ContractNotice").otherwise("PriorInformationNotice"))
     xml = F.to_xml(doc, {"rowTag": "NOTICE_ROOT"})
-    return d.select(F.concat(k.cast("string"), F.lit(".xml")).alias("file_name"),
-                    F.regexp_replace(xml, "NOTICE_ROOT", root).alias("xml"))
+    named = F.regexp_replace(xml, "NOTICE_ROOT", root)
+    # Prefixed elements, as real notices have them.
+    prefixed = F.regexp_replace(F.regexp_replace(named, r"<(/?)([A-Z])", "<$1cac:$2"), F.concat(F.lit("^<cac:"), root),
+                                F.concat(F.lit("<cac:"), root, F.lit(' xmlns:cac="urn:notice"')))
+    return (
+        d.select(k.alias("k"), named.alias("named"), prefixed.alias("prefixed"))
+        .select(F.concat(F.col("k").cast("string"), F.lit(".xml")).alias("file_name"),
+                F.when(F.col("k") % 101 == 0, F.expr("left(named, length(named) - 20)"))
+                .when(F.col("k") % 10 == 3, F.col("prefixed")).otherwise(F.col("named")).alias("xml")))
