@@ -186,3 +186,41 @@ MARKET_TIERS: tuple[tuple[str, float, float], ...] = (
     ("Medium competition", 2.0, 4.0),
     ("High competition", 4.0, float("inf")),
 )
+
+
+# --- FIXED VALUES: columns of the gold marts, in their order -----------------
+GOLD_COLUMNS: dict[str, tuple[str, ...]] = {
+    "gold_notices": (
+        "notice_id", "notice_type", "pub_date", "submission_deadline", "buyer_org_id", "buyer_name",
+        "buyer_country", "project_title", "proc_type", "procedure_type", "cpv_code", "cpv_main", "cpv_codes",
+        "cpv_division", "cpv_division_name", "estimated", "total_awarded", "lot_count", "lot_estimated_total",
+        "avg_lot_duration", "result_count", "awarded_lot_count", "awarded_amount", "contract_count",
+        "contract_value", "first_contract_date", "tender_count", "tendering_party_count", "avg_tenders_count",
+        "tender_value", "framework", "source_file"),
+    "gold_lots": (
+        "notice_id", "lot_id", "notice_type", "pub_date", "buyer_name", "buyer_country", "project_title",
+        "lot_title", "lot_desc", "proc_type", "procedure_type", "cpv_code", "cpv_division", "cpv_division_name",
+        "estimated", "lot_est", "lot_currency", "duration_val", "duration_unit", "award_criteria", "result_code",
+        "is_awarded", "winner_org_id", "tenders_count", "awarded_amount", "contract_value", "contract_date",
+        "contract_count", "tender_count", "tender_value", "avg_tender_value", "lot_result_count"),
+    "gold_awards": (
+        "notice_id", "lot_id", "lot_result_id", "notice_type", "pub_date", "buyer_name", "buyer_country",
+        "project_title", "lot_title", "proc_type", "procedure_type", "cpv_code", "cpv_division",
+        "cpv_division_name", "result_code", "is_awarded", "winner_org_id", "winner_name", "winner_country",
+        "is_sme", "tenders_count", "sme_tenders", "awarded_amount", "award_currency", "contract_value",
+        "contract_date", "contract_count", "tender_value", "tender_currency", "estimated", "total_awarded",
+        "lot_est", "lot_currency"),
+    "gold_opportunities": (
+        "notice_id", "pub_date", "buyer_name", "buyer_country", "buyer_org_id", "project_title",
+        "proc_type", "procedure_type", "cpv_main", "cpv_division", "cpv_division_name", "estimated",
+        "num_lots", "avg_lot_duration", "submission_deadline", "framework", "source_file"),
+    "gold_notice_awards": (
+        "notice_id", "pub_date", "buyer_name", "buyer_country", "buyer_org_id", "project_title",
+        "proc_type", "cpv_main", "cpv_division", "cpv_division_name", "estimated", "awarded_eur",
+        "savings_pct", "num_lots", "num_awarded_lots", "avg_tenders_per_lot", "total_tenders",
+        "winner_names", "winner_countries", "sme_winner", "avg_lot_duration", "source_file"),
+}
+#: Columns of a notice that lots and awards carry.
+NOTICE_COLUMNS_OF_LOTS: tuple[str, ...] = (
+    "notice_id", "notice_type", "pub_date", "buyer_name", "buyer_country", "project_title",
+    "proc_type", "procedure_type", "cpv_code", "cpv_division", "cpv_division_name", "estimated")

@@ -97,7 +97,8 @@ def lot_split_df(lake, q: float = 0.8) -> DataFrame:
         ranked = K.global_rank(lake.spark, lots, [F.col("_first").asc_nulls_last(), F.col("notice_id"),
                                                    F.col("lot_id")], rank_col="_r")
         lo = f.join(ranked.select("notice_id", "lot_id", (F.col("_r") - 1).alias("lot_order")), ["notice_id", "lot_id"])
-        cutoff = lo.select(F.percentile("lot_order", q)).scalar()
+        lo = K.checkpointed(lake.spark, lo)
+        cutoff = K.grouped_quantiles(lake.spark, lo, [], "lot_order", {"cutoff": q}).scalar()
         return lo.withColumn("is_train", F.col("lot_order") <= cutoff)
     return lake.derived("lot_split", build, persist=True)
 
@@ -285,7 +286,7 @@ def target_encode(lake):
 def value_features_df(lake) -> DataFrame:
     t = target_encode_df(lake)
     le = F.log1p("estimated_value")
-    med = t.where(F.col("is_train")).select(F.median(le)).scalar()
+    med = K.median_of(t.where(F.col("is_train")).select(le.alias("le")), "le")
     return t.withColumns({
         "est_missing": le.isNull().cast("double"),
         "log_estimated": F.coalesce(le, med),
@@ -310,10 +311,11 @@ def regression_report(df: DataFrame, name: str, yhat: str = "yhat", y: str = "y"
     err = F.col(yhat) - F.col(y)
     # total sum of squares in one pass: sum(y^2) - sum(y)^2 / n
     sst = F.sum(F.col(y) * F.col(y)) - F.sum(y) * F.sum(y) / F.count(F.lit(1))
+    df = K.checkpointed(df.sparkSession, df.select(yhat, y))  # predictions: made once, read twice
+    ape = df.select((F.abs(F.expm1(yhat) - F.expm1(y)) / F.expm1(y)).alias("ape"))
     return df.agg(F.lit(name).alias("model"), F.count(F.lit(1)).alias("n"), F.avg(F.abs(err)).alias("mae"),
                   F.sqrt(F.avg(err * err)).alias("rmse"),
-                  (1 - F.sum(err * err) / sst).alias("r2"),
-                  (F.median(F.abs(F.expm1(yhat) - F.expm1(y)) / F.expm1(y)) * 100).alias("median_ape"))
+                  (1 - F.sum(err * err) / sst).alias("r2")).withColumn("median_ape", K.median_of(ape, "ape") * 100)
 
 
 @query("median_baseline", sql=f"""WITH {VB_SQL},
@@ -331,8 +333,8 @@ def median_baseline(lake):
     """Regression metrics (MAE, RMSE, R2, median APE) of the global- and per-CPV-median baselines."""
     b = value_base(lake)
     tr, te = b.where(F.col("is_train")), b.where(~F.col("is_train"))
-    m = tr.select(F.median("y")).scalar()
-    cm = tr.where(F.col("cpv_division").isNotNull()).groupBy("cpv_division").agg(F.median("y").alias("_cm"))
+    m = K.median_of(tr, "y")
+    cm = K.grouped_median(lake.spark, tr.where(F.col("cpv_division").isNotNull()), ["cpv_division"], "y", "_cm")
     g = regression_report(te.withColumn("yhat", m), "global_median")
     c = regression_report(te.join(cm, "cpv_division", "left").withColumn("yhat", F.coalesce("_cm", m)), "cpv_median")
     return g.unionByName(c)
@@ -352,12 +354,14 @@ def target_profile(lake):
     """Target profile: non-null %, usable rows, describe() of log1p(value)."""
     a = lake.gold("gold_notice_awards")
     ly = F.when(F.col("awarded_eur") > 0, F.log1p("awarded_eur"))
+    quantiles = K.checkpointed(lake.spark, K.grouped_quantiles(
+        lake.spark, a.select(ly.alias("ly")), [], "ly", {"p25_log": 0.25, "median_log": 0.5, "p75_log": 0.75}))
     return a.agg(F.count(F.lit(1)).alias("n_rows"), F.count("awarded_eur").alias("n_target"),
                  (F.count("awarded_eur") * 100.0 / F.count(F.lit(1))).alias("pct_non_null"),
                  F.count_if(F.col("awarded_eur") > 0).alias("n_usable"), F.avg(ly).alias("mean_log"),
                  F.stddev_samp(ly).alias("std_log"), F.min(ly).alias("min_log"),
-                 F.percentile(ly, 0.25).alias("p25_log"), F.median(ly).alias("median_log"),
-                 F.percentile(ly, 0.75).alias("p75_log"), F.max(ly).alias("max_log"))
+                 F.max(ly).alias("max_log")).withColumns({
+        n: quantiles.select(n).scalar() for n in ("p25_log", "median_log", "p75_log")})
 
 
 def mart_features_df(lake) -> DataFrame:

@@ -8,6 +8,8 @@ are only applied to frames that are already aggregated to a bounded dimension
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -76,7 +78,7 @@ def notice_awards(lake, cap: float = VALUE_CAP) -> DataFrame:
                      F.max(cv).alias("awarded_eur_max"),
                      F.avg("tenders_count").alias("tenders_count_avg"),
                      F.max("tenders_count").alias("tenders_count_max")))
-    return lake.derived("notice_awards", build)
+    return lake.derived("notice_awards", build, persist=True)  # the base of most studies: written once
 
 
 def notice_awards_clean(lake, exclude_country: str | None = None) -> DataFrame:
@@ -156,7 +158,7 @@ def checkpointed(spark, df: DataFrame) -> DataFrame:
 
 
 def global_rank(spark, df: DataFrame, order: list[Column], value: str | None = None,
-                rank_col: str = "rank", running_col: str = "running") -> DataFrame:
+                rank_col: str = "rank", running_col: str = "running", part_col: str | None = None) -> DataFrame:
     """Exact global ``row_number`` over ``order`` (and running sum of ``value``)
     without a single-partition window.
 
@@ -176,11 +178,13 @@ def global_rank(spark, df: DataFrame, order: list[Column], value: str | None = N
     before = W.orderBy("_pid").rowsBetween(W.unboundedPreceding, -1)
     offs = stats.select("_pid", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_roff"),
                         *([F.coalesce(F.sum("_vs").over(before), F.lit(0.0)).alias("_voff")] if value else []))
-    j = s.join(F.broadcast(offs), "_pid")
+    j = s.join(offs, "_pid")
     out = j.withColumn(rank_col, F.col("_roff") + F.col("_pos") + 1)
     if value:
         w = W.partitionBy("_pid").orderBy("_pos").rowsBetween(W.unboundedPreceding, 0)
         out = out.withColumn(running_col, F.col("_voff") + F.sum(value).over(w))
+    if part_col:
+        out = out.withColumn(part_col, F.col("_pid"))
     return out.drop("_mid", "_pid", "_pos", "_roff", "_voff")
 
 
@@ -215,21 +219,44 @@ def running_by_group(spark, df: DataFrame, group: list[str], order: list[Column]
     return out.drop("_mid", "_pid", "_pos", "_roff", "_voff")
 
 
-def grouped_median(spark, df: DataFrame, group: list[str], value: str, out: str = "median") -> DataFrame:
-    """Exact median of ``value`` per group (average of the two middle values),
-    robust to a group holding a large share of the rows.
+def grouped_quantiles(spark, df: DataFrame, group: list[str], value: str, quantiles: dict[str, float]) -> DataFrame:
+    """Exact interpolated quantiles {output column: q} of ``value`` per group, robust to a
+    group holding a large share of the rows.
 
-    ``F.median`` keeps a map of the group's distinct values and merges it for
+    ``F.median`` and ``F.percentile`` keep a map of the group's distinct values and merge it for
     the whole group in one task; here the rows are range-partitioned by
     (group, value), each row learns its rank and its group size from the
-    bounded per-partition statistics, and only the one or two middle rows per
-    group reach the final (tiny) aggregate.
+    bounded per-partition statistics, and only the one or two rows around each quantile
+    reach the final (tiny) aggregate.
     """
     keys = list(group) or ["_all"]
     d = df.where(F.col(value).isNotNull())
     d = (d.select(*group, value) if group else d.select(F.lit(1).alias("_all"), value))
-    r = running_by_group(spark, d, keys, [F.col(value)], rank_col="_rk", size_col="_gn")
-    lo, hi = F.floor((F.col("_gn") + 1) / 2), F.ceil((F.col("_gn") + 1) / 2)
-    mid = r.where((F.col("_rk") == lo) | (F.col("_rk") == hi))
-    res = mid.groupBy(*keys).agg(F.avg(value).alias(out))
+    r = running_by_group(spark, d, keys, [F.col(value)], rank_col="_rk", size_col="_gn").withColumn("_at", F.col("_rk") - 1)
+    places = {n: (F.col("_gn") - 1) * F.lit(q) for n, q in quantiles.items()}
+    near = reduce(lambda x, y: x | y, [(F.col("_at") == F.floor(p)) | (F.col("_at") == F.ceil(p)) for p in places.values()])
+
+    def between(p: Column) -> Column:
+        low, high = (F.max(F.when(F.col("_at") == end(p), F.col(value))) for end in (F.floor, F.ceil))
+        share = F.max(p - F.floor(p))
+        return low + (high - low) * share
+
+    res = r.where(near).groupBy(*keys).agg(*[between(p).alias(n) for n, p in places.items()])
     return res if group else res.drop("_all")
+
+
+def grouped_median(spark, df: DataFrame, group: list[str], value: str, out: str = "median") -> DataFrame:
+    """Exact median of ``value`` per group (see :func:`grouped_quantiles`)."""
+    return grouped_quantiles(spark, df, group, value, {out: 0.5})
+
+
+def median_of(df: DataFrame, value: str) -> Column:
+    """The exact median of a whole column, as a scalar subquery."""
+    return grouped_median(df.sparkSession, df, [], value, "median").scalar()
+
+
+def with_medians(aggregated: DataFrame, rows: DataFrame, group: list[str], medians: dict[str, str]) -> DataFrame:
+    """``aggregated`` (unique on ``group``) with the medians {output column: value column} of ``rows``."""
+    for out, value in medians.items():
+        aggregated = aggregated.join(grouped_median(rows.sparkSession, rows, group, value, out), group, "left")
+    return aggregated

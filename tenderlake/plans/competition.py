@@ -198,14 +198,19 @@ WHERE savings_pct BETWEEN -200 AND 200)"""
 def average_rank(spark, df: DataFrame, col: str, out: str) -> DataFrame:
     """Average (fractional) rank of ``col``, ties share the mean of their positions.
 
-    Ranks are computed over the *distinct* values with the distributed global
-    rank (running count of rows below each value), then joined back on the
-    value: rank = rows_below + (ties + 1) / 2.
+    The rows are sorted in parallel, ties broken by a hash of the row, so that a value that
+    holds a third of the rows lies in many partitions.  Each partition tells every value's first and
+    last place in it (one row per partition and value); a value's first and last place
+    of all are the smallest and largest of those, and go back to the rows by (partition, value): no
+    task gets all rows of a value.  NULLs get no rank.
     """
-    d = df.groupBy(F.col(col).alias("_v")).agg(F.count(F.lit(1)).cast("double").alias("_c"))
-    r = K.global_rank(spark, d, [F.col("_v")], value="_c", running_col="_run")
-    ranks = r.select("_v", (F.col("_run") - F.col("_c") + (F.col("_c") + 1) / 2).alias(out))
-    return df.join(ranks, df[col] == ranks["_v"], "left").drop("_v")
+    known = df.where(F.col(col).isNotNull())
+    ranked = K.global_rank(spark, known, [F.col(col), F.xxhash64(*[F.col(c) for c in df.columns])], rank_col="_at", part_col="_part")
+    places = ranked.groupBy("_part", col).agg(F.min("_at").alias("_from"), F.max("_at").alias("_to"))
+    value = W.partitionBy(col)
+    means = places.select("_part", col, ((F.min("_from").over(value) + F.max("_to").over(value)) / 2.0).alias(out))
+    out_rows = ranked.join(means, ["_part", col]).select(*df.columns, out)
+    return out_rows.unionByName(df.where(F.col(col).isNull()).withColumn(out, F.lit(None).cast("double")))
 
 
 @query("competition_savings_corr", sql=f"""WITH {COMP_SAV_SQL},
@@ -227,9 +232,9 @@ SELECT * FROM (SELECT {K.interval_sql(TC, SAVINGS_BRACKETS)} AS comp_bracket, me
 def savings_by_bracket(lake):
     """Savings by competition bracket (right-closed 0/1.5/3.5/5.5/10.5)."""
     cs = competition_savings(lake).withColumn("comp_bracket", C.interval_label(TC, SAVINGS_BRACKETS))
-    return (cs.where(F.col("comp_bracket").isNotNull()).groupBy("comp_bracket")
-            .agg(F.median("savings_pct").alias("median_savings"), F.avg("savings_pct").alias("mean_savings"),
-                 F.count("notice_id").alias("n_contracts")))
+    cs = cs.where(F.col("comp_bracket").isNotNull())
+    g = cs.groupBy("comp_bracket").agg(F.avg("savings_pct").alias("mean_savings"), F.count("notice_id").alias("n_contracts"))
+    return K.with_medians(g, cs, ["comp_bracket"], {"median_savings": "savings_pct"})
 
 
 @query("savings_bracket_type", sql=f"""WITH {COMP_SAV_SQL}
@@ -239,8 +244,9 @@ WHERE comp_bracket IS NOT NULL""")
 def savings_bracket_type(lake):
     """Median savings by competition bracket x procurement type (long form of the pivot)."""
     cs = competition_savings(lake).withColumn("comp_bracket", C.interval_label(TC, SAVINGS_BRACKETS))
-    return (cs.where(F.col("comp_bracket").isNotNull()).groupBy("comp_bracket", "proc_type")
-            .agg(F.bround(F.median("savings_pct").cast("decimal(38,14)"), 1).cast("double").alias("median_savings")))
+    m = K.grouped_median(lake.spark, cs.where(F.col("comp_bracket").isNotNull()), ["comp_bracket", "proc_type"], "savings_pct",
+                         "median_savings")
+    return m.withColumn("median_savings", F.bround(F.col("median_savings").cast("decimal(38,14)"), 1).cast("double"))
 
 
 @query("competition_by_size", sql=f"""

@@ -61,10 +61,10 @@ SELECT count(*) AS n_opportunities, median(estimated) AS median_estimate, COALES
 def opportunity_kpis(lake):
     """Opportunity tiles: count, median / total estimate, countries, divisions, mean lots."""
     o = lake.gold("gold_opportunities")
-    return o.agg(F.count(F.lit(1)).alias("n_opportunities"), F.median("estimated").alias("median_estimate"),
+    return o.agg(F.count(F.lit(1)).alias("n_opportunities"),
                  F.coalesce(F.sum("estimated"), F.lit(0.0)).alias("total_estimate"),
                  F.count_distinct("buyer_country").alias("n_countries"),
-                 F.count_distinct("cpv_division_name").alias("n_divisions"), F.avg("num_lots").alias("mean_lots"))
+                 F.count_distinct("cpv_division_name").alias("n_divisions"), F.avg("num_lots").alias("mean_lots")).withColumn("median_estimate", K.median_of(o, "estimated"))
 
 
 @query("award_kpis", sql=f"""WITH {AV_SQL}
@@ -75,8 +75,8 @@ def award_kpis(lake):
     """Award tiles: count, total, median / mean savings, SME %, mean bidders."""
     a = award_view_df(lake)
     return a.agg(F.count(F.lit(1)).alias("n_awards"), F.coalesce(F.sum("awarded_eur"), F.lit(0.0)).alias("total_awarded"),
-                 F.median("savings_pct").alias("median_savings"), F.avg("savings_pct").alias("mean_savings"),
-                 (F.avg("sme_winner") * 100).alias("sme_rate_pct"), F.avg("avg_tenders_per_lot").alias("mean_bidders"))
+                 F.avg("savings_pct").alias("mean_savings"), (F.avg("sme_winner") * 100).alias("sme_rate_pct"),
+                 F.avg("avg_tenders_per_lot").alias("mean_bidders")).withColumn("median_savings", K.median_of(a, "savings_pct"))
 
 
 @query("top_countries", sql=f"""WITH {AV_SQL},
@@ -242,9 +242,9 @@ SELECT COALESCE(sum(estimated), 0) AS total_estimated, count(*) AS n_open, media
 FROM gold_opportunities""")
 def qq5_open_value(lake):
     """Total and median estimate of open tenders."""
-    return lake.gold("gold_opportunities").agg(F.coalesce(F.sum("estimated"), F.lit(0.0)).alias("total_estimated"),
-                                               F.count(F.lit(1)).alias("n_open"),
-                                               F.median("estimated").alias("median_estimated"))
+    o = lake.gold("gold_opportunities")
+    return o.agg(F.coalesce(F.sum("estimated"), F.lit(0.0)).alias("total_estimated"), F.count(F.lit(1)).alias("n_open")).withColumn(
+        "median_estimated", K.median_of(o, "estimated"))
 
 
 @query("qq6_savings_by_type", sql="""
@@ -253,9 +253,10 @@ SELECT proc_type, """ + round_sql("median(savings_pct)") + """ AS median_savings
   count(*) AS n_contracts FROM gold_notice_awards WHERE proc_type IS NOT NULL GROUP BY 1""")
 def qq6_savings_by_type(lake):
     """Savings by procurement type: median, mean, count."""
-    return (lake.gold("gold_notice_awards").where(F.col("proc_type").isNotNull()).groupBy("proc_type")
-            .agg(round_half_even(F.median("savings_pct")).alias("median_savings"),
-                 mean_rounded("savings_pct").alias("mean_savings"), F.count(F.lit(1)).alias("n_contracts")))
+    a = lake.gold("gold_notice_awards").where(F.col("proc_type").isNotNull())
+    g = a.groupBy("proc_type").agg(mean_rounded("savings_pct").alias("mean_savings"), F.count(F.lit(1)).alias("n_contracts"))
+    return K.with_medians(g, a, ["proc_type"], {"median_savings": "savings_pct"}).withColumn(
+        "median_savings", round_half_even("median_savings"))
 
 
 @query("qq7_largest_mean_tender", sql="""

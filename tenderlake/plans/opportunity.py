@@ -263,12 +263,14 @@ SELECT om.*, th.st AS savings_threshold, th.bt AS bidders_threshold,
 FROM om, th""")
 def opportunity_quadrant(lake):
     """Country savings vs competition quadrant; thresholds = medians across countries (n >= 30 each)."""
-    cs = notice_savings(lake).groupBy("buyer_country").agg(F.count("notice_id").alias("n_savings"),
-                                                          F.median("savings_pct").alias("median_savings"))
+    saved = notice_savings(lake)
+    cs = K.with_medians(saved.groupBy("buyer_country").agg(F.count("notice_id").alias("n_savings")), saved, ["buyer_country"],
+                        {"median_savings": "savings_pct"})
     cc = (comp(lake).where(F.col(TC).isNotNull()).groupBy("buyer_country")
           .agg(F.count("notice_id").alias("n_comp"), F.median(TC).alias("median_bidders"),
                solo().alias("solo_rate_pct")))
-    om = cs.join(cc, "buyer_country").where((F.col("n_savings") >= 30) & (F.col("n_comp") >= 30))
+    # Written, since both thresholds and the result read it.
+    om = K.checkpointed(lake.spark, cs.join(cc, "buyer_country").where((F.col("n_savings") >= 30) & (F.col("n_comp") >= 30)))
     st = om.select(F.median("median_savings")).scalar()
     bt = om.select(F.median("median_bidders")).scalar()
     hs, hc = F.col("median_savings") >= st, F.col("median_bidders") >= bt
@@ -282,9 +284,11 @@ def _focus(df: DataFrame) -> DataFrame:
 
 
 def category_by_country(lake) -> DataFrame:
-    fin = _focus(exhun(lake)).groupBy("buyer_country").agg(
-        F.count_distinct("notice_id").alias("notices_fin"), (F.sum("awarded_eur_total") / 1e9).alias("spend_bn"),
-        (F.median("awarded_eur_total") / 1e6).alias("median_cv_m"))
+    rows = _focus(exhun(lake))
+    fin = rows.groupBy("buyer_country").agg(
+        F.count_distinct("notice_id").alias("notices_fin"), (F.sum("awarded_eur_total") / 1e9).alias("spend_bn"))
+    fin = K.with_medians(fin, rows, ["buyer_country"], {"median_cv_m": "awarded_eur_total"}).withColumn(
+        "median_cv_m", F.col("median_cv_m") / 1e6)
     cmp_ = _focus(comp(lake)).groupBy("buyer_country").agg(
         F.count_distinct("notice_id").alias("notices_comp"), F.median(TC).alias("median_bidders"),
         solo().alias("solo_pct"))
@@ -327,9 +331,9 @@ SELECT buyer_country, count(notice_id) AS n, median(savings_pct) AS med_savings,
 FROM nsav WHERE cpv_division = '{FOCUS_DIVISION}' GROUP BY 1 HAVING count(notice_id) >= 5""")
 def category_savings(lake):
     """Focus category savings by country (>= 5 notices)."""
-    g = _focus(notice_savings(lake)).groupBy("buyer_country").agg(
-        F.count("notice_id").alias("n"), F.median("savings_pct").alias("med_savings"),
-        F.avg("savings_pct").alias("mean_savings"))
+    rows = _focus(notice_savings(lake))
+    g = rows.groupBy("buyer_country").agg(F.count("notice_id").alias("n"), F.avg("savings_pct").alias("mean_savings"))
+    g = K.with_medians(g, rows, ["buyer_country"], {"med_savings": "savings_pct"})
     return g.where(F.col("n") >= 5).orderBy(F.col("med_savings").desc(), "buyer_country")
 
 
