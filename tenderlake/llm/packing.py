@@ -57,16 +57,17 @@ class PieceTokenizer:
         self.tokenizer.no_padding()
         self.cores, self.known = Learned(cache_limit), Learned(cache_limit)
 
-    def stretches(self, text: str) -> list[str]:
+    def keys(self, text: str) -> list[str]:
+        """The text's stretches: ``w`` stands for a space and w, a space and s for s as it is."""
         if self.DOUBTFUL.search(text):
-            return [s for s in self.CUT.split(text) if s]
-        first, *rest = text.split(" ")
-        out = [" " + s for s in rest]
-        if out and out[-1] == " ":  # a space at the end
-            out.pop()
-            last = " "
-            out = [*out, last] if out or first else [last]
-        return [first, *out] if first else out
+            return [" " + s for s in self.CUT.split(text) if s]
+        out = text.split(" ")
+        if not out[-1] and len(out) > 1:
+            out[-1] = "  "
+        if out[0]:
+            out[0] = " " + out[0]
+            return out
+        return out[1:]
 
     def _ask(self, texts: set[str]) -> dict[str, bytes]:
         """ids from the library.  A space and letters are one word to it, so many such go as one text and
@@ -85,18 +86,19 @@ class PieceTokenizer:
             out.update(zip(part, [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]))
         return out
 
-    def _learn(self, stretches: set[str]) -> dict[str, bytes]:
+    def _learn(self, keys: set[str]) -> dict[str, bytes]:
         """A mark after a letter is never in the letter's word: both sides are asked for by themselves."""
         parts = {}
-        for s in stretches:
+        for key in keys:
+            s = key[1:] if key[0] == " " else " " + key
             core = s.rstrip(".,;:!?")
-            parts[s] = (core, s[len(core):]) if len(core) < len(s) and core and core[-1].isalpha() else (s,)
+            parts[key] = (core, s[len(core):]) if len(core) < len(s) and core and core[-1].isalpha() else (s,)
         known = self.cores.provide({p for ps in parts.values() for p in ps}, self._ask)
         return {s: known[ps[0]] if len(ps) == 1 else known[ps[0]] + known[ps[1]] for s, ps in parts.items()}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """ids of each text as little-endian 32-bit integers."""
-        split = [self.stretches(t) for t in texts]
+        split = [self.keys(t) for t in texts]
         known = self.known.provide(set().union(*split), self._learn).__getitem__
         return [b"".join(map(known, ss)) for ss in split]
 
