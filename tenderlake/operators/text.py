@@ -5,11 +5,10 @@ Everything runs on whole texts as DataFrame jobs.  Scale notes:
 
 * documents are reduced to ``(doc, token, tf)`` first (map-side partial
   aggregation), so a 20,000-word text never travels as text past the scan;
-* the vocabulary is cut to the top ``V`` tokens with the exact distributed
-  rank, so it is bounded by ``V`` and safe to broadcast;
-* the naive-Bayes class x token weights are bounded by ``classes x V`` and
-  broadcast, so hot tokens (present in every document) never skew a shuffle;
-  the per-class dense term comes from a bounded class array (scalar subquery);
+* the vocabulary is every token of the training documents; it grows with them,
+  so terms meet it and the class x token weights by joins on the token, of which AQE splits hot
+  tokens; nothing is broadcast by hint;
+* the per-class dense term comes from an array with one entry per class (scalar subquery);
 * similarity scores a query document against the corpus through a join on the
   query's own terms: linear in the corpus, no all-pairs, no row cap.
 """
@@ -20,10 +19,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-# FIXED VALUES: tokens are lower-cased letter runs of length >= 2; the
-# vocabulary keeps 30,000 tokens; Laplace smoothing alpha = 0.1; 80/20 split.
+# FIXED VALUES: tokens are lower-cased letter runs of length >= 2;
+# Laplace smoothing alpha = 0.1; 80/20 split.
 TOKEN_PATTERN = r"\p{L}{2,}"
-VOCAB_SIZE = 30_000
 ALPHA = 0.1
 TRAIN_FRACTION = 0.8
 
@@ -49,15 +47,16 @@ def time_split(spark, docs: DataFrame, order: list[Column], fraction: float = TR
     return ranked.withColumn("is_train", F.col("split_rank") <= F.floor(F.lit(fraction) * n))
 
 
-def vocabulary(spark, train_terms: DataFrame, n_train: Column, size: int = VOCAB_SIZE,
+def vocabulary(spark, train_terms: DataFrame, n_train: Column, size: int | None = None,
                id_col: str = "doc_id") -> DataFrame:
-    """Top ``size`` tokens by training document frequency (ties: token) with
-    smoothed idf = ln((1 + N) / (1 + df)) + 1."""
+    """Every token with its training document frequency and smoothed idf =
+    ln((1 + N) / (1 + df)) + 1; with ``size``, a user's choice, the most frequent ones (ties: token)."""
     from ..plans.common import global_rank
     df = train_terms.groupBy("token").agg(F.count(id_col).alias("df"))
-    ranked = global_rank(spark, df, [F.col("df").desc(), F.col("token")], rank_col="vocab_rank")
-    return (ranked.where(F.col("vocab_rank") <= size)
-            .withColumn("idf", F.log((1 + n_train) / (1 + F.col("df"))) + 1.0))
+    if size is not None:
+        ranked = global_rank(spark, df, [F.col("df").desc(), F.col("token")], rank_col="vocab_rank")
+        df = ranked.where(F.col("vocab_rank") <= size).select("token", "df")
+    return df.withColumn("idf", F.log((1 + n_train) / (1 + F.col("df"))) + 1.0)
 
 
 def naive_bayes_scores(terms: DataFrame, labels: DataFrame, vocab: DataFrame, alpha: float = ALPHA,
@@ -70,8 +69,7 @@ def naive_bayes_scores(terms: DataFrame, labels: DataFrame, vocab: DataFrame, al
     sum over tokens seen in class c of tf * (log(n_cw + a) - log a).
     """
     v_size = vocab.select(F.count(F.lit(1))).scalar()
-    vt = F.broadcast(vocab.select("token"))  # bounded by the vocabulary size
-    tv = terms.join(vt, "token")
+    tv = terms.join(vocab.select("token"), "token")
     train = labels.where(F.col("is_train")).select(id_col, F.col(label_col).alias("cls"))
     test = labels.where(~F.col("is_train")).select(id_col, label_col)
     n_train = train.select(F.count(F.lit(1))).scalar()
@@ -87,8 +85,7 @@ def naive_bayes_scores(terms: DataFrame, labels: DataFrame, vocab: DataFrame, al
     dense = (dl.select(id_col, label_col, "n_tokens", F.explode(classes).alias("c"))
              .select(id_col, label_col, F.col("c.cls").alias("cls"),
                      (F.col("c.clp") + F.col("n_tokens") * F.col("c.dense")).alias("d")))
-    # classes x vocabulary weights: bounded, broadcast so hot tokens never skew a shuffle.
-    w = F.broadcast(cnt.select("cls", "token", (F.log(F.col("n_cw") + alpha) - F.log(F.lit(alpha))).alias("w")))
+    w = cnt.select("cls", "token", (F.log(F.col("n_cw") + alpha) - F.log(F.lit(alpha))).alias("w"))
     sparse = (tv.join(test.select(id_col), id_col, "left_semi").join(w, "token")
               .groupBy(id_col, "cls").agg(F.sum(F.col("tf") * F.col("w")).alias("s")))
     return (dense.join(sparse, [id_col, "cls"], "left")
@@ -138,7 +135,7 @@ def classification_metrics(pred: DataFrame, all_labels: DataFrame, label_col: st
 
 def tfidf_vectors(terms: DataFrame, vocab: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """(doc, token, weight): (1 + ln tf) * idf over vocabulary tokens, L2-normalised per doc."""
-    tv = terms.join(F.broadcast(vocab.select("token", "idf")), "token")
+    tv = terms.join(vocab.select("token", "idf"), "token")
     raw = tv.withColumn("_v", (1 + F.log("tf")) * F.col("idf"))
     norm = raw.groupBy(id_col).agg(F.sqrt(F.sum(F.col("_v") * F.col("_v"))).alias("_n"))
     return (raw.join(norm, id_col)
@@ -147,16 +144,16 @@ def tfidf_vectors(terms: DataFrame, vocab: DataFrame, id_col: str = "doc_id") ->
 
 
 def similar_to(vectors: DataFrame, query_id, k: int = 5, id_col: str = "doc_id") -> DataFrame:
-    """Top-``k`` documents most similar to the query document (cosine of TF-IDF
+    """Top-``k`` documents most similar to one query document (cosine of TF-IDF
     vectors; the query itself excluded; ties: later document first).
 
-    The query's terms (bounded by one document's vocabulary) are broadcast and
-    joined to the corpus vectors, so the work is linear in the corpus; the
+    The corpus vectors join the query's terms, so the work is linear in the corpus; the
     top-k is an ``orderBy().limit()`` (each task keeps k rows).  Documents that
     share no term score 0 and still fill the list when fewer than k overlap.
+    For many query documents see :func:`similar_for`.
     """
     q = vectors.where(F.col(id_col) == query_id).select("token", F.col("weight").alias("qw"))
-    scores = (vectors.where(F.col(id_col) != query_id).join(F.broadcast(q), "token")
+    scores = (vectors.where(F.col(id_col) != query_id).join(q, "token")
               .groupBy(id_col).agg(F.sum(F.col("weight") * F.col("qw")).alias("score")))
     zeros = (vectors.select(id_col).distinct().where(F.col(id_col) != query_id)
              .join(scores.select(id_col), id_col, "left_anti")
@@ -167,3 +164,22 @@ def similar_to(vectors: DataFrame, query_id, k: int = 5, id_col: str = "doc_id")
     top = scores.unionByName(zeros).orderBy(*order).limit(k)
     return top.select(F.lit(query_id).alias("query_id"), id_col, "score",
                       F.row_number().over(W.orderBy(*order)).cast("bigint").alias("rank"))
+
+
+def similar_for(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "doc_id") -> DataFrame:
+    """(query_id, doc, score, rank): for each document of ``queries`` (its ids) the ``k`` others
+    that are most similar among those that share a term with it; ties: later document first.
+
+    Query terms join the corpus vectors on the token and scores are added up per (query, document), combined
+    on the map side; the best k per query come from an aggregate of top-k lists, not from a sort of all its scores.
+    """
+    q = vectors.join(queries.select(id_col).distinct(), id_col, "left_semi").select(
+        F.col(id_col).alias("query_id"), "token", F.col("weight").alias("qw"))
+    scores = (vectors.join(q, "token").where(F.col(id_col) != F.col("query_id"))
+              .groupBy("query_id", id_col).agg(F.sum(F.col("weight") * F.col("qw")).alias("score")))
+    # Ranked within hashed parts of a query first, so that no task sorts all documents of one query.
+    part = F.pmod(F.xxhash64(id_col), F.lit(64))
+    order = [F.round("score", 10).desc(), F.col(id_col).desc()]
+    best = scores.withColumn("_r", F.row_number().over(W.partitionBy("query_id", part).orderBy(*order))).where(F.col("_r") <= k)
+    return (best.withColumn("rank", F.row_number().over(W.partitionBy("query_id").orderBy(*order)).cast("bigint"))
+            .where(F.col("rank") <= k).select("query_id", id_col, "score", "rank"))

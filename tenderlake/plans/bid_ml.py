@@ -364,15 +364,21 @@ def target_profile(lake):
         n: quantiles.select(n).scalar() for n in ("p25_log", "median_log", "p75_log")})
 
 
+def is_framework(df: DataFrame) -> Column:
+    """1 for notices that name a framework."""
+    return F.col("framework").isNotNull().cast("int") if "framework" in df.columns else F.lit(0)
+
+
 def mart_features_df(lake) -> DataFrame:
     a = lake.gold("gold_notice_awards")
     d = F.try_to_date("pub_date")
-    framework = F.col("framework") if "framework" in a.columns else F.lit(None)
+    notices = lake.silver("notices")
+    a = a.join(notices.select("notice_id", is_framework(notices).alias("is_framework")), "notice_id", "left")
     return a.select(
         "notice_id", F.log1p(F.coalesce("estimated", F.lit(0.0))).alias("log_estimated"),
         F.log1p(F.coalesce("awarded_eur", F.lit(0.0))).alias("log_awarded"),
         F.col("cpv_division").try_cast("int").alias("cpv_div_int"), F.month(d).cast("bigint").alias("pub_month"),
-        F.weekday(d).cast("bigint").alias("pub_weekday"), framework.isNotNull().cast("int").alias("is_framework"),
+        F.weekday(d).cast("bigint").alias("pub_weekday"), F.coalesce("is_framework", F.lit(0)).alias("is_framework"),
         F.coalesce(F.col("num_lots").cast("double"), F.lit(1.0)).alias("num_lots"),
         F.coalesce(F.col("sme_winner"), F.lit(False)).cast("int").alias("sme_winner_int"),
         "avg_tenders_per_lot", "awarded_eur", "proc_type", "buyer_country", "cpv_division")

@@ -334,5 +334,5 @@ FROM gold_notice_awards WHERE buyer_country IS NOT NULL GROUP BY buyer_country""
 def sql_over_views(lake, statement: str = SQL_SURFACE_EXAMPLE):
     """Free-form question over the registered layers with spark.sql (the assistant's tool, without eval)."""
     from ..sources.catalog import register_views
-    register_views(lake)
+    register_views(lake, statement=statement)
     return lake.spark.sql(statement)

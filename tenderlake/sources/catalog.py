@@ -5,13 +5,14 @@
   pruned), as (table_name, path, modification_time, length).
 * ``register_views``: raw tables, silver and gold layers as temp views, so
   users ask questions with ``spark.sql`` (no expression ``eval``).
-* ``load_if_larger``: a table only when it has more than ``n`` rows
-  (``limit(n + 1).count()`` stops early), else the fallback.
 * ``newest``: the most recently modified of several candidate files.
 """
 
 from __future__ import annotations
 
+import re
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,22 +37,15 @@ def newest(spark: SparkSession, folder: str, names: list[str] | None = None) ->
                           F.struct("modification_time", "path")).alias("n")).select("n.*")
 
 
-def load_if_larger(df: DataFrame, n: int, fallback: DataFrame) -> DataFrame:
-    """``df`` when it holds more than ``n`` rows, else ``fallback``."""
-    return df if df.limit(n + 1).count() > n else fallback
-
-
-def register_views(lake, prefix: str = "") -> list[str]:
-    """Register raw tables, silver (``silver_*``) and gold marts as temp views."""
+def register_views(lake, prefix: str = "", statement: str | None = None) -> list[str]:
+    """Register raw tables, silver (``silver_*``) and gold marts as temp views;
+    with ``statement``, only those whose names occur in it, so that no other layer is built."""
     from .tables import TABLES
-    names = []
-    for t in TABLES:
-        lake.table(t).createOrReplaceTempView(f"{prefix}{t}")
-        names.append(f"{prefix}{t}")
-    for t in SILVER:
-        lake.silver(t).createOrReplaceTempView(f"{prefix}silver_{t}")
-        names.append(f"{prefix}silver_{t}")
-    for g in GOLD:
-        lake.gold(g).createOrReplaceTempView(f"{prefix}{g}")
-        names.append(f"{prefix}{g}")
+    makers = {**{f"{prefix}{t}": partial(lake.table, t) for t in TABLES},
+              **{f"{prefix}silver_{t}": partial(lake.silver, t) for t in SILVER},
+              **{f"{prefix}{g}": partial(lake.gold, g) for g in GOLD}}
+    words = None if statement is None else set(re.findall(r"\w+", statement.lower()))
+    names = [n for n in makers if words is None or n.lower() in words]
+    for n in names:
+        makers[n]().createOrReplaceTempView(n)
     return names

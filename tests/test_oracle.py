@@ -15,10 +15,6 @@ from oracle_compare import compare, duck
 SF = os.environ.get("TENDERLAKE_TEST_SF", "/root/testdata/sf0.001")
 QUERIES = E.queries()
 SQL = E.oracle_sql()
-# Model training keys are slow and rows-only; run them with TENDERLAKE_TEST_MODELS=1.
-MODEL_KEYS = {"sme_model", "bidder_model", "bid_model", "feature_importance", "win_model", "award_value_model",
-              "regression_metrics", "score_batch", "text_logreg"}
-
 
 @pytest.fixture(scope="module")
 def con():
@@ -33,8 +29,6 @@ def test_matches_oracle(spark, con, name):
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
 def test_rows_only(spark, name):
-    if name in MODEL_KEYS and not os.environ.get("TENDERLAKE_TEST_MODELS"):
-        pytest.skip("model training key; set TENDERLAKE_TEST_MODELS=1")
     df = QUERIES[name](spark, SF)
     assert df.count() >= 0
     assert len(df.columns) > 0
