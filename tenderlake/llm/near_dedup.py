@@ -12,11 +12,13 @@ combine on the map side, so no region is gathered.  Candidates whose signatures
 in less than ``LEAST_ESTIMATE`` are passed over (more than four standard deviations below
 the threshold); all others are confirmed on the full sets.
 
-The rest: regions that still hold several components after that are gone through whole:
-every class outside the region's largest component against every class of the
-region, in blocks of bounded size, by their signatures; pairs that may be links and are
-not yet connected are confirmed on the full sets too.  So whatever the sizes of regions, a link is lost only if
-its two classes share no region in any tree: (1 - 0.8**4)**20 = 3e-5 for a similarity of 0.8, less above.
+The rest: regions that still hold several components after that are gone through whole.
+By their signatures, every class outside the region's largest component is held against every class of
+the region, in blocks of bounded size; where one may be linked to a class of another component, it
+visits that class's cell.  A cell holds up to about ``BLOCK`` classes of one component (or of the small components around
+it), each class in one cell; the full sets of its visitors are held against the full sets of its classes,
+and what is linked is linked.  So no pairs are written out but links, and whatever the sizes of regions, a link
+is lost only if its two classes share no region in any tree: (1 - 0.8**4)**20 = 3e-5 for a similarity of 0.8, less above.
 
 Components are found by alternating stars over the written links.
 
@@ -28,6 +30,7 @@ with one doc_id and one text are in one class.  Empty table: empty result.  Othe
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -141,29 +144,36 @@ def likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return map_columns(rows.select("a", "b", "sa", "sb"), "a bigint, b bigint", make)
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, width: int = WIDTH, threshold: int = THRESHOLD) -> DataFrame:
-    """The pairs with 100 * intersection >= threshold * union on their full sets."""
-    pairs = written(pairs, "likely")
+def full_sets(nodes: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """(node, s): the full sets of some classes, written."""
     # Known by its file's size, the planner broadcasts this only where it is small.
-    wanted = written(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct(), "wanted")
-    texts = _texts(docs).join(wanted, "doc_id")
+    wanted = written(nodes.select(F.col("node").alias("doc_id")).distinct(), "wanted")
 
-    def make_sets():
+    def make():
         return lambda batch: {"node": batch.column("doc_id"),
                               "s": [shingles(t or "", width).tobytes() for t in batch.column("text").to_pylist()]}
 
-    sets = written(map_columns(texts, "node bigint, s binary", make_sets), "sets")
+    return written(map_columns(_texts(docs).join(wanted, "doc_id"), "node bigint, s binary", make), "sets")
+
+
+def _set_at(column, i: int) -> np.ndarray:
+    return np.frombuffer(column[i].as_buffer(), np.uint64)
+
+
+def confirmed(pairs: DataFrame, docs: DataFrame, width: int = WIDTH, threshold: int = THRESHOLD) -> DataFrame:
+    """The pairs with 100 * intersection >= threshold * union on their full sets."""
+    pairs = written(pairs, "likely")
+    sets = full_sets(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))), docs, width)
     rows = (pairs.join(sets.select(F.col("node").alias("a"), F.col("s").alias("sa")), "a")
             .join(sets.select(F.col("node").alias("b"), F.col("s").alias("sb")), "b"))
 
     def make():
         def f(batch):
-            good = []
-            for sa, sb in zip(batch.column("sa").to_pylist(), batch.column("sb").to_pylist()):
-                x, y = np.frombuffer(sa, np.uint64), np.frombuffer(sb, np.uint64)
+            good, sa, sb = np.zeros(batch.num_rows, bool), batch.column("sa"), batch.column("sb")
+            for i in range(batch.num_rows):
+                x, y = _set_at(sa, i), _set_at(sb, i)
                 both = len(np.intersect1d(x, y, assume_unique=True))
-                good.append(100 * both >= threshold * (len(x) + len(y) - both))
-            good = np.array(good, bool)
+                good[i] = 100 * both >= threshold * (len(x) + len(y) - both)
             return {c: batch.column(c).to_numpy()[good] for c in ("a", "b")}
 
         return f
@@ -171,70 +181,153 @@ def confirmed(pairs: DataFrame, docs: DataFrame, width: int = WIDTH, threshold:
     return written(map_columns(rows.select("a", "b", "sa", "sb"), "a bigint, b bigint", make).distinct(), "confirmed")
 
 
-def leftover_pairs(in_regions: DataFrame, classes: DataFrame, known: DataFrame) -> DataFrame:
-    """(a, b): classes that share a region, may be linked by their signatures, and are in different components."""
+def _mixed_rows(in_regions: DataFrame, known: DataFrame) -> DataFrame:
+    """(node, region, c, most, all_blocks, rest_blocks): rows of regions with several components; most: the largest there."""
     labels = known.select("node", F.col("component").alias("c"))
     rows = in_regions.select("node", F.col(f"p{MIN_DEPTH}").alias("region")).join(labels, "node", "left") \
         .select("node", "region", F.coalesce("c", "node").alias("c"))
     shares = rows.groupBy("region", "c").agg(F.count(F.lit(1)).alias("k"))
-    mixed_regions = (shares.groupBy("region").agg(F.max_by("c", F.struct("k", "c")).alias("most"), F.sum("k").alias("n"),
-                                                  F.max("k").alias("k"), F.count(F.lit(1)).alias("kinds"))
-                     .filter("kinds > 1")
-                     .select("region", "most", F.ceil(F.col("n") / BLOCK).alias("all_blocks"),
-                             F.ceil((F.col("n") - F.col("k")) / BLOCK).alias("rest_blocks")))
-    rows = (rows.join(mixed_regions, "region").join(classes.select("node", "signature"), "node"))
+    regions = (shares.groupBy("region").agg(F.max_by("c", F.struct("k", "c")).alias("most"), F.sum("k").alias("n"),
+                                            F.max("k").alias("k"), F.count(F.lit(1)).alias("kinds"))
+               .filter("kinds > 1")
+               .select("region", "most", F.ceil(F.col("n") / BLOCK).alias("all_blocks"),
+                       F.ceil((F.col("n") - F.col("k")) / BLOCK).alias("rest_blocks")))
+    return rows.join(regions, "region")
+
+
+def _cells(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """(node, c, cell): the one cell of each class.  Classes of a component with SMALL classes or more
+    share its cells; others go to the cells of small components around a largest one."""
+    sizes = known.groupBy(F.col("component").alias("c")).agg(F.count(F.lit(1)).alias("size"))
+    homes = rows.groupBy("node", "c").agg(F.min("most").alias("near")).join(sizes, "c", "left")
+    large = F.coalesce(F.col("size") >= SMALL, F.lit(False))
+    homes = homes.select("node", "c", F.xxhash64(large, F.when(large, F.col("c")).otherwise(F.col("near"))).alias("home"))
+    blocks = homes.groupBy("home").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    return homes.join(blocks, "home").select("node", "c", F.xxhash64("home", F.pmod(F.xxhash64("node"), F.col("blocks"))).alias("cell"))
+
+
+class _Groups:
+    """Runs of rows with one key, from sorted batches; a run may go over several batches."""
+
+    def __init__(self, key: str, columns: tuple[str, ...]):
+        self.key, self.columns, self.held = key, columns, {}
+
+    def add(self, now: dict[str, np.ndarray]) -> list[dict[str, np.ndarray]]:
+        for k, v in now.items():
+            self.held[k] = np.concatenate([self.held[k], v]) if k in self.held else v
+        return self._cut(False)
+
+    def rest(self) -> list[dict[str, np.ndarray]]:
+        return self._cut(True)
+
+    def _cut(self, last: bool) -> list[dict[str, np.ndarray]]:
+        keys = self.held.get(self.key)
+        if keys is None or not len(keys):
+            return []
+        cuts = [0, *(np.flatnonzero(np.diff(keys)) + 1).tolist(), len(keys)]
+        spans = list(zip(cuts, cuts[1:]))
+        done, keep = (spans, len(keys)) if last else (spans[:-1], spans[-1][0])
+        out = [{k: self.held[k][a:b] for k in self.columns} for a, b in done]
+        self.held = {k: v[keep:] for k, v in self.held.items()}
+        return out
+
+
+def _visits(rows: DataFrame, cells: DataFrame, classes: DataFrame) -> DataFrame:
+    """Distinct (node, cell): classes that may be linked, by their signatures, to a class of another component in that cell."""
+    rows = rows.join(cells.select("node", F.col("cell").alias("own")), "node").join(classes.select("node", "signature"), "node")
     every = F.explode(F.transform(F.sequence(F.lit(0), F.col("rest_blocks") - 1), lambda r: F.struct(
         F.pmod(F.xxhash64("node"), F.col("all_blocks")).alias("x"), r.alias("y"))))
     rest = F.explode(F.transform(F.sequence(F.lit(0), F.col("all_blocks") - 1), lambda x: F.struct(
         x.alias("x"), F.pmod(F.xxhash64("node"), F.col("rest_blocks")).alias("y"))))
-    sides = (rows.select("region", "node", "c", "signature", F.lit(False).alias("rest"), every.alias("at"))
-             .unionByName(rows.filter("c <> most").select("region", "node", "c", "signature", F.lit(True).alias("rest"), rest.alias("at"))))
-    sides = sides.select(F.xxhash64("region", "at.x", "at.y").alias("cell"), "node", "c", "signature", "rest")
-    cells = sides.repartition("cell").sortWithinPartitions("cell")
-
-    def make():
-        held: dict[str, np.ndarray] = {}
-
-        def pairs_of(node, c, sig, rest):
-            out = []
-            for i in np.flatnonzero(rest).tolist():
-                may = (sig == sig[i]).sum(axis=1) >= LEAST_ESTIMATE * VALUES
-                for j in np.flatnonzero(may & ~rest & (c != c[i])).tolist():
-                    out.append((min(node[i], node[j]), max(node[i], node[j])))
-            return out
-
-        def f(batch, last=False):
-            if batch is not None:
-                now = {k: batch.column(k).to_numpy(zero_copy_only=False) for k in ("cell", "node", "c", "rest")}
-                now["sig"] = np.frombuffer(b"".join(batch.column("signature").to_pylist()), "<u2").reshape(-1, VALUES)
-                for k, v in now.items():  # a cell may go on in the next batch
-                    held[k] = np.concatenate([held[k], v]) if k in held else v
-            if not held or not len(held["cell"]):
-                return []
-            cuts = [0, *(np.flatnonzero(np.diff(held["cell"])) + 1).tolist(), len(held["cell"])]
-            spans = list(zip(cuts, cuts[1:]))
-            done = spans if last else spans[:-1]
-            out = [p for a, b in done for p in pairs_of(*(held[k][a:b] for k in ("node", "c", "sig", "rest")))]
-            keep = len(held["cell"]) if last else spans[-1][0]
-            for k in held:
-                held[k] = held[k][keep:]
-            return out
-
-        return f
+    columns = ["region", "node", "c", "own", "signature"]
+    sides = (rows.select(*columns, F.lit(False).alias("rest"), every.alias("at"))
+             .unionByName(rows.filter("c <> most").select(*columns, F.lit(True).alias("rest"), rest.alias("at"))))
+    sides = sides.select(F.xxhash64("region", "at.x", "at.y").alias("part"), "node", "c", "own", "signature", "rest")
+
+    def visits_of(g: dict[str, np.ndarray]) -> set[tuple[int, int]]:
+        out = set()
+        for i in np.flatnonzero(g["rest"]).tolist():
+            may = ((g["sig"] == g["sig"][i]).sum(axis=1) >= LEAST_ESTIMATE * VALUES) & ~g["rest"] & (g["c"] != g["c"][i])
+            out.update((int(g["node"][i]), int(cell)) for cell in np.unique(g["own"][may]))
+        return out
 
     def run(batches):
-        import pyarrow as pa
-        f = make()
+        groups = _Groups("part", ("node", "c", "own", "rest", "sig"))
 
-        def table(out):
-            return pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
+        def table(found):
+            pairs = sorted(set().union(*map(visits_of, found)))
+            return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], names=["node", "cell"])
 
         for batch in batches:
             if batch.num_rows:
-                yield table(f(batch))
-        yield table(f(None, True))
+                now = {k: batch.column(k).to_numpy(zero_copy_only=False) for k in ("part", "node", "c", "own", "rest")}
+                now["sig"] = np.frombuffer(b"".join(batch.column("signature").to_pylist()), "<u2").reshape(-1, VALUES)
+                yield table(groups.add(now))
+        yield table(groups.rest())
+
+    return sides.repartition("part").sortWithinPartitions("part").mapInArrow(run, "node bigint, cell bigint").distinct()
+
+
+class _Cell:
+    """Full sets of a cell's classes, by their elements."""
+
+    def __init__(self):
+        self.nodes, self.c, self.sets = [], [], []
+        self.index = None
+
+    def add(self, node: int, c: int, s: np.ndarray) -> None:
+        self.nodes.append(node)
+        self.c.append(c)
+        self.sets.append(s)
+
+    def links(self, node: int, c: int, s: np.ndarray, threshold: int) -> list[tuple[int, int]]:
+        """Links of a visitor, one to each other component in the cell."""
+        if not self.sets:
+            return []
+        if self.index is None:
+            sizes = np.array([len(x) for x in self.sets])
+            values = np.concatenate(self.sets)
+            order = np.argsort(values, kind="stable")
+            self.index = values[order], np.repeat(np.arange(len(sizes)), sizes)[order], sizes, np.array(self.c)
+            self.sets = [s[:0] for s in self.sets]
+        values, owner, sizes, comps = self.index
+        low, high = np.searchsorted(values, s, "left"), np.searchsorted(values, s, "right")
+        length = high - low
+        at = np.repeat(low - np.cumsum(length) + length, length) + np.arange(length.sum())
+        both = np.bincount(owner[at], minlength=len(sizes))
+        good = np.flatnonzero((100 * both >= threshold * (sizes + len(s) - both)) & (comps != c))
+        _, first = np.unique(comps[good], return_index=True)
+        return [(min(node, self.nodes[i]), max(node, self.nodes[i])) for i in good[first].tolist()]
+
+
+def leftover_links(in_regions: DataFrame, classes: DataFrame, known: DataFrame, docs: DataFrame,
+                   width: int = WIDTH, threshold: int = THRESHOLD) -> DataFrame:
+    """(a, b): links between classes that share a region and are in different components, one at least
+    for each class and other component that have any."""
+    rows = written(_mixed_rows(in_regions, known), "mixed")
+    cells = written(_cells(rows, known), "cells")
+    visits = written(_visits(rows, cells, classes), "visits")
+    hosts = cells.join(visits.select("cell").distinct(), "cell", "left_semi")
+    sets = full_sets(visits.select("node").unionByName(hosts.select("node")), docs, width)
+    sides = (hosts.select("cell", F.lit(0).alias("visitor"), "node", "c")
+             .unionByName(visits.join(cells.select("node", "c"), "node").select("cell", F.lit(1).alias("visitor"), "node", "c"))
+             .join(sets, "node").select("cell", "visitor", "node", "c", "s"))
+
+    def run(batches):
+        here, cell = None, None
+        for batch in batches:
+            links, s = [], batch.column("s")
+            for i, (at, visitor, node, c) in enumerate(zip(*(batch.column(k).to_pylist() for k in ("cell", "visitor", "node", "c")))):
+                if at != here:
+                    here, cell = at, _Cell()
+                own = _set_at(s, i)
+                if visitor:
+                    links += cell.links(node, c, own, threshold)
+                else:
+                    cell.add(node, c, own.copy())
+            yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
-    return cells.mapInArrow(run, "a bigint, b bigint").distinct()
+    return written(sides.repartition("cell").sortWithinPartitions("cell", "visitor").mapInArrow(run, "a bigint, b bigint").distinct(), "leftover")
 
 
 def near_components(docs: DataFrame, width: int = WIDTH, threshold: int = THRESHOLD) -> DataFrame:
@@ -245,7 +338,7 @@ def near_components(docs: DataFrame, width: int = WIDTH, threshold: int = THRESH
     in_regions = written(_regions(forest_rows(classes), MIN_DEPTH), "regions")
     links = confirmed(likely(candidates(in_regions), classes), docs, width, threshold)
     known = written(components(links), "components")
-    more = confirmed(leftover_pairs(in_regions, classes, known), docs, width, threshold)
+    more = leftover_links(in_regions, classes, known, docs, width, threshold)
     known = written(components(links.unionByName(more)), "components") if more.limit(1).count() else known
     rep = classes.select("set_hash", "n_shingles", "node")
     out = (rows.select("doc_id", "n_shingles", "set_hash").join(rep, ["set_hash", "n_shingles"], "left")
