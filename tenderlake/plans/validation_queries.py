@@ -10,6 +10,8 @@ from ..functions.lookups import (CRITICAL_COLUMNS, EXPECTED_SCHEMAS, IMPORTANT_M
                                  OPTIONAL_COLUMNS, RESULT_STATUSES)
 from ..operators import validate as V
 from ..registry import query
+from ..sources.tables import TABLES
+from . import common as K
 
 SILVER = ["notices", "lots", "organisations", "cpv_codes", "lot_results", "contracts", "tendering_parties", "tenders"]
 S = {t: f"s_{t}" for t in SILVER}
@@ -299,9 +301,43 @@ def date_ranges(lake):
     return reduce(lambda a, b: a.unionByName(b), out)
 
 
+_TABLES_SQL = "\nUNION ALL\n".join(f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in TABLES)
+
+
+@query("check_tables", sql=f"SELECT table_name, n_rows, CASE WHEN n_rows > 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM ({_TABLES_SQL})")
+def check_tables(lake):
+    """Input tables: present, readable and with rows; a table that is missing fails with NULL rows."""
+    from pyspark.errors import AnalysisException
+    parts = []
+    for t in TABLES:
+        try:
+            rows = lake.table(t).agg(F.count(F.lit(1)).alias("n_rows"))
+        except AnalysisException:  # no such path
+            rows = lake.spark.range(1).select(F.lit(None).cast("bigint").alias("n_rows"))
+        parts.append(rows.select(F.lit(t).alias("table_name"), "n_rows"))
+    return reduce(lambda a, b: a.unionByName(b), parts).withColumn(
+        "status", F.when(F.col("n_rows") > 0, "PASS").otherwise("FAIL"))
+
+
+class ChecksFailed(Exception):
+    """At least one check of a strict run has the status FAIL."""
+
+
+def run_checks(lake, strict: bool = False):
+    """All checks (tables, then the silver suite) as one frame of (suite, status, n_checks), written; with
+    ``strict`` a FAIL among them raises, so that the job that runs them fails."""
+    tables = check_tables(lake).groupBy("status").agg(F.count(F.lit(1)).alias("n_checks")).select(F.lit("tables").alias("suite"), "*")
+    silver = check_summary(lake).select(F.lit("silver").alias("suite"), "status", "n_checks")
+    out = K.checkpointed(lake.spark, tables.unionByName(silver))
+    failed = out.where(F.col("status") == "FAIL").collect()  # two rows at most
+    if strict and failed:
+        raise ChecksFailed(", ".join(f"{r.suite}: {r.n_checks} failed" for r in failed))
+    return out
+
+
 @query("check_schema")
 def check_schema(lake):
-    """Schema drift per silver table: missing / unexpected / optional-present columns (metadata)."""
+    """Schema drift per silver table: missing / unexpected / optional-present columns, with the table's rows."""
     rows = []
     for t in SILVER:
         have = lake.silver(t).columns
@@ -309,7 +345,10 @@ def check_schema(lake):
         rows += [(t, "missing", c, "WARN") for c in exp if c not in have]
         rows += [(t, "unexpected", c, "WARN") for c in have if c not in exp and c not in opt]
         rows += [(t, "optional", c, "PASS") for c in opt if c in have]
-    return lake.spark.createDataFrame(rows, "table_name string, kind string, column_name string, status string")
+    drift = lake.spark.createDataFrame(rows, "table_name string, kind string, column_name string, status string")
+    counts = reduce(lambda a, b: a.unionByName(b), [
+        lake.silver(t).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(t).alias("table_name"), "n_rows") for t in SILVER])
+    return counts.join(drift, "table_name", "left")
 
 
 GOLD_KEYS = {"gold_notices": ["notice_id"], "gold_lots": ["notice_id", "lot_id"],
