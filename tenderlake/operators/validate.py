@@ -1,9 +1,9 @@
 """Data-quality checks over the silver tables.
 
 Every check yields rows ``(status, table_name, check_name, bad_rows)``.
-Counters of one table are computed in a single aggregate pass and unpivoted;
-reference checks are multi-column ``left_anti`` joins (rows with a NULL key
-part are skipped, as the surveyed checks drop them first).
+Counters of one table come from a single aggregate over it, which all checks of a lake share
+(written as one row), and are unpivoted; primary keys are one aggregate by key; reference checks are
+multi-column ``left_anti`` joins on bare keys (rows with a NULL key part are skipped, as the surveyed checks drop them first).
 """
 
 from __future__ import annotations
@@ -86,12 +86,21 @@ def _counter_specs() -> dict[str, list[tuple[str, Column]]]:
     return specs
 
 
+class Tables(dict):
+    """Tables by name; ``keep(name, build)`` may hold on to their counters between checks."""
+
+    def __init__(self, tables: dict[str, DataFrame], keep=None):
+        super().__init__(tables)
+        self.keep = keep or (lambda name, build: build())
+
+
 def table_counters(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """One single-pass aggregate per table holding all its counters (row count in ``_n``)."""
-    out = {}
-    for t, spec in _counter_specs().items():
-        out[t] = tables[t].agg(F.count(F.lit(1)).alias("_n"), *[e.alias(name) for name, e in spec])
-    return out
+    def counters(t: str, spec: list[tuple[str, Column]]) -> DataFrame:
+        return tables[t].agg(F.count(F.lit(1)).alias("_n"), *[e.alias(name) for name, e in spec])
+
+    keep = tables.keep if isinstance(tables, Tables) else (lambda name, build: build())
+    return {t: keep(f"counters.{t}", lambda t=t, spec=spec: counters(t, spec)) for t, spec in _counter_specs().items()}
 
 
 def _from_counters(counters: dict[str, DataFrame], rows: list[tuple[str, str, str, str]]) -> DataFrame:
@@ -139,7 +148,7 @@ def _anti_count(left: DataFrame, lkeys: list[str], right: DataFrame, rkeys: list
     lk = left.select(*[F.col(k).cast("string").alias(f"_k{i}") for i, k in enumerate(lkeys)])
     lk = lk.where(reduce(lambda a, b: a & b, [F.col(f"_k{i}").isNotNull() for i in range(len(lkeys))]))
     rk = right.select(*[F.col(k).cast("string").alias(f"_k{i}") for i, k in enumerate(rkeys)]).where(
-        reduce(lambda a, b: a & b, [F.col(f"_k{i}").isNotNull() for i in range(len(rkeys))])).distinct()
+        reduce(lambda a, b: a & b, [F.col(f"_k{i}").isNotNull() for i in range(len(rkeys))]))
     return lk.join(rk, [f"_k{i}" for i in range(len(lkeys))], "left_anti").agg(F.count(F.lit(1)).alias("bad"))
 
 
@@ -150,7 +159,7 @@ def check_notice_ref(tables: dict[str, DataFrame]) -> DataFrame:
         if t == "notices":
             continue
         # every row counts here (a NULL notice id is unmatched too)
-        ids = notices.select(F.col("notice_id").alias("_k0")).where(F.col("_k0").isNotNull()).distinct()
+        ids = notices.select(F.col("notice_id").alias("_k0")).where(F.col("_k0").isNotNull())
         bad = (df.select(F.col("notice_id").alias("_k0")).join(ids, "_k0", "left_anti")
                .agg(F.count(F.lit(1)).alias("bad")))
         out.append(bad.select(status(F.col("bad")).alias("status"), F.lit(t).alias("table_name"),

@@ -18,7 +18,8 @@ S = {t: f"s_{t}" for t in SILVER}
 
 
 def _tables(lake):
-    return {t: lake.silver(t) for t in SILVER}
+    """The silver tables; their counters are worked out once for a lake."""
+    return V.Tables({t: lake.silver(t) for t in SILVER}, lambda name, build: lake.derived(name, build, persist=True))
 
 
 def _st(bad: str, warn: str | None = None) -> str:
