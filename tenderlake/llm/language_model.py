@@ -36,7 +36,7 @@ from .blocks import (BLOCK_CHARS, RANGE_HASHES, WordHashes, arrow_table, by_rang
                      unzipped, zipped)
 from .shared import map_columns, written
 
-HEAD, PER_CLASS, TAILS = 1024, 64, 32
+HEAD, PER_CLASS, TAILS = 512, 32, 16
 HEADS = HEAD // PER_CLASS
 CLASSES = HEADS + TAILS
 CLASS_ROWS, WORD_ROWS = 1 << 14, 1 << 13
@@ -47,7 +47,7 @@ SMOOTH = 0.1
 
 
 class WordCodes(WordHashes):
-    """64-bit codes of words: a hash whose low 5 bits are the class of the word's ending."""
+    """64-bit codes of words: a hash whose low bits are the class of the word's ending."""
 
     def __missing__(self, word: bytes) -> int:
         ending = word.rstrip(b".,;:!?")[-3:]
@@ -129,7 +129,7 @@ class Base:
             tokens[code % TAILS] -= k
             words[code % TAILS] -= 1
         mass = np.where(counts > 0, counts + SMOOTH, 0).reshape(HEADS, PER_CLASS)
-        with np.errstate(divide="ignore"):
+        with np.errstate(divide="ignore", invalid="ignore"):  # empty classes
             classes = np.log(np.concatenate([mass.sum(axis=1), tokens + SMOOTH * words]) / self.z)
             inside = np.log(mass) - np.log(mass.sum(axis=1))[:, None]
         self.tail_mass = tokens + SMOOTH * words
@@ -229,15 +229,15 @@ def _step(table: np.ndarray, state: dict, rows: np.ndarray, logp: np.ndarray, ta
     """AdaGrad on the rows, with the mean gradient of each row's tokens."""
     g = np.exp(logp)
     g[np.arange(len(target)), target] -= 1
-    flat, n = rows.reshape(-1), len(table)
-    times = np.bincount(flat, minlength=n)
+    n = len(table)
+    times = np.bincount(rows.reshape(-1), minlength=n)
     seen = np.flatnonzero(times)
-    place = np.zeros(n, np.int32)
+    place = np.zeros(n, np.int64)
     place[seen] = np.arange(len(seen))
-    small = place[flat]
+    small, columns = place[rows], np.ascontiguousarray(g.T, dtype="f8")
     total = np.empty((len(seen), table.shape[1]), "f4")
-    for c in range(table.shape[1]):
-        total[:, c] = np.bincount(small, weights=np.tile(g[:, c], len(rows)), minlength=len(seen))
+    for c, column in enumerate(columns):
+        total[:, c] = sum(np.bincount(r, weights=column, minlength=len(seen)) for r in small)
     total /= np.sqrt(times[seen])[:, None]
     state["squares"][seen] += total * total
     table[seen] -= RATE * total / np.sqrt(state["squares"][seen] + 1)
