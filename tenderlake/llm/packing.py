@@ -34,7 +34,7 @@ from .shared import Learned, blocks, map_columns, written
 
 CAPACITY = 1024
 END_ID = 0
-CACHE_LIMIT = 400_000
+CACHE_LIMIT = 200_000
 
 
 class PieceTokenizer:
@@ -55,7 +55,7 @@ class PieceTokenizer:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.cores, self.known = Learned(cache_limit), Learned(cache_limit)
+        self.cores, self.known = Learned(cache_limit // 2), Learned(cache_limit)
 
     def keys(self, text: str) -> list[str]:
         """The text's stretches: ``w`` stands for a space and w, a space and s for s as it is."""
