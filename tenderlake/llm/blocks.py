@@ -81,7 +81,7 @@ def unpacked(table: pa.Table) -> tuple[np.ndarray, list[bytes], np.ndarray]:
 class WordHashes(dict):
     """64-bit hashes of words (bytes), kept while there are less than ``limit``."""
 
-    limit = 300_000
+    limit = 150_000
 
     def __missing__(self, word: bytes) -> int:
         h = xxhash.xxh3_64_intdigest(word)

@@ -59,8 +59,8 @@ def shingles(text: str, width: int) -> np.ndarray:
 def signature(s: np.ndarray) -> bytes:
     """The set's minima under VALUES hash functions, 16 bits of each."""
     low = np.full(VALUES, 0xFFFFFFFF, np.uint32)
-    for k in range(0, len(s), 8192):
-        part = (s[k:k + 8192] >> np.uint64(32)).astype(np.uint32)
+    for k in range(0, len(s), 2048):
+        part = (s[k:k + 2048] >> np.uint64(32)).astype(np.uint32)
         with np.errstate(over="ignore"):
             low = np.minimum(low, (_A[:, None] * part[None, :] + _B[:, None]).min(axis=1))
     return (mixed(low.astype(np.uint64)) >> np.uint64(48)).astype(">u2").tobytes()
