@@ -483,6 +483,25 @@ def test_probabilities_add_up_to_one():
     assert total + p[one.place == 3].sum() == pytest.approx(1.0, abs=1e-4)
 
 
+def test_words_up_to_rank_1024_learn_inside_their_class():
+    every = sorted(set(words(1500, 31)))[:1000]
+    t = language_model.Tokens([" ".join(every).encode()] * 20)
+    codes, counts = np.unique(t.codes, return_counts=True)
+    tails = (codes % np.uint64(language_model.TAILS)).astype(int)
+    totals = np.stack([np.bincount(tails, weights=w, minlength=language_model.TAILS) for w in (counts, counts > 0, counts == 1)])
+    base = language_model.Base(totals, sorted(zip(codes.tolist(), counts.tolist()), key=lambda x: (-x[1], x[0]))[:language_model.HEAD])
+    model = language_model.Model(base)
+    state = {k: {"squares": np.zeros(s, "f4"), "seen": np.zeros(s[0], np.int64)} for k, s in language_model._SHAPES.items()}
+    f, rank = model.features(t), base.head_of(t.codes)
+    for _ in range(5):
+        model.update(f, t.codes, state)
+    late = np.flatnonzero(rank >= 512)
+    assert len(late) >= 20 * 400
+    _, inside = model.word_part(f[:, late], rank[late] // language_model.PER_CLASS)
+    got = inside[np.arange(len(late)), rank[late] % language_model.PER_CLASS]
+    assert got.mean() > base.log_inside.reshape(-1)[rank[late]].mean() + 0.5
+
+
 # -- shared ----------------------------------------------------------------------------------------------------------
 
 
