@@ -15,7 +15,8 @@ For every h the probabilities of all known words and the unknown token add up to
 Training: AdaGrad updates on every training text, once.  Blocks are dealt to ROUNDS rounds; in a round each
 task starts from the shared weights and updates a copy over its texts; the rows of the weight tables are
 averaged by how often tasks saw their feature, in a shuffle by slices of the tables that each
-reducer adds up as they come, and are the next round's weights.  Tables have a fixed size, whatever the input.
+reducer adds up as they come, and are the next round's weights.  Tables have a fixed size, whatever the input: a
+limit, as more text makes the counts better but not the tables larger (held-out figures in the README).
 
 Defined results: null text counts as empty: one token, the end.  A null doc_id is neither held out nor
 learnt from.  Without training texts N = 0 and both scores are 0.  Repeated rows stay and count each time.
