@@ -433,6 +433,24 @@ def test_fingerprints_are_native(odd, monkeypatch):
         assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
 
 
+def test_every_term_counts_in_long_texts(spark):
+    base = sorted(set(words(2400, 41)))[:1500]
+    rows = [(k, " ".join(base[:k] + [f"changed{k}"] + base[k + 1:])) for k in range(0, 1500, 50)] + [(-1, " ".join(base))]
+    rows += [(-2, " ".join(base[:750] + [f"other{k}" for k in range(750)])), (-3, " ".join(base[:1000])), (-4, " ".join(base[:60]))]
+    band = ",".join(["-1"] * (1 << (fingerprints.BUCKET_BITS - 6)))
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    prints = docs.select("doc_id", fingerprints.fingerprint(fingerprints.term_hashes(F.col("text")), band).alias("f"))
+    one = prints.filter("doc_id = -1").select(F.col("f").alias("g"))
+    both = prints.crossJoin(one)
+    got = {r[0]: r for r in both.select("doc_id", "f", fingerprints.likeness(F.col("f"), F.col("g")), fingerprints.likeness(F.col("g"), F.col("f"))).collect()}
+    assert len({r[1] for r in got.values()}) == len(rows)
+    assert all(r[2] == r[3] for r in got.values()) and got[-1][2] == 1
+    assert all(0.99 < got[k][2] < 1 for k in got if k >= 0)
+    assert got[-2][2] == pytest.approx(1 / 3, abs=0.12)  # 750 of 2,250 terms
+    assert 0.4 < got[-3][2] < 0.75  # at the smaller scale, where subsets hold more terms
+    assert got[-4][2] < 0.1
+
+
 # -- 10 --------------------------------------------------------------------------------------------------------------
 
 
