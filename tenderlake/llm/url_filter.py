@@ -3,7 +3,7 @@
 Rules are (host, path, verdict).  A rule fits its host and every subdomain of it, if the
 url's path starts with the rule's path; the longest rule (host and path together) wins.
 Urls that a rule decides are the labelled urls: the trees learn from a bounded sample of
-them (``train_rows`` urls, the smallest by a hash of the url) and judge the others.
+them (``train_rows`` distinct urls, the smallest by a hash of the url, each once) and judge the others.
 
 Features are lexical and computed by SQL functions: lengths, depth, digit ratio,
 character entropy, parameter count, label counts, and for the last label and the last two
@@ -91,8 +91,8 @@ def judge_urls(pages: DataFrame, rules=RULES, train_rows: int = TRAIN_ROWS, roun
 
     rows = judged_by_rules(pages, rules)
     labelled = rows.filter(F.col("rule").isNotNull()).select(
-        "page_id", "url", "host", "path", (F.col("rule_verdict") == "block").cast("double").alias("label"))
-    sample = written(lexical(labelled.orderBy(F.xxhash64("url"), "page_id").limit(train_rows)), "urls")
+        "url", "host", "path", (F.col("rule_verdict") == "block").cast("double").alias("label")).distinct()
+    sample = written(lexical(labelled.orderBy(F.xxhash64("url"), "url").limit(train_rows)), "urls")
     counts = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}  # two classes at most
 
     def verdict(method: Column) -> Column:

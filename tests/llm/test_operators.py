@@ -272,6 +272,15 @@ def test_url_trees_learn_the_labels(spark):
     assert all(0 <= got[1000 + k]["score"] <= 1 for k in range(40))
 
 
+def test_copies_of_one_url_do_not_fill_the_sample(spark):
+    urls = spark.createDataFrame([(f"http://a{k}.{end}/x",) for k in range(30) for end in ("com", "net/es")], "url string")
+    first, *rest = [r["url"] for r in urls.orderBy(F.xxhash64("url")).collect()]
+    rows = list(enumerate([first] * 300 + rest + ["http://b.org/x"]))
+    got = url_filter.judge_urls(spark.createDataFrame(rows, "page_id bigint, url string"), train_rows=100, rounds=2, depth=2).collect()
+    assert len(got) == len(rows)
+    assert [r["score"] is not None for r in got if r["rule"] is None] == [True]
+
+
 # -- 6 ---------------------------------------------------------------------------------------------------------------
 
 
