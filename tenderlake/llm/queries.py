@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, exact_dedup, fingerprints, language_model, near_dedup, packing, quality, substrings, url_filter
+from . import (bpe, chat, exact_dedup, fingerprints, language_model, near_dedup, packing, quality, ranked_search, substrings, url_filter,
+               warc, whitening)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,6 +66,18 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.score_texts(_table(spark, sf_dir, "documents"))
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived_digests(_table(spark, sf_dir, "pages"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.best_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 SQL_OP2 = r"""
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -90,9 +103,47 @@ FROM t JOIN g ON t.norm = g.norm
 """
 
 
+SQL_OP11 = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+g AS (SELECT payload, min(page_id) AS keep_id FROM p GROUP BY payload),
+r AS (SELECT p.page_id, p.payload, CASE WHEN g.keep_id <> p.page_id OR p.page_id IS NULL THEN g.keep_id END AS refers_to
+      FROM p JOIN g ON p.payload = g.payload),
+h AS (SELECT *, sha1(payload) AS hex FROM r)
+SELECT page_id, CAST(octet_length(encode(payload)) AS BIGINT) AS payload_bytes,
+  array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    ((CAST('0x' || substr(hex, CAST(5 * (i // 4) + 1 AS INTEGER), 5) AS INTEGER) >> CAST(15 - 5 * (i % 4) AS INTEGER)) & 31) + 1, 1)
+    for i in range(32)], '') AS payload_digest,
+  CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to
+FROM h
+"""
+
+SQL_OP13 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row_id, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+q AS (
+  SELECT row_number() OVER () AS row_id, item_id, list_distinct(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS terms FROM benchmark),
+sizes AS (SELECT row_id, doc_id, CAST(len(terms) AS BIGINT) AS n FROM d WHERE len(terms) > 0),
+total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS words FROM sizes),
+tf AS (SELECT row_id, term, count(*) AS tf FROM (SELECT row_id, unnest(terms) AS term FROM d) GROUP BY row_id, term),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, total GROUP BY term, docs),
+m AS (SELECT row_id, doc_id, 100 - 50 + ((50 * n * docs) // words) AS m FROM sizes, total),
+scored AS (
+  SELECT i.row_id AS item, i.item_id, m.doc_id, m.row_id, CAST(sum(w.w * ((1000000000 * tf.tf) // (1000 * tf.tf + 20 * m.m))) AS BIGINT) AS score
+  FROM (SELECT row_id, item_id, unnest(terms) AS term FROM q) i JOIN tf ON tf.term = i.term JOIN w ON w.term = i.term JOIN m ON m.row_id = tf.row_id
+  GROUP BY ALL)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0) WHERE rank <= 50
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe, op2_chat_formatting, op3_packing, op4_substring_dedup, op5_url_filters, op6_quality, op7_exact_dedup, op8_near_dedup, op9_fingerprints, op10_lm_scoring)}
+    return {f.__name__: f for f in (op1_bpe, op2_chat_formatting, op3_packing, op4_substring_dedup, op5_url_filters, op6_quality, op7_exact_dedup, op8_near_dedup, op9_fingerprints, op10_lm_scoring,
+                                   op11_warc, op12_whitening, op13_ranked_search)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_chat_formatting": SQL_OP2, "op7_exact_dedup": SQL_OP7}
+    return {"op2_chat_formatting": SQL_OP2, "op7_exact_dedup": SQL_OP7, "op11_warc": SQL_OP11, "op13_ranked_search": SQL_OP13}
