@@ -235,10 +235,15 @@ def marked(pages: DataFrame, least: int = 0) -> DataFrame:
 
 
 def sample_records(pages: DataFrame, date: str) -> list[bytes]:
-    """Whole records of at most SAMPLE_RECORDS pages, those with the smallest hashes."""
-    few = (pages.select(F.col("page_id").cast("bigint"), F.col("url").cast("string"), _payload().cast("string").alias("html"))
-           .filter(F.octet_length("html") <= SAMPLE_BYTES).orderBy(F.xxhash64("html", "url", "page_id"), "page_id").limit(SAMPLE_RECORDS))
-    return [page_record(r["page_id"], r["url"], r["html"].encode(), None, date) for r in few.collect()]
+    """Whole records of at most SAMPLE_RECORDS different payloads, those with the smallest hashes.  The hashes are
+    cut first, so that no task sends more than them to the driver."""
+    rows = (pages.select(F.col("page_id").cast("bigint"), F.col("url").cast("string"), _payload().cast("string").alias("html"))
+            .filter(F.octet_length("html") <= SAMPLE_BYTES).withColumn("hash", F.xxhash64("html")))
+    last = rows.select("hash").distinct().orderBy("hash").limit(SAMPLE_RECORDS).agg(F.max("hash")).first()[0]
+    if last is None:
+        return []
+    few = rows.filter(F.col("hash") <= last).groupBy("hash").agg(F.min(F.struct("page_id", "url", "html")).alias("page")).orderBy("hash")
+    return [page_record(r["page"]["page_id"], r["page"]["url"], r["page"]["html"].encode(), None, date) for r in few.collect()]
 
 
 def write_archives(pages: DataFrame, folder: str | None = None, least: int = 0, date: str | None = None,
