@@ -1,8 +1,7 @@
 """Bid-level and notice-level ML features, splits and metrics (O-ML-10..22).
 
-Winner source: the surveyed dataset marks the winning tender through the lot
-result; the driver-derived tenders carry the tender's own ranked flag, which
-marks exactly one winner in competitive lots, so ``is_winner`` comes from it.
+The winner of a lot is the tender that its lot result names; results are joined to the
+tenders on (notice, lot), so that bids of lots without a named winner don't count.
 The award-value dataset is the notice-grain award mart (awarded value > 0).
 """
 
@@ -20,17 +19,20 @@ from .oracle_base import add_ctes
 ORDER_COLS = ["pub_date", "notice_id", "lot_id", "tender_id"]
 FEATS = ["price_rank_pct", "is_cheapest", "gap_to_min", "value_z", "log_value", "n_bids", "supplier_winrate",
          "sub_yes", "ac_price", "ac_quality", "cheap_x_price"]
-# FIXED VALUES: target-encoding weight, procurement types one-hot encoded.
+# FIXED VALUES (also the feature names above): target-encoding weight, procurement types one-hot encoded.
 TE_WEIGHT = 20
 ONE_HOT_TYPES = ("Services", "Supplies", "Works")
 
 
 def competitive_bids(lake) -> DataFrame:
-    """Tenders with a positive value in lots with >= 2 bids and exactly one winner."""
+    """Tenders with a positive value in lots with >= 2 bids and exactly one winner, the lot result's."""
     def build():
+        won = (lake.silver("lot_results").where(F.col("winner_tender_id").isNotNull())
+               .select("notice_id", "lot_id", "winner_tender_id"))
         t = lake.silver("tenders").select(
-            "notice_id", "tender_id", "lot_id", "tendering_party_id", "tender_value", "subcontracting",
-            (F.lower(F.col("is_ranked").cast("string")) == "true").cast("int").alias("is_winner"))
+            "notice_id", "tender_id", "lot_id", "tendering_party_id", "tender_value", "subcontracting").join(
+            won, ["notice_id", "lot_id"]).withColumn(
+            "is_winner", (F.col("tender_id") == F.col("winner_tender_id")).cast("int")).drop("winner_tender_id")
         n = lake.silver("notices").select("notice_id", "pub_date", "cpv_division", "buyer_country")
         lots = lake.silver("lots")
         lots = lots.select("notice_id", "lot_id", (F.col("award_criteria") if "award_criteria" in lots.columns
@@ -106,14 +108,15 @@ def lot_split_df(lake, q: float = 0.8) -> DataFrame:
 BIDS_SQL = f"""
 SELECT * FROM (
   SELECT t.notice_id, t.tender_id, t.lot_id, t.tendering_party_id, t.tender_value, t.subcontracting,
-    CAST(lower(CAST(t.is_ranked AS VARCHAR)) = 'true' AS INTEGER) AS is_winner, n.pub_date, n.cpv_division,
+    CAST(t.tender_id = r.winner_tender_id AS INTEGER) AS is_winner, n.pub_date, n.cpv_division,
     n.buyer_country, CAST(NULL AS VARCHAR) AS award_criteria,
     count(*) OVER (PARTITION BY t.notice_id, t.lot_id) AS n_bids,
-    sum(CAST(lower(CAST(t.is_ranked AS VARCHAR)) = 'true' AS INTEGER)) OVER (PARTITION BY t.notice_id, t.lot_id) AS n_win,
+    sum(CAST(t.tender_id = r.winner_tender_id AS INTEGER)) OVER (PARTITION BY t.notice_id, t.lot_id) AS n_win,
     min(t.tender_value) OVER (PARTITION BY t.notice_id, t.lot_id) AS lot_min,
     avg(t.tender_value) OVER (PARTITION BY t.notice_id, t.lot_id) AS lot_mean,
     COALESCE(stddev_samp(t.tender_value) OVER (PARTITION BY t.notice_id, t.lot_id), 0.0) AS lot_std
-  FROM s_tenders t LEFT JOIN s_notices n ON n.notice_id = t.notice_id
+  FROM s_tenders t JOIN s_lot_results r ON r.notice_id = t.notice_id AND r.lot_id = t.lot_id AND r.winner_tender_id IS NOT NULL
+  LEFT JOIN s_notices n ON n.notice_id = t.notice_id
   WHERE t.tender_value > 0)
 WHERE n_bids >= 2 AND n_win = 1"""
 
@@ -297,11 +300,14 @@ def value_features_df(lake) -> DataFrame:
 VALUE_FEATS = ["log_estimated", "est_missing", "cpv_division_te", "buyer_country_te"] + [f"pt_{p}" for p in ONE_HOT_TYPES]
 
 
-@query("value_features", sql=f"""WITH {VB_SQL}
-SELECT notice_id, is_train, y, COALESCE(ln(1 + estimated_value),
+VALUE_ROWS_SQL = f"""{VB_SQL},
+vrows AS (SELECT notice_id, is_train, y, estimated_value, awarded_eur, COALESCE(ln(1 + estimated_value),
     (SELECT median(ln(1 + estimated_value)) FROM vb WHERE is_train)) AS log_estimated,
   CAST(estimated_value IS NULL AS DOUBLE) AS est_missing, cpv_division_te, buyer_country_te,
-  """ + ", ".join(f"CAST(COALESCE(proc_type = '{p}', false) AS DOUBLE) AS pt_{p}" for p in ONE_HOT_TYPES) + " FROM vte")
+  """ + ", ".join(f"CAST(COALESCE(proc_type = '{p}', false) AS DOUBLE) AS pt_{p}" for p in ONE_HOT_TYPES) + " FROM vte)"
+
+
+@query("value_features", sql=f"WITH {VALUE_ROWS_SQL} SELECT notice_id, is_train, y, {', '.join(VALUE_FEATS)} FROM vrows")
 def value_features(lake):
     """Award-value features: median-imputed log estimate + missing flag, target encodings, type one-hot."""
     return value_features_df(lake).select("notice_id", "is_train", "y", *VALUE_FEATS)

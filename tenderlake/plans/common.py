@@ -18,7 +18,7 @@ from ..functions import cleaning as C
 from ..functions.lookups import (BIDDER_BRACKETS, EXCLUDED_COUNTRY, SIZE_TIER_EDGES, SIZE_TIER_LABELS_EURO,
                                  SIZE_TIER_LABELS_PLAIN, VALUE_CAP)
 
-# Analysis window of the volume study (the surveyed notebooks study one month).
+# The month that the volume study compares with the months outside it.
 PERIOD_START = "1998-01-01"
 PERIOD_END = "1998-01-31"
 

@@ -52,7 +52,7 @@ _NOTICE_COLS = ["notice_id", "notice_type", "pub_date", "buyer_org_id", "buyer_n
 _LOT_COLS = ["notice_id", "lot_id", "lot_est", "duration_val", "lot_date", "source_order"]
 _ORG_COLS = ["notice_id", "org_id", "org_name", "org_country", "sme", "source_order", "is_sme"]
 _LR_COLS = ["notice_id", "lot_result_id", "lot_id", "result_code", "tenders_count", "winner_org_id",
-            "awarded_amount", "sme_tenders", "winner_tender_id", "award_currency", "is_awarded", "result_status"]
+            "awarded_amount", "winner_tender_id", "sme_tenders", "award_currency", "is_awarded", "result_status"]
 _TENDER_COLS = ["notice_id", "tender_id", "lot_id", "tendering_party_id", "tender_value", "is_ranked", "rank",
                 "bid_date", "bid_amount", "subcontracting", "tender_currency", "subcontracting_pct"]
 _CONTRACT_COLS = ["notice_id", "lot_result_id", "contract_id", "contract_value", "contract_date",
@@ -84,7 +84,8 @@ SELECT CAST(l_orderkey AS VARCHAR) AS notice_id, 'RES-' || CAST(l_linenumber AS
   CASE l_returnflag WHEN 'R' THEN 'selec-w' WHEN 'A' THEN 'clos-nw' ELSE 'open-nw' END AS result_code,
   CASE WHEN l_partkey % 9 = 0 THEN NULL ELSE CAST(l_quantity AS INTEGER) % 12 END AS tenders_count,
   CAST(l_suppkey AS VARCHAR) AS winner_org_id,
-  l_extendedprice * (1 - l_discount) AS awarded_amount
+  l_extendedprice * (1 - l_discount) AS awarded_amount,
+  CASE WHEN l_returnflag = 'R' THEN 'TEN-' || CAST(l_suppkey AS VARCHAR) || '-' || CAST(l_partkey AS VARCHAR) END AS winner_tender_id
 FROM lineitem"""),
     ("src_contracts", """
 SELECT CAST(l_orderkey AS VARCHAR) AS notice_id, 'RES-' || CAST(l_linenumber AS VARCHAR) AS lot_result_id,
@@ -161,8 +162,8 @@ SELECT notice_id, lot_id, TRY_CAST(lot_est AS DOUBLE) AS lot_est, TRY_CAST(durat
     ("s_lots", _dedupe("t_lots", ["notice_id", "lot_id"], _LOT_COLS)),
     ("t_lot_results", """
 SELECT notice_id, lot_result_id, lot_id, result_code, CAST(TRY_CAST(tenders_count AS DOUBLE) AS INTEGER) AS tenders_count,
-  winner_org_id, TRY_CAST(awarded_amount AS DOUBLE) AS awarded_amount, CAST(NULL AS INTEGER) AS sme_tenders,
-  CAST(NULL AS VARCHAR) AS winner_tender_id, CAST(NULL AS VARCHAR) AS award_currency,
+  winner_org_id, TRY_CAST(awarded_amount AS DOUBLE) AS awarded_amount, winner_tender_id, CAST(NULL AS INTEGER) AS sme_tenders,
+  CAST(NULL AS VARCHAR) AS award_currency,
   COALESCE(lower(result_code) = 'selec-w', false) AS is_awarded,
   CASE lower(result_code) WHEN 'selec-w' THEN 'Awarded' WHEN 'clos-nw' THEN 'Closed without winner'
     WHEN 'open-nw' THEN 'Open without winner' WHEN 'unpublished' THEN 'Unpublished' END AS result_status

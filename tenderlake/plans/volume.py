@@ -141,6 +141,14 @@ def _notices_dated(lake):
     return lake.gold("gold_notices").withColumn("pub_day", F.try_to_date("pub_date"))
 
 
+def _notices_between(lake, start: str | None, end: str | None):
+    """Dated notices from ``start`` to ``end``, both included; by default those of the table's whole range."""
+    d = _notices_dated(lake).where(F.col("pub_day").isNotNull())
+    if start is not None:
+        d = d.where(F.col("pub_day") >= F.lit(start).cast("date"))
+    return d if end is None else d.where(F.col("pub_day") <= F.lit(end).cast("date"))
+
+
 @query("outside_period", sql=f"""
 SELECT strftime(date_trunc('month', TRY_CAST(pub_date AS DATE)), '%Y-%m') AS year_month, count(*) AS n
 FROM gold_notices
@@ -153,27 +161,27 @@ def outside_period(lake):
         F.count(F.lit(1)).alias("n"))
 
 
-@query("daily_counts", sql=f"""
+@query("daily_counts", sql="""
 SELECT TRY_CAST(pub_date AS DATE) AS pub_day, count(*) AS n_all, count(*) FILTER (WHERE notice_type = 'CN') AS n_cn,
   count(*) FILTER (WHERE notice_type = 'CAN') AS n_can
-FROM gold_notices WHERE TRY_CAST(pub_date AS DATE) BETWEEN DATE '{P0}' AND DATE '{P1}' GROUP BY 1""")
-def daily_counts(lake):
-    """Daily notice counts (all / CN / CAN) inside the analysis window."""
-    d = _notices_dated(lake).where(_in_period("pub_day"))
+FROM gold_notices WHERE TRY_CAST(pub_date AS DATE) IS NOT NULL GROUP BY 1""")
+def daily_counts(lake, start: str | None = None, end: str | None = None):
+    """Daily notice counts (all / CN / CAN); of a window of days, if one is given."""
+    d = _notices_between(lake, start, end)
     return d.groupBy("pub_day").agg(F.count(F.lit(1)).alias("n_all"),
                                     F.count_if(F.col("notice_type") == "CN").alias("n_cn"),
                                     F.count_if(F.col("notice_type") == "CAN").alias("n_can"))
 
 
-@query("dow_counts", sql=f"""
+@query("dow_counts", sql="""
 WITH days AS (SELECT i AS dow, dayname(DATE '2024-01-01' + CAST(i AS INTEGER)) AS day_of_week
               FROM range(7) t(i)),
 c AS (SELECT isodow(TRY_CAST(pub_date AS DATE)) - 1 AS dow, count(*) AS n FROM gold_notices
-      WHERE TRY_CAST(pub_date AS DATE) BETWEEN DATE '{P0}' AND DATE '{P1}' GROUP BY 1)
+      WHERE TRY_CAST(pub_date AS DATE) IS NOT NULL GROUP BY 1)
 SELECT days.dow + 1 AS day_index, day_of_week, COALESCE(n, 0) AS n FROM days LEFT JOIN c ON c.dow = days.dow""")
-def dow_counts(lake):
-    """Day-of-week counts inside the window, all seven days present (0 filled)."""
-    d = _notices_dated(lake).where(_in_period("pub_day"))
+def dow_counts(lake, start: str | None = None, end: str | None = None):
+    """Day-of-week counts, all seven days present (0 filled); of a window of days, if one is given."""
+    d = _notices_between(lake, start, end)
     c = d.groupBy(F.weekday("pub_day").alias("dow")).agg(F.count(F.lit(1)).alias("n"))
     days = lake.spark.range(7).select(F.col("id").cast("int").alias("dow"),
                                       F.date_format(F.date_add(F.lit("2024-01-01").cast("date"),
@@ -183,12 +191,12 @@ def dow_counts(lake):
                     F.coalesce("n", F.lit(0)).alias("n")))
 
 
-@query("week_counts", sql=f"""
+@query("week_counts", sql="""
 SELECT weekofyear(TRY_CAST(pub_date AS DATE)) AS iso_week, count(*) AS n FROM gold_notices
-WHERE TRY_CAST(pub_date AS DATE) BETWEEN DATE '{P0}' AND DATE '{P1}' GROUP BY 1""")
-def week_counts(lake):
-    """ISO-week counts inside the window."""
-    d = _notices_dated(lake).where(_in_period("pub_day"))
+WHERE TRY_CAST(pub_date AS DATE) IS NOT NULL GROUP BY 1""")
+def week_counts(lake, start: str | None = None, end: str | None = None):
+    """ISO-week counts; of a window of days, if one is given."""
+    d = _notices_between(lake, start, end)
     return d.groupBy(F.weekofyear("pub_day").cast("bigint").alias("iso_week")).agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -64,6 +64,8 @@ def src_lot_results(spark, sf_dir) -> DataFrame:
         F.when(F.col("l_partkey") % 9 != 0, F.col("l_quantity").cast("int") % 12).alias("tenders_count"),
         _s("l_suppkey").alias("winner_org_id"),
         (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("awarded_amount"),
+        F.when(F.col("l_returnflag") == "R", F.concat(F.lit("TEN-"), _s("l_suppkey"), F.lit("-"), _s("l_partkey")))
+        .alias("winner_tender_id"),
     )
 
 
