@@ -54,17 +54,34 @@ def quality_score(df: DataFrame, value_cols=QUALITY_VALUE_COLUMNS) -> Column:
     return reduce(lambda a, b: a + b, parts)
 
 
+def rank_struct(df: DataFrame, key: list[str], value_cols=QUALITY_VALUE_COLUMNS, date_cols=DEDUPE_DATE_COLUMNS,
+                order_cols: list[str] | None = None, null_date_wins: bool = False) -> Column:
+    """What rows of one key are compared by: higher score wins; then each date column in priority order,
+    later wins and a real date beats a NULL one (``null_date_wins=True`` reproduces the surveyed behaviour
+    where NULL sorts last and so wins); then ``order_cols`` (default: a ``source_order`` column if present,
+    else every non-key column), larger wins."""
+    cols = df.columns
+    if order_cols is None:
+        order_cols = ["source_order"] if "source_order" in cols else [c for c in cols if c not in key]
+    rank_parts: list[Column] = [quality_score(df, value_cols).alias("_score")]
+    for i, d in enumerate([d for d in date_cols if d in cols]):
+        ts = F.col(d).try_cast("timestamp")
+        rank_parts.append((ts.isNull() if null_date_wins else ts.isNotNull()).alias(f"_dn{i}"))
+        rank_parts.append(ts.alias(f"_d{i}"))
+    rank_parts += [F.col(c).alias(f"_o{i}") for i, c in enumerate(order_cols)]
+    return F.struct(*rank_parts)
+
+
+def ranked_rows(df: DataFrame, key: list[str]) -> DataFrame:
+    """(key..., _rank, _row): each row beside what it is compared by.  The largest rank of a key can be merged
+    over parts of the rows, so it is the key's whole state."""
+    return df.select(*key, rank_struct(df, key).alias("_rank"), F.struct(*[F.col(c) for c in df.columns if c not in key]).alias("_row"))
+
+
 def dedupe_quality(df: DataFrame, key: list[str], value_cols=QUALITY_VALUE_COLUMNS,
                    date_cols=DEDUPE_DATE_COLUMNS, order_cols: list[str] | None = None,
                    null_date_wins: bool = False) -> DataFrame:
-    """Keep one row per natural ``key``: the best by (quality score, dates,
-    source order).
-
-    Ranking: higher score wins; then each date column in priority order, later
-    wins and a real date beats a NULL one (``null_date_wins=True`` reproduces
-    the surveyed behaviour where NULL sorts last and so wins); then
-    ``order_cols`` (default: a ``source_order`` column if present, else every
-    non-key column), larger wins.
+    """Keep one row per natural ``key``: the best by (quality score, dates, source order), see :func:`rank_struct`.
 
     Implemented as ``groupBy(key).agg(max_by(row, rank))`` rather than a
     ``row_number`` window: the aggregate combines map-side, so a hot key that
@@ -73,16 +90,8 @@ def dedupe_quality(df: DataFrame, key: list[str], value_cols=QUALITY_VALUE_COLUM
     """
     cols = df.columns
     rest = [c for c in cols if c not in key]
-    if order_cols is None:
-        order_cols = ["source_order"] if "source_order" in cols else rest
-    rank_parts: list[Column] = [quality_score(df, value_cols).alias("_score")]
-    for i, d in enumerate([d for d in date_cols if d in cols]):
-        ts = F.col(d).try_cast("timestamp")
-        rank_parts.append((ts.isNull() if null_date_wins else ts.isNotNull()).alias(f"_dn{i}"))
-        rank_parts.append(ts.alias(f"_d{i}"))
-    rank_parts += [F.col(c).alias(f"_o{i}") for i, c in enumerate(order_cols)]
-    best = (df.groupBy(*key)
-            .agg(F.max_by(F.struct(*[F.col(c) for c in rest]), F.struct(*rank_parts)).alias("_best")))
+    rank = rank_struct(df, key, value_cols, date_cols, order_cols, null_date_wins)
+    best = df.groupBy(*key).agg(F.max_by(F.struct(*[F.col(c) for c in rest]), rank).alias("_best"))
     return best.select(*[F.col(c) if c in key else F.col(f"_best.{c}").alias(c) for c in cols])
 
 

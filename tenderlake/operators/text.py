@@ -9,8 +9,9 @@ Everything runs on whole texts as DataFrame jobs.  Scale notes:
   so terms meet it and the class x token weights by joins on the token, of which AQE splits hot
   tokens; nothing is broadcast by hint;
 * the per-class dense term comes from an array with one entry per class (scalar subquery);
-* similarity scores a query document against the corpus through a join on the
-  query's own terms: linear in the corpus, no all-pairs, no row cap.
+* similarity scores one query document against the corpus through a join on the
+  query's own terms: linear in the corpus, no all-pairs, no row cap; many query documents go through
+  the pruned search of ``operators.similarity``.
 """
 
 from __future__ import annotations
@@ -150,7 +151,7 @@ def similar_to(vectors: DataFrame, query_id, k: int = 5, id_col: str = "doc_id")
     The corpus vectors join the query's terms, so the work is linear in the corpus; the
     top-k is an ``orderBy().limit()`` (each task keeps k rows).  Documents that
     share no term score 0 and still fill the list when fewer than k overlap.
-    For many query documents see :func:`similar_for`.
+    For many query documents see ``operators.similarity``.
     """
     q = vectors.where(F.col(id_col) == query_id).select("token", F.col("weight").alias("qw"))
     scores = (vectors.where(F.col(id_col) != query_id).join(q, "token")
@@ -164,22 +165,3 @@ def similar_to(vectors: DataFrame, query_id, k: int = 5, id_col: str = "doc_id")
     top = scores.unionByName(zeros).orderBy(*order).limit(k)
     return top.select(F.lit(query_id).alias("query_id"), id_col, "score",
                       F.row_number().over(W.orderBy(*order)).cast("bigint").alias("rank"))
-
-
-def similar_for(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "doc_id") -> DataFrame:
-    """(query_id, doc, score, rank): for each document of ``queries`` (its ids) the ``k`` others
-    that are most similar among those that share a term with it; ties: later document first.
-
-    Query terms join the corpus vectors on the token and scores are added up per (query, document), combined
-    on the map side; the best k per query come from an aggregate of top-k lists, not from a sort of all its scores.
-    """
-    q = vectors.join(queries.select(id_col).distinct(), id_col, "left_semi").select(
-        F.col(id_col).alias("query_id"), "token", F.col("weight").alias("qw"))
-    scores = (vectors.join(q, "token").where(F.col(id_col) != F.col("query_id"))
-              .groupBy("query_id", id_col).agg(F.sum(F.col("weight") * F.col("qw")).alias("score")))
-    # Ranked within hashed parts of a query first, so that no task sorts all documents of one query.
-    part = F.pmod(F.xxhash64(id_col), F.lit(64))
-    order = [F.round("score", 10).desc(), F.col(id_col).desc()]
-    best = scores.withColumn("_r", F.row_number().over(W.partitionBy("query_id", part).orderBy(*order))).where(F.col("_r") <= k)
-    return (best.withColumn("rank", F.row_number().over(W.partitionBy("query_id").orderBy(*order)).cast("bigint"))
-            .where(F.col("rank") <= k).select("query_id", id_col, "score", "rank"))

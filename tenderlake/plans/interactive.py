@@ -332,7 +332,9 @@ FROM gold_notice_awards WHERE buyer_country IS NOT NULL GROUP BY buyer_country""
 
 @query("sql_over_views", sql=SQL_SURFACE_EXAMPLE)
 def sql_over_views(lake, statement: str = SQL_SURFACE_EXAMPLE):
-    """Free-form question over the registered layers with spark.sql (the assistant's tool, without eval)."""
-    from ..sources.catalog import register_views
+    """Free-form question over the registered layers with spark.sql (the assistant's tool, without eval); a statement that is
+    more than a query is refused."""
+    from ..sources.catalog import read_only, register_views
+    read_only(lake.spark, statement)
     register_views(lake, statement=statement)
     return lake.spark.sql(statement)

@@ -5,6 +5,7 @@
   pruned), as (table_name, path, modification_time, length).
 * ``register_views``: raw tables, silver and gold layers as temp views, so
   users ask questions with ``spark.sql`` (no expression ``eval``).
+* ``read_only``: refuses statements that are more than one query over registered names.
 * ``newest``: the most recently modified of several candidate files.
 """
 
@@ -37,6 +38,41 @@ def newest(spark: SparkSession, folder: str, names: list[str] | None = None) ->
                           F.struct("modification_time", "path")).alias("n")).select("n.*")
 
 
+#: Functions that call any Java method by name.
+_CALLS_OUT = {"reflect", "java_method", "try_reflect"}
+
+
+def read_only(spark: SparkSession, statement: str) -> None:
+    """Raises ValueError unless ``statement`` is a single query that reads registered names only: Spark's own
+    parser makes its plan, and commands, inserts, scripts, files named as tables and calls of Java methods are
+    refused wherever they stand in it."""
+    from pyspark.errors import ParseException
+    try:
+        plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(statement)
+    except ParseException as wrong:
+        raise ValueError(f"not one SQL query: {str(wrong).splitlines()[0]}") from None
+    except Exception as wrong:  # the gateway's error, where it isn't converted
+        raise ValueError(f"not one SQL query: {str(wrong).splitlines()[0]}") from None
+    loader = spark._jvm.java.lang.Thread.currentThread().getContextClassLoader()
+    command = loader.loadClass("org.apache.spark.sql.catalyst.plans.logical.Command")
+    statements = loader.loadClass("org.apache.spark.sql.catalyst.plans.logical.ParsedStatement")
+    nodes = [plan]
+    while nodes:
+        node = nodes.pop()
+        if command.isInstance(node) or statements.isInstance(node) or node.nodeName().startswith("Insert"):
+            raise ValueError(f"only queries are run, not {node.nodeName()}")
+        nodes += [node.children().apply(i) for i in range(node.children().size())]
+    text = plan.toString()
+    if "ScriptTransform" in text:
+        raise ValueError("scripts are not run")
+    called = {f.lower() for f in re.findall(r"'+(\w+)\(", text)} & _CALLS_OUT
+    if called:
+        raise ValueError(f"not allowed: {', '.join(sorted(called))}")
+    for name in re.findall(r"UnresolvedRelation \[([^\]]*)\]", text):
+        if "," in name:
+            raise ValueError(f"only registered names are read, not {name}")
+
+
 def register_views(lake, prefix: str = "", statement: str | None = None) -> list[str]:
     """Register raw tables, silver (``silver_*``) and gold marts as temp views;
     with ``statement``, only those whose names occur in it, so that no other layer is built."""
