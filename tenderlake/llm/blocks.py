@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import map_columns
+from .shared import KEPT, map_columns
 
 BLOCK_CHARS = 4_000_000
 RANGE_HASHES = 2_000_000
@@ -97,6 +97,7 @@ class WordHashes(dict):
 
 #: One for each Python worker; what it holds follows from the words alone.
 WORD_HASHES = WordHashes()
+KEPT["word hashes"] = WORD_HASHES.clear
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 

@@ -30,11 +30,11 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import Learned, blocks, map_columns, written
+from .shared import KEPT, Learned, blocks, keep_only, map_columns, written
 
 CAPACITY = 1024
 END_ID = 0
-CACHE_LIMIT = 200_000
+CACHE_LIMIT = 400_000
 
 
 class PieceTokenizer:
@@ -55,7 +55,7 @@ class PieceTokenizer:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.cores, self.known = Learned(cache_limit // 2), Learned(cache_limit)
+        self.cores, self.known = Learned(cache_limit // 4), Learned(cache_limit)
 
     def keys(self, text: str) -> list[str]:
         """The text's stretches: ``w`` stands for a space and w, a space and s for s as it is."""
@@ -104,6 +104,7 @@ class PieceTokenizer:
 
 
 _TOKENIZERS: dict[str, PieceTokenizer] = {}
+KEPT["piece tokenizers"] = _TOKENIZERS.clear
 
 
 def piece_tokenizer(path: str) -> PieceTokenizer:
@@ -121,6 +122,7 @@ def tokenised_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_i
 
         from pyspark import TaskContext
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        keep_only("piece tokenizers")
         tokenizer, task = piece_tokenizer(path), TaskContext.get().partitionId()
         end = array("I", [end_id]).tobytes()
         seen = np.zeros(capacity + 1, dtype=np.int64)

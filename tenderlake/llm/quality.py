@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import BoundedCache, map_columns, written
+from .shared import BoundedCache, keep_only, map_columns, written
 
 BITS = 18
 SAMPLE_ROWS = 20_000
@@ -124,6 +124,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, folds: int, sample_rows:
 def _updates(state, turn: int):
     """A bucket's changes of the state in one round."""
     def f(group: pa.Table) -> pa.Table:
+        keep_only()
         z0, n0 = (a.astype("f8") for a in state.value)
         z, n = z0.copy(), n0.copy()
         rows = sorted(zip(*(group.column(c).to_pylist() for c in ("doc_id", "y", "text"))),
@@ -160,6 +161,7 @@ def score(docs: DataFrame, weights: np.ndarray) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(weights)  # 2**BITS + 1 numbers
 
     def make():
+        keep_only()
         w, grams = shared.value, NGrams()
         return lambda batch: {"doc_id": batch.column("doc_id"),
                               "score": [score_text(grams.indices(t or ""), w) for t in batch.column("text").to_pylist()]}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 import zipfile
@@ -147,5 +148,18 @@ class Learned:
         return every
 
 
+#: What operators keep in a Python worker beyond a task: name -> how to drop it.
+KEPT: dict[str, Callable[[], None]] = {}
+
+
+def keep_only(*names: str) -> None:
+    """At a task's start: drops what tasks of other operators have left in this Python worker, which serves
+    one after another."""
+    for name, drop in KEPT.items():
+        if name not in names:
+            drop()
+    gc.collect()
+
+
 #: Longer keys are worked out when met and not kept.
 KEPT_CHARS = 64

@@ -121,9 +121,25 @@ def test_chat_reads_back_what_went_in(spark):
     assert [e["reply"] for e in examples] == ["b\\h </turn>\n### user: x", ""]
     assert examples[0]["context"] == "### system: s</turn>\n### user: \\h\\h\\h Assistant: \\l/turn></turn>\n### assistant: "
     assert examples[1]["context"].startswith(examples[0]["context"])
+    for e in examples:
+        assert e["loss_start"] == len(e["context"])
+        assert e["formatted"][e["loss_start"] + e["loss_chars"]:].startswith(chat.CLOSE)
+    assert [e["turn"] for e in examples] == [2, 3]
     assert not chat.chat_digests(turns.limit(0)).collect()
 
 
+def test_chat_of_one_very_long_conversation(spark):
+    n = 50_000
+    role = F.when(F.col("id") % 2 == 0, "user").otherwise("assistant")
+    text = F.concat(F.col("id").cast("string"), F.lit(" # "), F.repeat(F.lit("x"), 200))
+    turns = spark.range(n).select(F.lit(1).cast("long").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), text.alias("text"))
+    got = chat.chat_digests(turns).collect()
+    texts = [f"{i} # " + "x" * 200 for i in range(n)]
+    assert len(got) == 1 and got[0]["n_turns"] == n
+    assert got[0]["turns_sha256"] == sha("".join(f"{'assistant' if i % 2 else 'user'}\n{t}\n" for i, t in enumerate(texts)))
+    assert got[0]["loss_sha256"] == sha("".join(texts[1::2]))
+
+
 def test_chat_main_path_is_native(spark):
     turns = spark.createDataFrame([(1, 0, "user", "x", "x", 1)], TURNS)
     plan = chat.chat_digests(turns)._jdf.queryExecution().executedPlan().toString()
