@@ -22,7 +22,7 @@ packed each for itself.  Empty table: empty result.  Other columns are not read.
 
 from __future__ import annotations
 
-import re
+import json
 import zlib
 from array import array
 
@@ -30,85 +30,53 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import KEPT, Learned, blocks, keep_only, map_columns, written
+from .shared import keep_only, map_columns, written
 
 CAPACITY = 1024
 END_ID = 0
-CACHE_LIMIT = 400_000
 
 
 class PieceTokenizer:
-    """ids by the tokenizers library, asked once for each distinct space-led stretch of text.
+    """ids by a byte-level BPE file of the tokenizers library, without a cache: memory doesn't grow with the words met.
 
-    The vocabulary's words never reach over a space that stands before a
-    non-space (the space belongs to the word after it), so a text may be
-    cut there and the ids of the stretches joined.
+    The file's merges are run by tiktoken, several times as fast as the library itself.  Both give the same ids when
+    merge i makes token 256 + i (then the merge that comes first is the one of the smallest new id) and every token
+    is what the merges make of its own bytes (then any two neighbours that spell a token are a listed
+    merge).  The first is checked here, the second and equal ids for every code point are tested for the public file.
     """
 
-    #: Unicode white space but the space itself; a space before one of these doesn't lead a word.  Fixed values.
-    OTHER = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
-    DOUBTFUL = re.compile(f" [ {OTHER}]")
-    CUT = re.compile(f"(?= [^ {OTHER}])")
-
-    def __init__(self, path: str, cache_limit: int = CACHE_LIMIT):
-        from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        self.cores, self.known = Learned(cache_limit // 4), Learned(cache_limit)
-
-    def keys(self, text: str) -> list[str]:
-        """The text's stretches: ``w`` stands for a space and w, a space and s for s as it is."""
-        if self.DOUBTFUL.search(text):
-            return [" " + s for s in self.CUT.split(text) if s]
-        out = text.split(" ")
-        if not out[-1] and len(out) > 1:
-            out[-1] = "  "
-        if out[0]:
-            out[0] = " " + out[0]
-            return out
-        return out[1:]
-
-    def _ask(self, texts: set[str]) -> dict[str, bytes]:
-        """ids from the library.  A space and letters are one word to it, so many such go as one text and
-        are told apart by their words' numbers; all others go one by one."""
-        words = [t for t in texts if t[0] == " " and t[1:].isalpha()]
-        others = [t for t in texts if not (t[0] == " " and t[1:].isalpha())]
-        out = {}
-        for k in range(0, len(words), 20_000):
-            part = words[k:k + 20_000]
-            got = self.tokenizer.encode("".join(part), add_special_tokens=False)
-            ids, ends = np.array(got.ids, "<u4"), np.searchsorted(got.word_ids, np.arange(1, len(part) + 1))
-            raw, ends = ids.tobytes(), (4 * ends).tolist()
-            out.update(zip(part, [raw[a:b] for a, b in zip([0, *ends], ends)]))
-        for k in range(0, len(others), 20_000):
-            part = others[k:k + 20_000]
-            out.update(zip(part, [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]))
-        return out
-
-    def _learn(self, keys: set[str]) -> dict[str, bytes]:
-        """A mark after a letter is never in the letter's word: both sides are asked for by themselves."""
-        parts = {}
-        for key in keys:
-            s = key[1:] if key[0] == " " else " " + key
-            core = s.rstrip(".,;:!?")
-            parts[key] = (core, s[len(core):]) if len(core) < len(s) and core and core[-1].isalpha() else (s,)
-        known = self.cores.provide({p for ps in parts.values() for p in ps}, self._ask)
-        return {s: known[ps[0]] if len(ps) == 1 else known[ps[0]] + known[ps[1]] for s, ps in parts.items()}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """ids of each text as little-endian 32-bit integers."""
-        split = [self.keys(t) for t in texts]
-        known = self.known.provide(set().union(*split), self._learn).__getitem__
-        return [b"".join(map(known, ss)) for ss in split]
+    #: How byte-level BPE cuts a text, without backtracking.  Fixed value.
+    PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
+
+    def __init__(self, path: str):
+        import tiktoken
+        from tokenizers import Tokenizer, pre_tokenizers
+        stated = json.loads(Tokenizer.from_file(path).to_str())
+        model, vocab = stated["model"], stated["model"]["vocab"]
+        added = {t["content"]: t["id"] for t in stated["added_tokens"]}
+        plain = all(not t[k] for t in stated["added_tokens"] for k in ("single_word", "lstrip", "rstrip"))
+        merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        cut = stated["pre_tokenizer"] or {}
+        if (model["type"] != "BPE" or cut.get("type") != "ByteLevel" or cut["add_prefix_space"] or not cut["use_regex"] or stated["normalizer"]
+                or not plain or any(vocab[a + b] != 256 + i for i, (a, b) in enumerate(merges))):
+            raise ValueError(f"{path} is not a byte-level BPE whose ids follow its merges")
+        # Byte-level files write printable Latin-1 bytes as themselves, the others as the characters from U+0100, in order.
+        alphabet = set(pre_tokenizers.ByteLevel.alphabet())
+        others = iter(sorted(c for c in alphabet if ord(c) > 255))
+        byte_of = {chr(b) if chr(b) in alphabet else next(others): b for b in range(256)}
+        ranks = {bytes(map(byte_of.__getitem__, t)): i for t, i in vocab.items() if t not in added}
+        self.encoding = tiktoken.Encoding("file", pat_str=self.PATTERN, mergeable_ranks=ranks, special_tokens=added)
+
+    def encode(self, text: str) -> np.ndarray:
+        """The text's ids as unsigned 32-bit integers; the file's added tokens count as such wherever they stand."""
+        return self.encoding.encode_to_numpy(text, allowed_special="all")
 
 
 _TOKENIZERS: dict[str, PieceTokenizer] = {}
-KEPT["piece tokenizers"] = _TOKENIZERS.clear
 
 
 def piece_tokenizer(path: str) -> PieceTokenizer:
-    """This Python worker's tokenizer; what it holds follows from the file and the texts alone."""
+    """This Python worker's tokenizer; it holds the file's tables only."""
     if path not in _TOKENIZERS:
         _TOKENIZERS[path] = PieceTokenizer(path)
     return _TOKENIZERS[path]
@@ -118,33 +86,26 @@ def tokenised_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_i
     """(doc_id, start, length, ids_crc32, doc_tokens, task, number [, ids]): a row for each
     piece; ``number`` counts the pieces of a length within a task, from 0."""
     def make():
-        import os
-
         from pyspark import TaskContext
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        keep_only("piece tokenizers")
+        keep_only()
         tokenizer, task = piece_tokenizer(path), TaskContext.get().partitionId()
         end = array("I", [end_id]).tobytes()
         seen = np.zeros(capacity + 1, dtype=np.int64)
 
         def f(batch):
             out = {k: [] for k in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "task", "number", "ids")}
-            ids_of, texts = batch.column("doc_id").to_pylist(), [t or "" for t in batch.column("text").to_pylist()]
-            at = 0
-            for run in blocks(texts):
-                for doc_id, raw in zip(ids_of[at:at + len(run)], tokenizer.encode(run)):
-                    raw += end
-                    n = len(raw) // 4
-                    for start in range(0, n, capacity):
-                        piece = raw[4 * start:4 * (start + capacity)]
-                        length = len(piece) // 4
-                        for k, x in (("doc_id", doc_id), ("start", start), ("length", length), ("ids_crc32", zlib.crc32(piece)),
-                                     ("doc_tokens", n), ("task", task), ("number", int(seen[length]))):
-                            out[k].append(x)
-                        if with_ids:
-                            out["ids"].append(np.frombuffer(piece, "<u4").astype("i4"))
-                        seen[length] += 1
-                at += len(run)
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
+                raw = tokenizer.encode(text.as_py() or "").astype("<u4", copy=False).tobytes() + end
+                n = len(raw) // 4
+                for start in range(0, n, capacity):
+                    piece = raw[4 * start:4 * (start + capacity)]
+                    length = len(piece) // 4
+                    for k, x in (("doc_id", doc_id), ("start", start), ("length", length), ("ids_crc32", zlib.crc32(piece)),
+                                 ("doc_tokens", n), ("task", task), ("number", int(seen[length]))):
+                        out[k].append(x)
+                    if with_ids:
+                        out["ids"].append(np.frombuffer(piece, "<u4").astype("i4"))
+                    seen[length] += 1
             return out
 
         return f

@@ -176,6 +176,37 @@ def test_packing(odd, capacity):
     check_packed(packing.pack(odd, BYTE_FILE, capacity=capacity).collect(), ODD_ROWS, capacity)
 
 
+def test_packing_ids_are_the_librarys():
+    """Every code point in several places, added tokens, long runs, and the two conditions under which merges by
+    smallest new id are the library's merges."""
+    import json
+
+    from tokenizers import Tokenizer
+    library, own = Tokenizer.from_file(BYTE_FILE), packing.PieceTokenizer(BYTE_FILE)
+    points = [chr(c) for c in [*range(0xD800), *range(0xE000, 0x30000, 3), *range(0xE0000, 0xE0200)]]
+    texts = [f"a{c}b {c}a1{c}2 .{c} {c}{c}  {c}\n{c} \n{c}'{c}s" for c in points]
+    special = "<|endoftext|>"
+    texts += [special, f"a {special}  b", f"  {special}\n\n {special}{special} ", special[:-1], f"x\n {special}'s", "", "a" * 50_000,
+              " " * 50_000 + "x", "\n " * 50_000, "é" * 30_000, "." * 30_000, "it's we'll I'VE", LONG]
+    for k in range(0, len(texts), 10_000):
+        part = texts[k:k + 10_000]
+        want = library.encode_batch_fast(part, add_special_tokens=False)
+        assert [e.ids for e in want] == [own.encode(x).tolist() for x in part]
+    model = json.loads(library.to_str())["model"]
+    rank = {tuple(m.split(" ") if isinstance(m, str) else m): i for i, m in enumerate(model["merges"])}
+    for token in model["vocab"]:
+        parts = list(token)
+        while len(parts) > 1 and token != special:
+            at = min(range(len(parts) - 1), key=lambda i: rank.get((parts[i], parts[i + 1]), len(rank)))
+            assert (parts[at], parts[at + 1]) in rank, token
+            parts[at:at + 2] = [parts[at] + parts[at + 1]]
+
+
+def test_packing_refuses_other_tokenizers():
+    with pytest.raises(ValueError):
+        packing.PieceTokenizer(WORD_FILE)
+
+
 def test_packing_pads_little(spark):
     docs = spark.createDataFrame([(k, " ".join(words(20 + 37 * k % 700, k))) for k in range(400)], "doc_id bigint, text string")
     rows = packing.pack(docs.repartition(5), BYTE_FILE).collect()
