@@ -17,6 +17,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from .operators import gold as G
 from .operators import silver as S
@@ -32,13 +33,14 @@ def _join(folder: str, *names: str) -> str:
     return "/".join([folder.rstrip("/"), *names])
 
 
-def write_table(spark: SparkSession, df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
+def write_table(spark: SparkSession, df: DataFrame, name: str, folder: str | None = None,
+                schema: StructType | None = None) -> DataFrame:
     """Materialise ``df`` as a Parquet table in the shared checkpoint folder and
-    read it back: computed once, lineage cut, and later scans keep column
+    read it back (as ``schema``, if given): computed once, lineage cut, and later scans keep column
     pruning and predicate pushdown (unlike RDD checkpoint files)."""
     path = _join(folder or _join(ensure_checkpoint_dir(spark), "tenderlake-tables"), f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(schema or df.schema).parquet(path)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:

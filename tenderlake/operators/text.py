@@ -25,6 +25,14 @@ from pyspark.sql import functions as F
 TOKEN_PATTERN = r"\p{L}{2,}"
 ALPHA = 0.1
 TRAIN_FRACTION = 0.8
+# FIXED VALUES of the linear baseline: words of two or more letters, digits or underscores, a gram in at least
+# three training documents, the 120,000 most frequent grams, inverse penalty 4, at most 1,000 steps, tolerance 1e-4.
+WORD_PATTERN = r"[\p{L}\p{N}_]{2,}"
+GRAM_LEAST_DF = 3
+GRAM_FEATURES = 120_000
+INVERSE_PENALTY = 4.0
+MOST_STEPS = 1_000
+TOLERANCE = 1e-4
 
 
 def tokens(text: str | Column) -> Column:
@@ -165,3 +173,51 @@ def similar_to(vectors: DataFrame, query_id, k: int = 5, id_col: str = "doc_id")
     top = scores.unionByName(zeros).orderBy(*order).limit(k)
     return top.select(F.lit(query_id).alias("query_id"), id_col, "score",
                       F.row_number().over(W.orderBy(*order)).cast("bigint").alias("rank"))
+
+
+def gram_terms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc, gram, tf): the words of every whole text and the pairs of neighbours among them."""
+    words = docs.select(id_col, F.regexp_extract_all(F.lower(text_col), F.lit(WORD_PATTERN), 0).alias("_w"))
+    pairs = F.zip_with("_w", F.slice("_w", F.lit(2), F.greatest(F.size("_w"), F.lit(0))), lambda a, b: F.concat(a, F.lit(" "), b))
+    grams = F.concat("_w", F.filter(pairs, lambda g: g.isNotNull()))  # the last word has no neighbour
+    return (words.select(id_col, F.explode(grams).alias("gram"))
+            .groupBy(id_col, "gram").agg(F.count(F.lit(1)).alias("tf")))
+
+
+def gram_vocabulary(spark, train_terms: DataFrame, n_train: Column, least_df: int = GRAM_LEAST_DF,
+                    id_col: str = "doc_id") -> DataFrame:
+    """(gram, gram_id, df, idf) of every gram in ``least_df`` training documents or more.
+
+    Ids run from 0 without gaps, the most frequent gram (by all its occurrences; ties: the gram) first:
+    a distributed rank, no hashing, so every gram is a feature of its own and a smaller
+    vocabulary is a cut of the ids.
+    """
+    from ..plans.common import global_rank
+    counted = (train_terms.groupBy("gram").agg(F.count(id_col).alias("df"), F.sum("tf").alias("_n"))
+               .where(F.col("df") >= least_df))
+    ranked = global_rank(spark, counted, [F.col("_n").desc(), F.col("gram")], rank_col="_r")
+    return ranked.select("gram", (F.col("_r") - 1).alias("gram_id"), "df",
+                         (F.log((1 + n_train) / (1 + F.col("df"))) + 1.0).alias("idf"))
+
+
+def gram_weights(terms: DataFrame, vocab: DataFrame, size: int = GRAM_FEATURES, id_col: str = "doc_id") -> DataFrame:
+    """(doc, gram_id, weight): (1 + ln tf) * idf over the first ``size`` grams, L2-normalised per doc."""
+    known = vocab.where(F.col("gram_id") < size).select(F.col("gram").alias("token"), "gram_id", "idf")
+    named = tfidf_vectors(terms.withColumnRenamed("gram", "token"), known, id_col)
+    return named.join(known.select("token", "gram_id"), "token").select(id_col, "gram_id", "weight")
+
+
+def sparse_features(docs: DataFrame, weights: DataFrame, size: int, write, id_col: str = "doc_id") -> DataFrame:
+    """``docs`` with their weights as a sparse ``features`` vector (empty without any).
+
+    Entries meet by document; the table that ``write(df, schema)`` makes of them is read back as
+    vectors, which Parquet stores as just these four fields, so no Python code builds them.
+    """
+    from pyspark.ml.linalg import VectorUDT
+    from pyspark.sql.types import StructField, StructType
+    entries = weights.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct(F.col("gram_id").cast("int").alias("i"), "weight"))).alias("_e"))
+    e = F.coalesce("_e", F.array().cast("array<struct<i:int,weight:double>>"))
+    vector = F.struct(F.lit(0).cast("tinyint").alias("type"), F.lit(size).alias("size"),
+                      F.transform(e, lambda x: x["i"]).alias("indices"), F.transform(e, lambda x: x["weight"]).alias("values"))
+    rows = docs.join(entries, id_col, "left").select(*docs.columns, vector.alias("features"))
+    return write(rows, StructType([*rows.schema.fields[:-1], StructField("features", VectorUDT())]))

@@ -8,6 +8,7 @@ are only applied to frames that are already aggregated to a bounded dimension
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -190,7 +191,7 @@ def global_rank(spark, df: DataFrame, order: list[Column], value: str | None = N
 
 def running_by_group(spark, df: DataFrame, group: list[str], order: list[Column], value: str | None = None,
                      rank_col: str = "group_rank", running_col: str = "group_running",
-                     size_col: str | None = None) -> DataFrame:
+                     size_col: str | None = None, total_col: str | None = None) -> DataFrame:
     """Exact per-group ``row_number`` (and running sum of ``value``) in the
     order ``order`` that stays balanced when one group holds a large share of
     the rows.
@@ -200,7 +201,8 @@ def running_by_group(spark, df: DataFrame, group: list[str], order: list[Column]
     Per (partition, group) counts/sums give each group's offset in every
     partition (that table has at most partitions + groups rows); inside a
     partition the window only spans that partition's share of the group.
-    ``order`` must make rows unique within a group.
+    ``order`` must make rows unique within a group.  ``size_col`` and ``total_col`` add the group's
+    rows and its sum of ``value``.
     """
     s = checkpointed(spark, df.orderBy(*[F.col(g) for g in group], *order)
                      .withColumn("_mid", F.monotonically_increasing_id()))
@@ -210,7 +212,8 @@ def running_by_group(spark, df: DataFrame, group: list[str], order: list[Column]
     before = W.partitionBy(*group).orderBy("_pid").rowsBetween(W.unboundedPreceding, -1)
     offs = stats.select("_pid", *group, F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_roff"),
                         *([F.coalesce(F.sum("_vs").over(before), F.lit(0)).alias("_voff")] if value else []),
-                        *([F.sum("_cnt").over(W.partitionBy(*group)).alias(size_col)] if size_col else []))
+                        *([F.sum("_cnt").over(W.partitionBy(*group)).alias(size_col)] if size_col else []),
+                        *([F.sum("_vs").over(W.partitionBy(*group)).alias(total_col)] if total_col else []))
     j = s.join(offs, ["_pid", *group])
     w = W.partitionBy("_pid", *group).orderBy("_pos")
     out = j.withColumn(rank_col, F.col("_roff") + F.row_number().over(w))
@@ -219,30 +222,121 @@ def running_by_group(spark, df: DataFrame, group: list[str], order: list[Column]
     return out.drop("_mid", "_pid", "_pos", "_roff", "_voff")
 
 
+#: A selection ends by fetching the values of this many rows at most.
+LAST_ROWS = 10_000
+#: Accuracy of the estimates: a sketch keeps about so many values, and errs by one in so many places.
+ESTIMATE = 10_000
+#: Half the width of the part of the rows that the next step of a selection looks at.
+MARGIN = 5e-4
+
+
+def order_statistics(df: DataFrame, value: str, quantiles: list[float]) -> list[tuple | None]:
+    """For each quantile the exact values at both places around (n - 1) * q and the share of the
+    way between them, or None without values; nulls are left out.
+
+    Selection by narrowing, without sorting or writing the rows: a step estimates values somewhat below
+    and above the place (``percentile_approx``, a bounded sketch for each task), and counts the rows
+    below, at and between them.  Rows that equal an end decide the place at once or
+    leave the interval, so a value that most rows share costs nothing; an estimate that
+    misses the place only repeats the step with a wider margin.  What remains, a
+    thousandth of the rows each time, is fetched as (value, rows) when these are few.
+    """
+    v = F.col(value)
+    d = df.select(v).where(v.isNotNull())
+
+    def estimate(rows: Column, at: list[float], margin: float) -> Column:
+        return F.percentile_approx(rows, [min(max(q + side, 0.0), 1.0) for q in at for side in (-margin, margin)], ESTIMATE)
+
+    n, guess = d.agg(F.count(v), estimate(v, quantiles, MARGIN)).first()
+    if not n:
+        return [None] * len(quantiles)
+    marks = {place: guess[2 * i:2 * i + 2] for i, q in enumerate(quantiles) for place in (math.floor((n - 1) * q), math.ceil((n - 1) * q))}
+    found: dict[int, object] = {}
+    # place -> (ends of its open interval, rows below it, rows in it, margin)
+    todo = {place: (None, None, 0, n, MARGIN) for place in marks}
+
+    def inside(low, high) -> Column:
+        return ((v > low) if low is not None else F.lit(True)) & ((v < high) if high is not None else F.lit(True))
+
+    while todo:
+        for ends in {t[:2] for t in todo.values() if t[3] <= LAST_ROWS}:
+            rows = sorted(d.where(inside(*ends)).groupBy(v).agg(F.count(v)).collect(), key=lambda r: _sort_key(r[0]))
+            for place in [k for k, t in todo.items() if t[:2] == ends]:
+                at = todo.pop(place)[2]
+                for x, many in rows:
+                    at += many
+                    if place < at:
+                        found[place] = x
+                        break
+        if not todo:
+            break
+        counts = []
+        for place, (a, b) in marks.items():
+            counts += [F.count_if(v < a), F.count_if(v == a), F.count_if(inside(a, b)), F.count_if(v == b)]
+        got = d.agg(*counts).first()
+        for i, (place, (a, b)) in enumerate(list(marks.items())):
+            low, high, under, many, margin = todo[place]
+            before, at_a, between, at_b = got[4 * i:4 * i + 4]
+            if a == b:
+                between, at_b = 0, 0
+            if before <= place < before + at_a:
+                found[place] = a
+            elif before + at_a <= place < before + at_a + between:
+                todo[place] = (a, b, before + at_a, between, MARGIN)
+                continue
+            elif before + at_a + between <= place < before + at_a + between + at_b:
+                found[place] = b
+            else:  # the estimate missed
+                todo[place] = (low, high, under, many, 8 * margin)
+                continue
+            del todo[place]
+        around = {}
+        for place, (low, high, under, many, margin) in todo.items():
+            if many > LAST_ROWS:
+                around[place] = estimate(F.when(inside(low, high), v), [(place - under) / max(many - 1, 1)], margin)
+        marks = dict(zip(around, d.agg(*around.values()).first())) if around else {}
+    at = [(n - 1) * q for q in quantiles]
+    return [(found[math.floor(p)], found[math.ceil(p)], p - math.floor(p)) for p in at]
+
+
+def _sort_key(x) -> tuple:
+    return (True, 0) if x != x else (False, x)  # NaN comes last, as Spark sorts
+
+
+def quantiles_of(df: DataFrame, value: str, quantiles: dict[str, float]) -> dict[str, float | None]:
+    """Exact interpolated quantiles {name: q} of a whole column (see :func:`order_statistics`)."""
+    found = order_statistics(df, value, list(quantiles.values()))
+    return {name: None if x is None else float(x[0]) + (float(x[1]) - float(x[0])) * x[2] if x[2] else float(x[0])
+            for name, x in zip(quantiles, found)}
+
+
 def grouped_quantiles(spark, df: DataFrame, group: list[str], value: str, quantiles: dict[str, float]) -> DataFrame:
     """Exact interpolated quantiles {output column: q} of ``value`` per group, robust to a
-    group holding a large share of the rows.
+    group, or a value, holding a large share of the rows.
 
     ``F.median`` and ``F.percentile`` keep a map of the group's distinct values and merge it for
-    the whole group in one task; here the rows are range-partitioned by
-    (group, value), each row learns its rank and its group size from the
-    bounded per-partition statistics, and only the one or two rows around each quantile
+    the whole group in one task; here equal values are counted first (on the map side too), the
+    different ones are range-partitioned by (group, value), each learns from the bounded per-partition
+    statistics which places of its group it takes, and only the one or two around each quantile
     reach the final (tiny) aggregate.
     """
-    keys = list(group) or ["_all"]
-    d = df.where(F.col(value).isNotNull())
-    d = (d.select(*group, value) if group else d.select(F.lit(1).alias("_all"), value))
-    r = running_by_group(spark, d, keys, [F.col(value)], rank_col="_rk", size_col="_gn").withColumn("_at", F.col("_rk") - 1)
+    if not group:
+        return spark.range(1).select(*[F.lit(x).cast("double").alias(n) for n, x in quantiles_of(df, value, quantiles).items()])
+    counted = df.where(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count(F.lit(1)).alias("_c"))
+    r = running_by_group(spark, counted, group, [F.col(value)], value="_c", rank_col="_rk", running_col="_end", total_col="_gn")
     places = {n: (F.col("_gn") - 1) * F.lit(q) for n, q in quantiles.items()}
-    near = reduce(lambda x, y: x | y, [(F.col("_at") == F.floor(p)) | (F.col("_at") == F.ceil(p)) for p in places.values()])
+
+    def holds(place: Column) -> Column:
+        return (F.col("_end") - F.col("_c") <= place) & (place < F.col("_end"))
+
+    near = reduce(lambda x, y: x | y, [holds(F.floor(p)) | holds(F.ceil(p)) for p in places.values()])
 
     def between(p: Column) -> Column:
-        low, high = (F.max(F.when(F.col("_at") == end(p), F.col(value))) for end in (F.floor, F.ceil))
+        low, high = (F.max(F.when(holds(end(p)), F.col(value))) for end in (F.floor, F.ceil))
         share = F.max(p - F.floor(p))
         return low + (high - low) * share
 
-    res = r.where(near).groupBy(*keys).agg(*[between(p).alias(n) for n, p in places.items()])
-    return res if group else res.drop("_all")
+    return r.where(near).groupBy(*group).agg(*[between(p).alias(n) for n, p in places.items()])
 
 
 def grouped_median(spark, df: DataFrame, group: list[str], value: str, out: str = "median") -> DataFrame:
@@ -251,8 +345,8 @@ def grouped_median(spark, df: DataFrame, group: list[str], value: str, out: str
 
 
 def median_of(df: DataFrame, value: str) -> Column:
-    """The exact median of a whole column, as a scalar subquery."""
-    return grouped_median(df.sparkSession, df, [], value, "median").scalar()
+    """The exact median of a whole column, worked out now (see :func:`order_statistics`)."""
+    return F.lit(quantiles_of(df, value, {"median": 0.5})["median"]).cast("double")
 
 
 def with_medians(aggregated: DataFrame, rows: DataFrame, group: list[str], medians: dict[str, str]) -> DataFrame:

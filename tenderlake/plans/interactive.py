@@ -179,12 +179,14 @@ def savings_histogram(lake, n_bins: int = N_BINS):
         (lo + F.col("bin") * (hi - lo) / n_bins).alias("bin_end"), F.coalesce("n", F.lit(0)).alias("n"))
 
 
-@query("scatter_sample")
+@query("scatter_sample", sql=f"""WITH {AV_SQL}
+SELECT * FROM av WHERE awarded_eur > 0 AND estimated > 0
+ORDER BY md5(concat_ws('/', '42', notice_id, lot_result_id)), notice_id, lot_result_id LIMIT 800""")
 def scatter_sample(lake, k: int = 800, seed: int = 42):
     """Repeatable sample of at most ``k`` awards with positive estimate and value
     (the sample is the feature): order by a seeded hash, keep k."""
     a = award_view_df(lake).where((F.col("awarded_eur") > 0) & (F.col("estimated") > 0))
-    return (a.withColumn("_h", F.xxhash64(F.lit(seed), "notice_id", "lot_result_id"))
+    return (a.withColumn("_h", F.md5(F.concat_ws("/", F.lit(str(seed)), "notice_id", "lot_result_id")))
             .orderBy("_h", "notice_id", "lot_result_id").limit(k).drop("_h"))
 
 
