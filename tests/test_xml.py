@@ -77,3 +77,23 @@ def test_xml_folder_to_gold(spark):
     assert gold["rep-0001"].cpv_division == "45" and gold["can-0001"].lot_count == 2
     assert lake.quarantine().count() == 1
     lake.close()
+
+
+def test_root_is_found_behind_what_may_stand_before_it(spark):
+    """Comments and instructions before the root may hold tags; the text of a document is not searched for them."""
+    body = "<{0}><ID>1</ID><!-- <x> --></{0}>"
+    before = ["", "﻿", "  \n", "<?xml version='1.0'?>\n", "<!-- <A> -->", "<?xml version='1.0'?><!-- <A b='1'> -->\n<?p <B> ?>",
+              "<!-- <A> --><!DOCTYPE ContractNotice [<!ELEMENT ID ANY>]><!-- <B> -->"]
+    docs = spark.createDataFrame([(f"{i}.xml", b + body.format("cac:ContractNotice")) for i, b in enumerate(before)], "file_name string, xml string")
+    tags = {r.file_name: r.root_tag for r in X.parse_all(docs).collect()}
+    assert tags == {f"{i}.xml": "ContractNotice" for i in range(len(before))}
+    plan = X.parse_all(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert "DOCTYPE" in plan  # the whole text is stripped only where a DOCTYPE makes that necessary
+
+
+def test_a_notice_is_rendered_once_and_prefixed_only_where_it_has_prefixes(spark):
+    """The prefixes are put on in the projection that chooses among the renderings, not for every document."""
+    plan = X.notice_documents(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("to_xml(") == 1
+    line = next(x for x in plan.splitlines() if "cac:" in x)
+    assert "CASE WHEN" in line and "to_xml(" not in line
