@@ -53,3 +53,33 @@ def test_sparse_vectors(spark, docs):
         assert list(got[i].values) == pytest.approx([raw[k] / norm for k in sorted(raw)])
     plan = made._jdf.queryExecution().toString()
     assert "Python" not in plan
+
+
+def _exchanges(df, *names):
+    """The names that occur in the plan's shuffles, each shuffle once."""
+    lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    return [x for x in lines if "Exchange hashpartitioning" in x and any(f"{n}#" in x for n in names)]
+
+
+def test_grams_are_counted_beside_their_text(spark, docs):
+    """What is shuffled is the text by document, not each gram."""
+    for terms, name in ((T.gram_terms(docs), "gram"), (T.doc_terms(docs), "token")):
+        assert not _exchanges(terms, name)
+        assert len(_exchanges(terms, "doc_id")) == 1
+    twice = spark.createDataFrame([(1, "red fish"), (1, "red fish red"), (None, "red fish"), (None, "fish fish")], "doc_id long, text string")
+    assert {(r.doc_id, r.gram): r.tf for r in T.gram_terms(twice).collect()} == {
+        (1, "red"): 3, (1, "fish"): 2, (1, "red fish"): 2, (1, "fish red"): 1, (None, "red"): 1, (None, "fish"): 3,
+        (None, "red fish"): 1, (None, "fish fish"): 1}
+
+
+def test_weights_shuffle_once_by_document_and_no_gram(spark, docs, tmp_path):
+    rows = [(1, "a", 1), (1, "b", 3), (2, "a", 2), (2, "unknown", 9), (None, "a", 1)]
+    spark.createDataFrame(rows, "doc_id long, gram string, tf long").write.parquet(str(tmp_path / "t"))
+    terms = spark.read.parquet(str(tmp_path / "t"))
+    vocab = spark.createDataFrame([("a", 0, 2.0), ("b", 1, 3.0), ("cut", 2, 1.0)], "gram string, gram_id long, idf double")
+    weights = T.gram_weights(terms, vocab, size=2)
+    assert not _exchanges(weights, "gram", "token") and len(_exchanges(weights, "doc_id")) == 1
+    b = 3.0 * (1 + math.log(3))
+    n = math.hypot(2.0, b)
+    got = {(r.doc_id, r.gram_id): r.weight for r in weights.collect()}
+    assert got == pytest.approx({(1, 0): 2.0 / n, (1, 1): b / n, (2, 0): 1.0})
