@@ -60,6 +60,12 @@ def cap_value(c: str, cap: float = VALUE_CAP) -> Column:
 CV_CLEAN_SQL = "CASE WHEN contract_value > 5000000000.0 THEN 5000000000.0 ELSE contract_value END"
 
 
+def award_values(lake) -> DataFrame:
+    """What the studies of notices read of the lot-grain awards: the same columns for all, so that they share them."""
+    return lake.gold("gold_awards", "notice_id", "lot_result_id", "buyer_name", "buyer_country", "proc_type", "cpv_division",
+                     "cpv_division_name", "contract_value", "tenders_count")
+
+
 def notice_awards(lake, cap: float = VALUE_CAP) -> DataFrame:
     """Lot-grain awards collapsed to notices (value capped per lot).
 
@@ -68,7 +74,7 @@ def notice_awards(lake, cap: float = VALUE_CAP) -> DataFrame:
     notices whose lots have no value.
     """
     def build():
-        aw = lake.gold("gold_awards")
+        aw = award_values(lake)
         keys = ["notice_id", "buyer_country", "proc_type", "cpv_division", "cpv_division_name"]
         cv = cap_value("contract_value", cap)
         return (aw.where(F.col("buyer_country").isNotNull() & F.col("proc_type").isNotNull()

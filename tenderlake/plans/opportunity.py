@@ -39,7 +39,7 @@ SOLO_SQL = "avg(CASE WHEN tenders_count_avg <= 1 THEN 1.0 WHEN tenders_count_avg
 def base(lake) -> DataFrame:
     """notice_awards + estimate and buyer name from the notice mart, with size tier."""
     def build():
-        g = lake.gold("gold_notices").select("notice_id", "estimated", "buyer_name")
+        g = lake.gold("gold_notices", "notice_id", "estimated", "buyer_name")
         na = K.notice_awards(lake).join(g, "notice_id", "left")
         return na.withColumn("size_seg", C.size_tier("awarded_eur_total", "left", SIZE_TIER_LABELS_PLAIN))
     return lake.derived("opp_base", build)

@@ -43,7 +43,7 @@ SCOPED_SQL = f"""scoped AS (SELECT *, 'all' AS scope FROM notice_awards WHERE aw
 
 def _buyer_names(lake) -> DataFrame:
     """One (buyer_name, buyer_country) per notice from the award rows."""
-    return (lake.gold("gold_awards").groupBy("notice_id")
+    return (K.award_values(lake).groupBy("notice_id")
             .agg(first_non_null("buyer_name", "lot_result_id").alias("buyer_name")))
 
 

@@ -138,7 +138,7 @@ def _in_period(c):
 
 
 def _notices_dated(lake):
-    return lake.gold("gold_notices").withColumn("pub_day", F.try_to_date("pub_date"))
+    return lake.gold("gold_notices", "notice_id", "notice_type", "pub_date").withColumn("pub_day", F.try_to_date("pub_date"))
 
 
 def _notices_between(lake, start: str | None, end: str | None):
