@@ -245,7 +245,8 @@ def ranking_metrics(lake):
 
 def value_base(lake) -> DataFrame:
     def build():
-        a = (lake.gold("gold_notice_awards").where(F.col("awarded_eur") > 0)
+        a = (lake.gold("gold_notice_awards", "notice_id", "pub_date", "cpv_division", "buyer_country", "proc_type", "estimated",
+                       "awarded_eur").where(F.col("awarded_eur") > 0)
              .select("notice_id", "pub_date", "cpv_division", "buyer_country", "proc_type",
                      F.col("estimated").alias("estimated_value"), "awarded_eur",
                      F.log1p("awarded_eur").alias("y")))
