@@ -140,6 +140,23 @@ def test_chat_of_one_very_long_conversation(spark):
     assert got[0]["loss_sha256"] == sha("".join(texts[1::2]))
 
 
+def test_chat_examples_hold_context_and_reply(spark):
+    """An example's text is the conversation up to its reply's end, also beyond one block of turns; the loss is read from it."""
+    n = 2 * chat.BLOCK + 3
+    rows = [(1, i, "assistant" if i % 3 else "user", f"é{i}# </turn>\n🙂<") for i in range(n)] + [(2, 0, "user", "none")]
+    turns = spark.createDataFrame([(*r, "x", 1) for r in rows], TURNS)
+    formatted = chat.format_conversations(turns)
+    whole = formatted.where("conv_id = 1").first()["formatted"]
+    got = chat.prefix_targets(formatted).orderBy("conv_id", "example").collect()
+    assert [e["turn"] for e in got] == [*[i for i in range(n) if i % 3], None] and got[-1]["text"] is None
+    for e in got[:-1]:
+        end = e["loss_start"] + e["loss_chars"]
+        assert e["context"] == whole[:e["loss_start"]] and e["text"] == whole[:end + len(chat.CLOSE)]
+        assert e["reply"] == rows[e["turn"]][3]
+    plan = chat.chat_digests(turns)._jdf.queryExecution().optimizedPlan().toString()
+    assert "slice(blocks" in plan  # the digests' examples are made with their contexts
+
+
 def test_chat_main_path_is_native(spark):
     turns = spark.createDataFrame([(1, 0, "user", "x", "x", 1)], TURNS)
     plan = chat.chat_digests(turns)._jdf.queryExecution().executedPlan().toString()
