@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 
+from tenderlake.context import Lake
+from tenderlake.plans import xml_queries
 from tenderlake.sources import xml_notices as X
 
 FIX = os.path.join(os.path.dirname(__file__), "fixtures", "xml")
@@ -97,3 +99,26 @@ def test_a_notice_is_rendered_once_and_prefixed_only_where_it_has_prefixes(spark
     assert plan.count("to_xml(") == 1
     line = next(x for x in plan.splitlines() if "cac:" in x)
     assert "CASE WHEN" in line and "to_xml(" not in line
+
+
+def test_a_narrow_schema_reads_what_the_whole_one_does(spark):
+    """Each flattener over documents parsed as far as it reads them gives what it gives over whole ones."""
+    docs = X.read_xml_files(spark, FIX)
+    broken = spark.createDataFrame([("cut.xml", "<ContractNotice><ID>1</ID><Issue"), ("none.xml", ""), ("bare.xml", "<ContractNotice/>")],
+                                   "file_name string, xml string")
+    docs = docs.unionByName(broken)
+    whole = X.parse_notices(docs)
+    for name, flatten in X.BRONZE.items():
+        a, b = flatten(whole), flatten(X.well_formed(X.parse_all(docs, X.notice_schema(name))))
+        assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty(), name
+    kept = [sorted(r.file_name for r in X.malformed(X.parse_all(docs, x)).collect()) for x in (X.NOTICE_SCHEMA, X.notice_schema())]
+    assert kept[0] == kept[1] and "cut.xml" in kept[0]
+
+
+def test_single_pass_flatteners_render_once_and_write_nothing(spark):
+    """A flattener that reads the notices once gets them as they are parsed, and conditions on them don't render them again."""
+    lake = Lake(spark, "/root/testdata/sf0.001", materialize=True)
+    for name in ("bronze_xml_parse", "bronze_notices", "bronze_lots", "bronze_cpv_codes", "bronze_organisations", "bronze_tenders"):
+        plan = getattr(xml_queries, name)(lake)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("to_xml(") == 1, name
+    assert "bronze_parsed" not in lake._cache
