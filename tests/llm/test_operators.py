@@ -613,7 +613,7 @@ def test_arrays_come_back():
 def test_registered_queries_run_on_an_empty_folder(spark, tmp_path):
     """Every query on tables without rows."""
     sf = "/root/testdata/sf0.001"
-    for t in ("documents", "pages", "labels", "conversations"):
+    for t in ("documents", "pages", "labels", "conversations", "embeddings", "benchmark"):
         spark.read.parquet(f"{sf}/{t}.parquet").limit(0).write.parquet(str(tmp_path / f"{t}.parquet"))
     for name, f in queries.queries().items():
         rows = f(spark, str(tmp_path)).collect()
