@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
-from tenderlake.operators.boosting import best_prefix, boost, prefix_losses
+from tenderlake.operators.boosting import best_prefix, boost, prefix, prefix_losses
 from tenderlake.operators.ridge import fit_ridge
 from tenderlake.plans.common import checkpointed
 
@@ -40,6 +41,27 @@ def test_patience_finds_gains_after_a_flat_start(spark):
     assert boost(own, train, check.where("false"), rounds=3, patience=20).chosen == 3  # nothing to choose on
 
 
+@pytest.mark.parametrize("kind", [GBTRegressor, GBTClassifier])
+def test_the_best_prefix_is_kept_without_another_fit(spark, kind, tmp_path, monkeypatch):
+    d = spark.range(400).select((F.rand(1) > 0.5).cast("double").alias("label"), F.rand(2).alias("x"), F.rand(3).alias("y"))
+    d = checkpointed(spark, VectorAssembler(inputCols=["x", "y"], outputCol="f").transform(d))
+    own = kind(featuresCol="f", labelCol="label", maxDepth=2, stepSize=0.3, seed=1)
+    fits, plain = [], kind._fit
+    monkeypatch.setattr(kind, "_fit", lambda self, df: (fits.append(self.getMaxIter()), plain(self, df))[1])
+    found = boost(own, d.where("x < 0.7"), d.where("x >= 0.7"), rounds=30, patience=4)
+    assert found.chosen < found.fitted and fits == [16]  # labels are noise: the first ensemble is enough
+    again = own.copy({own.maxIter: found.chosen}).fit(d.where("x < 0.7"))
+    assert found.model.getNumTrees == found.chosen and found.model.treeWeights == again.treeWeights
+    assert found.model.toDebugString.split("\n", 1)[1] == again.toDebugString.split("\n", 1)[1]
+    assert found.model.featureImportances == again.featureImportances
+    found.model.write().save(str(tmp_path / "model"))
+    columns = ["prediction"] if kind is GBTRegressor else ["prediction", "probability", "rawPrediction"]
+    loaded = type(found.model).load(str(tmp_path / "model"))
+    want = again.transform(d).select(*columns).collect()
+    assert want == found.model.transform(d).select(*columns).collect() == loaded.transform(d).select(*columns).collect()
+    assert len(prefix(again, 1).trees) == 1
+
+
 def test_ridge_equals_the_normal_equations(spark):
     r = np.random.default_rng(5)
     x = r.standard_normal((200, 3)) * [1, 50, 0] + [0, 1000, 7]
