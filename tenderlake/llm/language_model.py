@@ -43,6 +43,7 @@ CLASSES = HEADS + TAILS
 CLASS_ROWS, WORD_ROWS = 1 << 14, 1 << 13
 ROUNDS, BATCH, RATE = 2, 32_768, 0.25
 SLICES = 32
+CACHED = 2048
 END = b"\n"  # no word holds white space
 SMOOTH = 0.1
 
@@ -66,10 +67,19 @@ class Tokens:
 
     def __init__(self, texts: list[bytes]):
         words = [t.lower().split() for t in texts]  # bytes: ASCII only
-        self.counts = np.array([len(w) + 1 for w in words], np.int64)
-        self.codes = CODES.of([x for w in words for x in (*w, END)])
-        self.doc = np.repeat(np.arange(len(words)), self.counts)
-        self.place = np.arange(len(self.codes)) - np.repeat(np.cumsum(self.counts) - self.counts, self.counts)
+        self._set(CODES.of([x for w in words for x in (*w, END)]), np.array([len(w) + 1 for w in words], np.int64))
+
+    def _set(self, codes: np.ndarray, counts: np.ndarray) -> None:
+        self.codes, self.counts = codes, counts
+        self.doc = np.repeat(np.arange(len(counts)), counts)
+        self.place = np.arange(len(codes)) - np.repeat(np.cumsum(counts) - counts, counts)
+
+    @classmethod
+    def of_codes(cls, codes: np.ndarray, counts: np.ndarray) -> Tokens:
+        """Of codes that were made before; counts: of tokens by text."""
+        t = cls.__new__(cls)
+        t._set(codes, counts)
+        return t
 
     def chosen(self, keep: np.ndarray) -> np.ndarray:
         return keep[self.doc]
@@ -82,16 +92,43 @@ def is_training(ids: np.ndarray, known: np.ndarray) -> np.ndarray:
 # -- counts ------------------------------------------------------------------------------------------------------
 
 ASK = "range bigint, block bigint, hashes binary, values binary"
+#: A block's texts as places in the sorted list of its different codes; sizes: tokens of each text.
+TOKENS = "block bigint, ids binary, known binary, sizes binary, codes binary, places binary"
+
+
+def _tokenised(table: pa.Table) -> pa.Table:
+    """Texts of a block are cut into words here only; all later steps read the codes."""
+    ids, texts, known = unpacked(table)
+    t = Tokens(texts)
+    codes, places = np.unique(t.codes, return_inverse=True)
+    return arrow_table([(table.column("block")[0].as_py(), ids.astype("<i8").tobytes(), known.tobytes(), t.counts.astype("<i8").tobytes(),
+                         zipped(codes), zipped(places.astype(np.int32)))], TOKENS)
+
+
+class Block:
+    """A row of the tokenised texts."""
+
+    def __init__(self, row: dict):
+        self.block = row["block"]
+        self.ids, self.counts = np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["sizes"], "<i8")
+        self.known = np.frombuffer(row["known"], bool)
+        self.codes, self.places = unzipped(row["codes"], np.uint64), unzipped(row["places"], np.int32)
+        self.train = is_training(self.ids, self.known)
+
+    @staticmethod
+    def rows(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):  # one at a time
+                yield Block(batch.slice(i, 1).to_pylist()[0])
 
 
 def _ask(n_ranges: int):
-    def f(table: pa.Table) -> pa.Table:
-        block = table.column("block")[0].as_py()
-        ids, texts, known = unpacked(table)
-        tokens = Tokens(texts)
-        codes, group = np.unique(tokens.codes, return_inverse=True)
-        counts = np.bincount(group, weights=tokens.chosen(is_training(ids, known)), minlength=len(codes)).astype(np.int64)
-        return arrow_table([(r, block, zipped(codes[s]), zipped(counts[s])) for r, s in by_range(codes, n_ranges)], ASK)
+    def f(batches):
+        for b in Block.rows(batches):
+            chosen = np.repeat(b.train, b.counts)
+            counts = np.bincount(b.places[chosen], minlength=len(b.codes)).astype(np.int64)
+            rows = [(r, b.block, zipped(b.codes[s]), zipped(counts[s])) for r, s in by_range(b.codes, n_ranges)]
+            yield from arrow_table(rows, ASK).to_batches()
 
     return f
 
@@ -173,20 +210,14 @@ class Model:
     def class_part(self, f: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rows of the class table, and log P(class|h)."""
         rows = (f % np.uint64(CLASS_ROWS)).astype(np.int32)
-        logits = self.classes[rows[0]]
-        for r in rows[1:]:
-            logits += self.classes[r]
-        logits += self.base.log_class
-        return rows, _log_softmax(logits)
+        return rows, _log_softmax_of(self.classes, rows, lambda at: self.base.log_class)
 
     def word_part(self, f: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rows of the word table for head classes c, and log P(.|class, h)."""
         with np.errstate(over="ignore"):
             own = mixed(f[[0, 2]] + c.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
         rows = (own % np.uint64(WORD_ROWS)).astype(np.int32)
-        logits = self.words[rows[0]] + self.words[rows[1]]
-        logits += self.base.log_inside[c]
-        return rows, _log_softmax(logits)
+        return rows, _log_softmax_of(self.words, rows, lambda at: self.base.log_inside[c[at]])
 
     def update(self, f: np.ndarray, codes: np.ndarray, state: dict) -> None:
         """One gradient step on some tokens."""
@@ -220,10 +251,20 @@ class Model:
         return out
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x -= x.max(axis=1, keepdims=True)
-    x -= np.log(np.exp(x).sum(axis=1, keepdims=True))
-    return x
+def _log_softmax_of(table: np.ndarray, rows: np.ndarray, measure) -> np.ndarray:
+    """Log softmax of the sums of some rows of a table and the base measure; as many tokens at a time as stay in the cache."""
+    n = rows.shape[1]
+    out, one, exps = np.empty((n, table.shape[1]), "f4"), np.empty((CACHED, table.shape[1]), "f4"), np.empty((CACHED, table.shape[1]), "f4")
+    for k in range(0, n, CACHED):
+        at = slice(k, min(k + CACHED, n))
+        x, y, e = out[at], one[:at.stop - k], exps[:at.stop - k]
+        np.take(table, rows[0, at], axis=0, out=x, mode="clip")
+        for r in rows[1:]:
+            x += np.take(table, r[at], axis=0, out=y, mode="clip")
+        x += measure(at)
+        x -= x.max(axis=1, keepdims=True)
+        x -= np.log(np.exp(x, out=e).sum(axis=1, keepdims=True))
+    return out
 
 
 def _step(table: np.ndarray, state: dict, rows: np.ndarray, logp: np.ndarray, target: np.ndarray) -> None:
@@ -236,12 +277,18 @@ def _step(table: np.ndarray, state: dict, rows: np.ndarray, logp: np.ndarray, ta
     place = np.zeros(n, np.int64)
     place[seen] = np.arange(len(seen))
     small, columns = place[rows], np.ascontiguousarray(g.T, dtype="f8")
-    total = np.empty((len(seen), table.shape[1]), "f4")
+    sums = np.empty((table.shape[1], len(seen)), "f4")
     for c, column in enumerate(columns):
-        total[:, c] = sum(np.bincount(r, weights=column, minlength=len(seen)) for r in small)
+        sums[c] = sum(np.bincount(r, weights=column, minlength=len(seen)) for r in small)
+    total = np.ascontiguousarray(sums.T)
     total /= np.sqrt(times[seen])[:, None]
-    state["squares"][seen] += total * total
-    table[seen] -= RATE * total / np.sqrt(state["squares"][seen] + 1)
+    squares = state["squares"][seen]
+    squares += total * total
+    state["squares"][seen] = squares
+    squares += 1
+    total *= RATE
+    total /= np.sqrt(squares, out=squares)
+    table[seen] -= total
     state["seen"] += times
 
 
@@ -257,29 +304,14 @@ def _slices(name: str, table: np.ndarray, times: np.ndarray):
         yield offset + k, table[at].astype("<f4").tobytes(), times[at].astype("<i8").tobytes()
 
 
-def _training_runs(batches, chars: int = 2_000_000):
-    """Training texts, some characters' worth at a time."""
-    run, size = [], 0
-    for batch in batches:
-        for i in range(batch.num_rows):
-            ids, texts, known = unpacked(pa.Table.from_batches([batch.slice(i, 1)]))
-            run += [x for x, k in zip(texts, is_training(ids, known).tolist()) if k]
-            size += sum(map(len, texts))
-            if size >= chars:
-                yield run
-                run, size = [], 0
-    if run:
-        yield run
-
-
 def _train_task(shared):
     def run(batches):
         base, weights = shared.value
         model = Model(base, *(w.copy() for w in weights))
         state = {k: {"squares": np.zeros(s, "f4"), "seen": np.zeros(s[0], np.int64)} for k, s in _SHAPES.items()}
         any_text = False
-        for texts in _training_runs(batches):
-            t = Tokens(texts)
+        for b in Block.rows(batches):
+            t = Tokens.of_codes(b.codes[b.places[np.repeat(b.train, b.counts)]], b.counts[b.train])
             every = model.features(t)
             for k in range(0, len(t.codes), BATCH):
                 any_text = True
@@ -337,20 +369,18 @@ def _score(shared, n_ranges: int):
         if not table.num_rows:
             return arrow_table([], RESULT)
         base, weights = shared.value
-        ids, texts, known = unpacked(table)
-        tokens = Tokens(texts)
-        codes, group = np.unique(tokens.codes, return_inverse=True)
+        b = Block(table.to_pylist()[0])
+        tokens, codes, ids, known = Tokens.of_codes(b.codes[b.places], b.counts), b.codes, b.ids, b.known
         counts, got = np.zeros(len(codes), np.int64), dict(zip(answers.column("range").to_pylist(), answers.column("values").to_pylist()))
         for r, s in by_range(codes, n_ranges):
             counts[s] = unzipped(got[r], np.int64)
-        c = counts[group]
+        c = counts[b.places]
         p = Model(base, *weights).log_probabilities(tokens, c)
-        n = len(texts)
+        n = len(ids)
         by_doc = lambda x: np.bincount(tokens.doc, weights=x, minlength=n)
         base_score = by_doc(np.log10((c + SMOOTH) / base.z))
-        train = is_training(ids, known)
         return arrow_table(list(zip(
-            [i if k else None for i, k in zip(ids.tolist(), known.tolist())], (known & ~train).tolist(), tokens.counts.tolist(),
+            [i if k else None for i, k in zip(ids.tolist(), known.tolist())], (known & ~b.train).tolist(), tokens.counts.tolist(),
             by_doc(c > 0).astype(np.int64).tolist(), [base.n] * n, base_score.tolist(), (by_doc(p) / np.log(10)).tolist())), RESULT)
 
     return f
@@ -361,8 +391,8 @@ def score_texts(docs: DataFrame) -> DataFrame:
     sc = docs.sparkSession.sparkContext
     chars = total_chars(docs)
     n_blocks, n_ranges = chars // BLOCK_CHARS + 1, chars // (6 * RANGE_HASHES) + 1
-    blocks = written(packed(docs, n_blocks, null_ids=True), "blocks")
-    answers = written(blocks.groupBy("block").applyInArrow(_ask(n_ranges), ASK).groupBy("range").applyInArrow(_answer, ASK), "counts")
+    blocks = written(packed(docs, n_blocks, null_ids=True).groupBy("block").applyInArrow(_tokenised, TOKENS), "blocks")
+    answers = written(blocks.mapInArrow(_ask(n_ranges), ASK).groupBy("range").applyInArrow(_answer, ASK), "counts")
     summary = answers.filter("block < 0")
     # By tail class, three totals; and of each range's most frequent words the HEAD most frequent.
     totals = summary.select("values").mapInArrow(_sum_totals, "totals binary").collect()

@@ -625,3 +625,20 @@ def test_oracle_names():
     assert json.dumps(sorted(queries.queries()))
     assert [n for n in queries.queries() if not n.startswith("op")] == []
     assert LONG and PASSAGE and DOCS
+
+
+def test_language_model_reads_codes_that_were_made_once():
+    import pyarrow as pa
+    import zstandard
+    texts = ["b  B c".encode(), b"", "c É a".encode()]
+    row = {"block": 3, "ids": np.array([5, 2, 10], "<i8").tobytes(), "sizes": np.array([len(x) for x in texts], "<i8").tobytes(),
+           "texts": zstandard.ZstdCompressor().compress(b"".join(texts)), "known": True}
+    made = language_model._tokenised(pa.Table.from_pylist([row]))
+    assert made.num_rows == 1 and "texts" not in made.column_names  # later steps have no texts to cut again
+    block, = language_model.Block.rows(made.to_batches())
+    want = language_model.Tokens([texts[1], texts[0], texts[2]])  # by id
+    got = language_model.Tokens.of_codes(block.codes[block.places], block.counts)
+    assert block.block == 3 and block.ids.tolist() == [2, 5, 10] and block.known.all()
+    for name in ("codes", "counts", "doc", "place"):
+        assert np.array_equal(getattr(got, name), getattr(want, name)), name
+    assert block.train.tolist() == language_model.is_training(block.ids, block.known).tolist()
