@@ -92,7 +92,7 @@ SELECT 'proc_type', proc_type, count(*), count(estimated), count(estimated) * 10
 WHERE proc_type IS NOT NULL GROUP BY proc_type""")
 def estimate_coverage(lake):
     """Share of notices with an estimate: by country (>= 100 notices) and by type."""
-    g = lake.gold("gold_notices")
+    g = lake.gold("gold_notices", "notice_id", "buyer_country", "proc_type", "estimated")
     return (_coverage(g, "buyer_country", "estimated", 100, "total_notices", "has_estimated")
             .unionByName(_coverage(g, "proc_type", "estimated", 0, "total_notices", "has_estimated")))
 
