@@ -206,7 +206,8 @@ def contract_size_overall(lake):
 def savings_lots(lake, trim: float = 200.0) -> DataFrame:
     """Estimate vs award per notice from lots with both values (estimate summed
     per lot, as the value study does), trimmed to +-``trim`` %."""
-    aw = lake.gold("gold_awards").withColumn("cv_clean", K.cap_value("contract_value"))
+    aw = lake.gold("gold_awards", "notice_id", "lot_result_id", "buyer_country", "proc_type", "estimated", "contract_value").withColumn(
+        "cv_clean", K.cap_value("contract_value"))
     lots = aw.where(F.col("estimated").isNotNull() & F.col("cv_clean").isNotNull() & (F.col("cv_clean") > 0)
                     & F.col("buyer_country").isNotNull() & F.col("proc_type").isNotNull())
     g = (lots.groupBy("notice_id", "buyer_country", "proc_type")
