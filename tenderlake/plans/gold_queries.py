@@ -160,19 +160,29 @@ def cpv_by_competition(lake):
             .orderBy(F.col("avg_competition").desc_nulls_last()))
 
 
-def award_view_df(lake):
-    """Reader-side award normalisation (renames, clipped savings, SME, lots)."""
-    aw = lake.gold("gold_awards")
+#: The columns of the award view and those of gold_awards that they are made of.
+AWARD_VIEW = {
+    **{c: (c,) for c in ("notice_id", "lot_id", "lot_result_id", "buyer_country", "proc_type", "cpv_division", "cpv_division_name",
+                         "estimated")},
+    "awarded_eur": ("awarded_amount",), "award_date": ("contract_date",), "avg_tenders_per_lot": ("tenders_count",),
+    "savings_pct": ("estimated", "awarded_amount"), "sme_winner": ("sme_tenders",), "num_lots": ("notice_id",)}
+
+
+def award_view_df(lake, *columns: str):
+    """Reader-side award normalisation (renames, clipped savings, SME, lots); with ``columns`` only these, of no more of
+    gold_awards than they need."""
+    names = columns or tuple(AWARD_VIEW)
+    aw = lake.gold("gold_awards", *sorted({c for n in columns for c in AWARD_VIEW[n]}))
     est = C.to_double("estimated")
     awd = C.to_double("awarded_amount")
     sav = F.try_divide(est - awd, est) * 100
-    return aw.select(
-        "notice_id", "lot_id", "lot_result_id", "buyer_country", "proc_type", "cpv_division", "cpv_division_name",
-        "estimated", awd.alias("awarded_eur"), F.col("contract_date").alias("award_date"),
-        F.col("tenders_count").alias("avg_tenders_per_lot"),
-        F.when(sav.isNotNull(), F.greatest(F.lit(-100.0), F.least(F.lit(100.0), sav))).alias("savings_pct"),
-        (F.coalesce(C.to_double("sme_tenders"), F.lit(0.0)) > 0).cast("int").alias("sme_winner"),
-        F.lit(1).alias("num_lots"))
+    made = {
+        "awarded_eur": lambda: awd, "award_date": lambda: F.col("contract_date"),
+        "avg_tenders_per_lot": lambda: F.col("tenders_count"),
+        "savings_pct": lambda: F.when(sav.isNotNull(), F.greatest(F.lit(-100.0), F.least(F.lit(100.0), sav))),
+        "sme_winner": lambda: (F.coalesce(C.to_double("sme_tenders"), F.lit(0.0)) > 0).cast("int"),
+        "num_lots": lambda: F.lit(1)}
+    return aw.select(*[made[n]().alias(n) if n in made else F.col(n) for n in names])
 
 
 @query("award_view", sql="""

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..registry import query
 from . import common as K
 from ..operators.gold import mean_rounded, round_half_even
-from .gold_queries import award_view_df
+from .gold_queries import AWARD_VIEW, award_view_df
 from .oracle_base import mean_rounded_sql, round_sql
 
 AV_SQL = """av AS (SELECT notice_id, lot_id, lot_result_id, buyer_country, proc_type, cpv_division, cpv_division_name,
@@ -185,7 +185,7 @@ ORDER BY md5(concat_ws('/', '42', notice_id, lot_result_id)), notice_id, lot_res
 def scatter_sample(lake, k: int = 800, seed: int = 42):
     """Repeatable sample of at most ``k`` awards with positive estimate and value
     (the sample is the feature): order by a seeded hash, keep k."""
-    a = award_view_df(lake).where((F.col("awarded_eur") > 0) & (F.col("estimated") > 0))
+    a = award_view_df(lake, *AWARD_VIEW).where((F.col("awarded_eur") > 0) & (F.col("estimated") > 0))
     return (a.withColumn("_h", F.md5(F.concat_ws("/", F.lit(str(seed)), "notice_id", "lot_result_id")))
             .orderBy("_h", "notice_id", "lot_result_id").limit(k).drop("_h"))
 
