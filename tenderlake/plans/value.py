@@ -164,7 +164,8 @@ SELECT buyer_country, count(*) AS n_lots, count(*) FILTER (WHERE {CV} >= 1e9) AS
 FROM gold_awards WHERE buyer_country IS NOT NULL GROUP BY buyer_country""")
 def round_number_flags(lake, threshold: float = 1e9):
     """Ceiling diagnostic per country: lots >= 1e9, round multiples, missing contract counts."""
-    aw = lake.gold("gold_awards").withColumn("cv", K.cap_value("contract_value"))
+    aw = lake.gold("gold_awards", "notice_id", "lot_result_id", "buyer_country", "contract_value", "contract_count").withColumn(
+        "cv", K.cap_value("contract_value"))
     big = F.col("cv") >= threshold
     return (aw.where(F.col("buyer_country").isNotNull()).groupBy("buyer_country").agg(
         F.count(F.lit(1)).alias("n_lots"), F.count_if(big).alias("n_big_lots"),
