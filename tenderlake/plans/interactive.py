@@ -168,7 +168,7 @@ SELECT bins.i AS bin, r.lo + (bins.i - 1) * (r.hi - r.lo) / {N_BINS} AS bin_star
 FROM range(1, {N_BINS + 1}) AS bins(i), r LEFT JOIN b ON b.bin = bins.i""")
 def savings_histogram(lake, n_bins: int = N_BINS):
     """Savings histogram with equal-width bins between min and max (max in the last bin)."""
-    v = award_view_df(lake).where(F.col("savings_pct").isNotNull()).select(F.col("savings_pct").alias("x"))
+    v = award_view_df(lake, "savings_pct").where(F.col("savings_pct").isNotNull()).select(F.col("savings_pct").alias("x"))
     lo, hi = K.total(v, F.min("x")), K.total(v, F.max("x"))
     idx = F.when(hi == lo, F.lit(1)).otherwise(
         F.least(F.lit(n_bins), F.floor((F.col("x") - lo) / (hi - lo) * n_bins).cast("bigint") + 1))
