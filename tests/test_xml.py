@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 
 from tenderlake.context import Lake
@@ -122,3 +123,31 @@ def test_single_pass_flatteners_render_once_and_write_nothing(spark):
         plan = getattr(xml_queries, name)(lake)._jdf.queryExecution().optimizedPlan().toString()
         assert plan.count("to_xml(") == 1, name
     assert "bronze_parsed" not in lake._cache
+
+
+def test_documents_are_put_together_as_the_xml_writer_would(spark, tmp_path):
+    """Names with signs to escape, missing values, orders without lines: the writer's documents, without a struct for each."""
+    names = ["a&b", "<x>", "]]>", "tab\there", "cr\rx", "nl\nx", "", " lead ", "é 漢 😀", "\"q\" 'a'", "a>b", "$1 \\ x", None, "plain"]
+    at = str(tmp_path)
+    day = "timestamp'1998-02-03'"
+    spark.createDataFrame([(i, x, i % 3, 100.0 * i - 50, "BUILDING") for i, x in enumerate(names)],
+                          "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string").write.parquet(f"{at}/customer.parquet")
+    spark.createDataFrame([(i, x, i % 3, 2900.0 + 20 * i) for i, x in enumerate(names)],
+                          "s_suppkey long, s_name string, s_nationkey int, s_acctbal double").write.parquet(f"{at}/supplier.parquet")
+    spark.createDataFrame([(0, "N&A"), (1, None), (2, "NATION")], "n_nationkey int, n_name string").write.parquet(f"{at}/nation.parquet")
+    spark.createDataFrame([(i, None if i == 3 else i) for i in range(14)], "p_partkey long, p_size int").write.parquet(f"{at}/part.parquet")
+    spark.range(102).selectExpr(
+        "id as o_orderkey", "id % 14 as o_custkey", "element_at(array('F', 'O', 'P'), cast(id % 3 + 1 as int)) as o_orderstatus",
+        "if(id % 5 = 0, null, id * 1.5D) as o_totalprice", f"if(id % 7 = 0, null, {day}) as o_orderdate",
+        "if(id % 2 = 0, '1-URG<', null) as o_orderpriority").write.parquet(f"{at}/orders.parquet")
+    spark.range(300).where("id % 102 <> 5").selectExpr(
+        "id % 102 as l_orderkey", "id % 14 as l_partkey", "id * 5 % 14 as l_suppkey", "if(id % 11 = 0, null, cast(id % 4 as int)) as l_linenumber",
+        "if(id % 6 = 0, null, id + 1.0D) as l_quantity", "if(id % 10 = 0, null, id * 2.5D) as l_extendedprice", "0.1D as l_discount",
+        "element_at(array('R', 'A', 'N'), cast(id % 3 + 1 as int)) as l_returnflag", "if(id % 2 = 0, 'F', 'O') as l_linestatus",
+        f"if(id % 9 = 0, null, {day}) as l_shipdate").write.parquet(f"{at}/lineitem.parquet")
+    docs = X.notice_documents(spark, at)
+    assert "NOTICE_ROOT" not in docs._jdf.queryExecution().optimizedPlan().toString()
+    found = docs.orderBy("file_name").collect()
+    assert len(found) == 102
+    text = "".join(f"{r.file_name}\n{r.xml}\n" for r in found)
+    assert hashlib.md5(text.encode()).hexdigest() == "ea1860179d06f918dfb2dd682cc91e65"  # of the documents that to_xml wrote
