@@ -95,3 +95,15 @@ def test_queries_build_no_more_of_a_mart_than_they_read(lake, query, spared):
     for made in [n for n in lake._cache if "-of-" in n]:
         del lake._cache[made]
     assert rows(registry.REGISTRY[query].fn(lake)) == slim
+
+
+def test_keys_of_silver_tables_without_their_rows(spark, lake):
+    """One row for each row of the table, whether it is there or not; the reference check decides no rows."""
+    from tenderlake.plans import validation_queries as Q
+    keys = {t: rows(lake.silver_keys(t)) for t in S.TRANSFORMS}
+    checked = rows(Q.check_notice_ref(lake))
+    assert not any(n.startswith("silver.") for n in lake._cache)
+    for t in S.TRANSFORMS:
+        lake.silver(t)
+    assert {t: rows(lake.silver_keys(t)) for t in S.TRANSFORMS} == keys
+    assert rows(Q.check_notice_ref(lake)) == checked
