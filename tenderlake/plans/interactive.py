@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from ..registry import query
 from . import common as K
+from ..operators import gold as G
+from ..operators import silver as S
 from ..operators.gold import mean_rounded, round_half_even
 from .gold_queries import AWARD_VIEW, award_view_df
 from .oracle_base import mean_rounded_sql, round_sql
@@ -309,16 +311,47 @@ def fmt_eur(lake):
 @query("table_catalog")
 def table_catalog(lake):
     """Schema summary of every silver table and gold mart: rows, columns, column list."""
+    from ..context import Lake
     from ..sources.catalog import GOLD, SILVER
+    whole = Lake(lake.spark, lake.sf_dir, xml=lake.xml)  # plans only, for their schemas: nothing of it runs
+    frames = {**{f"silver_{t}": whole.silver(t) for t in SILVER}, **{g: whole.gold(g) for g in GOLD}}
+    counted = _catalog_rows(lake, {n: df.schema for n, df in frames.items()})
     parts = []
-    for name, df in [(f"silver_{t}", lake.silver(t)) for t in SILVER] + [(g, lake.gold(g)) for g in GOLD]:
+    for name, df in frames.items():
         cols = ", ".join(f"{f.name}:{f.dataType.simpleString()}" for f in df.schema.fields)
-        parts.append(df.agg(F.count(F.lit(1)).alias("n_rows")).select(
+        parts.append(counted[name].agg(F.count(F.lit(1)).alias("n_rows")).select(
             F.lit(name).alias("table_name"), "n_rows", F.lit(len(df.columns)).alias("n_columns"),
             F.lit(cols).alias("columns")))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+def _catalog_rows(lake, schemas: dict) -> dict[str, DataFrame]:
+    """The rows of every silver table and mart, built as far as says how many there are: silver tables that no mart's rows depend
+    on by their keys, marts without the columns that are joined to their rows, summaries by their own builders over the
+    columns that they group by."""
+    # Which rows of a mart there are depends on decided rows of these tables.
+    decided = ("notices", "organisations", "lot_results")
+    rows = {f"silver_{t}": lake.silver(t) if t in decided else lake.silver_keys(t) for t in S.TRANSFORMS}
+
+    def grouped(mart: str, *keys: str) -> DataFrame:
+        """A mart with the columns ``keys``; the others, which only measures are made of, are null."""
+        have = lake.gold(mart, "notice_id", *keys)
+        return have.select(*[F.col(f.name) if f.name in have.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in schemas[mart]])
+
+    def nothing_of(mart: str) -> DataFrame:
+        """For what is joined from the left on the groups: it adds no rows."""
+        return lake.spark.createDataFrame([], schemas[mart])
+
+    cpv = ("cpv_division", "cpv_division_name")
+    return rows | {
+        **{m: lake.gold(m, "notice_id") for m in ("gold_notices", "gold_awards", "gold_opportunities", "gold_notice_awards")},
+        "gold_lots": rows["silver_lots"],  # a row for each lot
+        "gold_country_kpis": G.build_country_kpis(grouped("gold_notices", "buyer_country"), nothing_of("gold_awards")),
+        "gold_cpv_kpis": G.build_cpv_kpis(grouped("gold_notices", *cpv), nothing_of("gold_awards")),
+        "gold_market_summary": G.build_market_summary(grouped("gold_notice_awards", "buyer_country", "cpv_division_name", "proc_type")),
+        "gold_cpv_analysis": G.build_cpv_analysis(grouped("gold_notice_awards", *cpv), grouped("gold_opportunities", *cpv))}
+
+
 @query("newest_file")
 def newest_file(lake):
     """The most recently modified candidate input file (by file metadata), with its row count."""

@@ -107,3 +107,15 @@ def test_keys_of_silver_tables_without_their_rows(spark, lake):
         lake.silver(t)
     assert {t: rows(lake.silver_keys(t)) for t in S.TRANSFORMS} == keys
     assert rows(Q.check_notice_ref(lake)) == checked
+
+
+def test_catalog_counts_rows_without_building_what_does_not_decide_them(lake):
+    """Rows, columns and types of every table as they are when it is built whole."""
+    from tenderlake.plans import interactive
+    from tenderlake.sources.catalog import GOLD, SILVER
+    found = {r.table_name: (r.n_rows, r.n_columns, r.columns) for r in interactive.table_catalog(lake).collect()}
+    built = {n for n in lake._cache if n.startswith(("silver.", "gold_"))}
+    assert not built & {"silver.lots", "silver.tenders", "silver.cpv_codes", "silver.contracts", *GOLD}
+    tables = {**{f"silver_{t}": lake.silver(t) for t in SILVER}, **{g: lake.gold(g) for g in GOLD}}
+    assert found == {n: (df.count(), len(df.columns), ", ".join(f"{f.name}:{f.dataType.simpleString()}" for f in df.schema.fields))
+                     for n, df in tables.items()}
